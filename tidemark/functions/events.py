@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.schemas import (
@@ -24,6 +24,15 @@ def parse_payload(payload: Column) -> Column:
     return F.from_json(payload, PAYLOAD_SCHEMA)
 
 
+def with_parsed(records: DataFrame, payload: str = "deserialized_payload") -> DataFrame:
+    """Add ``data``, parsed from the payload text once per row.
+
+    The one-element explode is a fence: without it the optimizer copies the parse into every
+    filter on a parsed field and each row is parsed several times.
+    """
+    return records.select("*", F.explode(F.array(parse_payload(F.col(payload)))).alias("data"))
+
+
 def event_time_of(text: Column) -> Column:
     """ISO-8601 text to an instant, null where it does not parse."""
     return F.try_to_timestamp(text)

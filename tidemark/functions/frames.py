@@ -239,7 +239,9 @@ class FrameDecoder:
         def decode_frames(values: pa.Array) -> pa.Array:
             return decode_batch(values, writers, default, output)
 
-        return decode_frames(value)
+        # Declared non-deterministic so that filters on decoded fields are not pushed below the
+        # UDF, where the optimizer would run it a second time.
+        return decode_frames.asNondeterministic()(value)
 
     def payload_json(self, decoded: Column) -> Column:
         """JSON text of a decoded struct, null where decoding failed; null fields are left out."""
@@ -345,4 +347,5 @@ def encode_frame(schema_json: str, schema_id: int) -> Column:
     def encode_frames(*columns: pa.Array) -> pa.Array:
         return encode_batch(list(columns), fields, schema_id)
 
-    return encode_frames(*[F.col(f.name).cast(SPARK_TYPES[f.kind]) for f in fields])
+    columns = [F.col(f.name).cast(SPARK_TYPES[f.kind]) for f in fields]
+    return encode_frames.asNondeterministic()(*columns)

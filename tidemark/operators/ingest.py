@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from tidemark.functions.events import (
     event_time_of,
     is_valid_event,
-    parse_payload,
     parse_status,
     violations,
+    with_parsed,
 )
 from tidemark.functions.frames import FrameDecoder, frame_status
 from tidemark.schemas import CURATED, LATE_AFTER, LATEST_VERSION, PAYLOAD_COLUMNS, PAYLOAD_SCHEMA, RAW
@@ -39,7 +39,7 @@ def decode_records(records: DataFrame, decoder: FrameDecoder) -> DataFrame:
     """Envelope, payload text and parsed struct of every record."""
     frames = envelope(records).withColumn("frame", decoder.decode(F.col("value")))
     texts = frames.withColumn("deserialized_payload", decoder.payload_json(F.col("frame")))
-    return texts.drop("frame").withColumn("data", parse_payload(F.col("deserialized_payload")))
+    return with_parsed(texts.drop("frame"))
 
 
 def frame_failures(records: DataFrame, decoder: FrameDecoder) -> DataFrame:

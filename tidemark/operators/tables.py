@@ -101,18 +101,28 @@ def align(source: DataFrame, target: T.StructType) -> DataFrame:
     )
 
 
-def partition_column(spark: SparkSession, table: str) -> str:
-    columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    if len(columns) != 1:
-        raise ValueError(f"{table} must have exactly one partition column, found {columns}")
-    return columns[0]
+@dataclass(frozen=True)
+class Layout:
+    """What a write needs to know of a table."""
+
+    provider: str
+    partition: str
+
+    @property
+    def plain_files(self) -> bool:
+        """True for a file table, which has no row-level operations."""
+        return self.provider in FILE_FORMATS
 
 
-def is_file_table(spark: SparkSession, table: str) -> bool:
-    """True for a plain file table, which has no row-level operations."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'")
-    row = described.select(F.lower("data_type")).first()
-    return row is not None and row[0] in FILE_FORMATS
+def layout(spark: SparkSession, table: str) -> Layout:
+    rows = [(r[0], r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
+    provider = next((kind for name, kind in rows if name == "Provider"), "").lower()
+    named = [name for name, _ in rows]
+    parts = named[named.index("# col_name") + 1 :] if "# col_name" in named else []
+    parts = parts[: parts.index("")] if "" in parts else parts
+    if len(parts) != 1:
+        raise ValueError(f"{table} must have exactly one partition column, found {parts}")
+    return Layout(provider, parts[0])
 
 
 # --- writing -------------------------------------------------------------------------------------
@@ -126,8 +136,9 @@ def _spread(rows: DataFrame, part: str) -> DataFrame:
 def append(source: DataFrame, table: str) -> None:
     spark = source.sparkSession
     rows = align(source, spark.table(table).schema)
-    if is_file_table(spark, table):
-        _spread(rows, partition_column(spark, table)).write.insertInto(table)
+    form = layout(spark, table)
+    if form.plain_files:
+        _spread(rows, form.partition).write.insertInto(table)
     else:
         rows.writeTo(table).append()
     spark.catalog.refreshTable(table)
@@ -153,8 +164,9 @@ def _sql_literal(value) -> str:
 
 def delete_partition(spark: SparkSession, table: str, value) -> None:
     """Remove all rows of one partition."""
-    part = partition_column(spark, table)
-    if is_file_table(spark, table):
+    form = layout(spark, table)
+    part = form.partition
+    if form.plain_files:
         fields = [f for f in spark.table(table).schema if f.name != part]
         nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
         spark.sql(
@@ -173,13 +185,14 @@ def replace_partition(source: DataFrame, table: str, value) -> int:
     An empty source leaves an empty partition. Every source row must belong to the partition.
     """
     spark = source.sparkSession
-    part = partition_column(spark, table)
+    form = layout(spark, table)
+    part = form.partition
     mine = in_partitions(part, [value])
     seen = Observation("replace_partition")
     rows = align(source, spark.table(table).schema).observe(seen, F.count(F.lit(1)).alias("rows"))
     stray = F.raise_error(F.lit(f"row outside partition {part} = {value}"))
     guarded = rows.withColumn(part, F.when(mine, F.col(part)).otherwise(stray))
-    if is_file_table(spark, table):
+    if form.plain_files:
         # Dynamic overwrite replaces the partition at commit, but never touches it if no row arrives.
         _spread(guarded, part).write.insertInto(table, overwrite=True)
         count = seen.get["rows"]
@@ -267,12 +280,13 @@ def upsert(
     spark.catalog.refreshTable(table)
     target = spark.table(table)
     rows = align(source, target.schema)
-    if not is_file_table(spark, table):
+    form = layout(spark, table)
+    if not form.plain_files:
         _merge(rows, table, keys)
         spark.catalog.refreshTable(table)
         return UpsertResult(-1)
 
-    part = partition_column(spark, table)
+    part = form.partition
     held = rows.persist()
     try:
         profile, parts = _profile(held, keys, part)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.events import parse_payload
+from tidemark.functions.events import with_parsed
 from tidemark.operators.ingest import POSITION, curated_columns, dedupe, valid_events
 from tidemark.operators.metrics import campaign_metrics
 from tidemark.operators.tables import Warehouse, create_tables, replace_partition, upsert_spec
@@ -25,9 +25,7 @@ LINEAGE = ("ingestion_batch_id", "ingested_at")
 
 def _parsed(raw: DataFrame) -> DataFrame:
     usable = raw.where(F.col("parse_status") == "parsed")
-    return usable.select(
-        parse_payload(F.col("deserialized_payload")).alias("data"), *POSITION, *LINEAGE
-    )
+    return with_parsed(usable.select("deserialized_payload", *POSITION, *LINEAGE))
 
 
 def curated_from_raw(raw: DataFrame, day: date, since_kafka_date: date | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.events import parse_payload
+from tidemark.functions.events import with_parsed
 from tidemark.functions.frames import encode_frame
 from tidemark.schemas import DEFAULT_TOPIC, LATEST_VERSION, PAYLOAD_COLUMNS, avro_schema
 from tidemark.sources.topic import topic_partition
@@ -79,7 +79,7 @@ def payload_records(events: DataFrame) -> DataFrame:
         .otherwise(F.to_json(F.struct(*fields)))
     )
     key = F.col("user_id").cast("binary")
-    return shaped.select(
+    records = shaped.select(
         F.lit(DEFAULT_TOPIC).alias("kafka_topic"),
         topic_partition(key, TOPIC_PARTITIONS).alias("kafka_partition"),
         F.col("position").alias("kafka_offset"),
@@ -88,7 +88,8 @@ def payload_records(events: DataFrame) -> DataFrame:
         key.alias("key"),
         F.lit(None).cast("binary").alias("value"),
         text.alias("deserialized_payload"),
-    ).withColumn("data", parse_payload(F.col("deserialized_payload")))
+    )
+    return with_parsed(records)
 
 
 def topic_records(
