@@ -1,0 +1,61 @@
+"""Campaign metrics, device statistics and snapshots."""
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.operators.metrics import campaign_metrics, device_stats, latest_snapshot
+
+NOON = datetime(2026, 5, 1, 12)
+DDL = "event_timestamp TIMESTAMP, campaign_id INT, event_type STRING, device STRING"
+
+
+def events(spark, rows):
+    return spark.createDataFrame(rows, DDL)
+
+
+@pytest.mark.parametrize(
+    "clicks, conversions, attributed, orphan, rate",
+    [(3, 1, 1, 0, 1 / 3), (1, 3, 1, 2, 1.0), (0, 2, 0, 2, 0.0), (2, 0, 0, 0, 0.0)],
+)
+def test_derived(spark, clicks, conversions, attributed, orphan, rate):
+    rows = [(NOON, 7, "click", "m")] * clicks + [(NOON, 7, "purchase", "m")] * conversions
+    (row,) = campaign_metrics(events(spark, rows + [(NOON, 7, "view", "m")])).collect()
+    assert (row["clicks"], row["conversions"]) == (clicks, conversions)
+    assert (row["attributed_conversions"], row["orphan_conversions"]) == (attributed, orphan)
+    assert row["conversion_rate"] == pytest.approx(rate)
+
+
+def test_views_alone_give_no_row(spark):
+    assert campaign_metrics(events(spark, [(NOON, 7, "view", "m")])).count() == 0
+
+
+def test_windows_are_half_open(spark):
+    rows = [(NOON + timedelta(seconds=s), 1, "click", "m") for s in (0, 29.999999, 30)]
+    found = campaign_metrics(events(spark, rows)).orderBy("window_start").collect()
+    assert [(r["window_start"].second, r["window_end"].second, r["clicks"]) for r in found] == [
+        (0, 30, 2),
+        (30, 0, 1),
+    ]
+
+
+def test_counts_combine_before_the_shuffle(spark):
+    rows = spark.range(20_000).select(
+        F.lit(NOON).alias("event_timestamp"),
+        F.lit(1).alias("campaign_id"),
+        F.lit("click").alias("event_type"),
+        F.lit("m").alias("device"),
+    )
+    for frame in (campaign_metrics(rows), device_stats(rows)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("partial_count") >= 1 and plan.count("Exchange") == 1
+    assert campaign_metrics(rows).first()["clicks"] == 20_000
+
+
+def test_latest_snapshot(spark):
+    early = device_stats(events(spark, [(NOON, 1, "view", "m")]), aggregation_time=F.col("bucket.start"))
+    rows = [(NOON, 1, "view", "m"), (NOON + timedelta(minutes=1), 1, "view", "m"), (NOON, 1, "click", "d")]
+    late = device_stats(events(spark, rows), aggregation_time=F.col("bucket.end"))
+    found = latest_snapshot(late.unionByName(early)).orderBy("event_type").collect()
+    assert [(r["event_type"], r["event_count"]) for r in found] == [("click", 1), ("view", 2)]

@@ -278,7 +278,7 @@ def _varint_piece(number, shown):
 
 
 def _fixed_piece(values, shown):
-    grid = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+    grid = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)
     rows = np.flatnonzero(shown)
 
     def write(out, at):

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,21 +188,20 @@ def replace_partition(source: DataFrame, table: str, value) -> int:
     form = layout(spark, table)
     part = form.partition
     mine = in_partitions(part, [value])
-    seen = Observation("replace_partition")
-    rows = align(source, spark.table(table).schema).observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows = align(source, spark.table(table).schema)
     stray = F.raise_error(F.lit(f"row outside partition {part} = {value}"))
     guarded = rows.withColumn(part, F.when(mine, F.col(part)).otherwise(stray))
     if form.plain_files:
-        # Dynamic overwrite replaces the partition at commit, but never touches it if no row arrives.
+        # Dynamic overwrite swaps the partition at commit, but leaves it alone if no row arrives.
+        before = spark.table(table).where(mine).inputFiles()
         _spread(guarded, part).write.insertInto(table, overwrite=True)
-        count = seen.get["rows"]
-        if count == 0:
+        spark.catalog.refreshTable(table)
+        if set(spark.table(table).where(mine).inputFiles()) == set(before):
             delete_partition(spark, table, value)
     else:
         guarded.writeTo(table).overwrite(mine)
-        count = seen.get["rows"]
     spark.catalog.refreshTable(table)
-    return count
+    return spark.table(table).where(mine).count()
 
 
 # --- upsert --------------------------------------------------------------------------------------
