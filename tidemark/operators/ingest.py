@@ -160,9 +160,9 @@ def undecodable(raw: DataFrame) -> DataFrame:
     return rejected.withColumns({"key": F.hex("key"), "value": F.hex("value")})
 
 
-def write_quarantine(raw: DataFrame, path: str) -> None:
-    """Append rejected records as JSON lines."""
-    undecodable(raw).write.mode("append").json(path)
+def write_quarantine(raw: DataFrame, path: str, batch_id: int) -> None:
+    """Rejected records as JSON lines, in one folder per batch that a replay writes anew."""
+    undecodable(raw).write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch_id}")
 
 
 def batch_quality(parsed: DataFrame) -> DataFrame:

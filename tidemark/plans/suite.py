@@ -221,7 +221,7 @@ def upcast_v1(spark, folder):
 @query
 def quarantine(spark, folder):
     path = scratch_path(spark, "quarantine")
-    ingest.write_quarantine(ingest.raw_records(payloads(spark, folder), 3), path)
+    ingest.write_quarantine(ingest.raw_records(payloads(spark, folder), 3), path, 3)
     rejected = spark.read.schema(
         "kafka_topic STRING, kafka_offset BIGINT, key STRING, parse_status STRING, ingestion_batch_id BIGINT"
     ).json(path)

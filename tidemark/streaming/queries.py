@@ -80,7 +80,7 @@ def ingest_batch(
         raw = raw_records(parsed, batch_id, moment)
         upsert_spec(raw, warehouse, RAW, partition_follows_key=options.fixed_record_dates)
         if options.quarantine:
-            write_quarantine(raw, f"{options.quarantine}/batch={batch_id}")
+            write_quarantine(raw, options.quarantine, batch_id)
         if quality["valid"]:
             events = valid_events(parsed, "kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset")
             targets = [(events, CURATED)]
