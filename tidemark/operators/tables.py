@@ -34,7 +34,11 @@ class Warehouse:
         return f"{self.database}.{spec.name}"
 
     def read(self, spec: TableSpec) -> DataFrame:
-        """Table with its columns in contract order, then any added later."""
+        """Table with its columns in contract order, then any added later.
+
+        Refreshed first, as micro-batches write through sessions of their own.
+        """
+        self.spark.catalog.refreshTable(self.name(spec))
         table = self.spark.table(self.name(spec))
         extra = [c for c in table.columns if c not in spec.columns]
         return table.select(*spec.columns, *extra)

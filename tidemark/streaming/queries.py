@@ -204,6 +204,7 @@ def run(
     """
     decoder = decoder or event_decoder()
     records = read_event_stream(spark, source)
+    spark.streams.resetTerminated()  # earlier queries of this session must not end the wait
     queries: list[StreamingQuery] = []
     try:
         queries.append(start_ingest(records, warehouse, decoder, checkpoints, trigger, options))
