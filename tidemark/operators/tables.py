@@ -290,7 +290,8 @@ def upsert(
         return UpsertResult(-1)
 
     part = form.partition
-    held = rows.persist()
+    # Several jobs read the source, so it is computed once; a source already held is not held twice.
+    held = rows if source.is_cached else rows.persist()
     try:
         profile, parts = _profile(held, keys, part)
         if not profile["rows"]:
@@ -326,7 +327,8 @@ def upsert(
         spark.catalog.refreshTable(table)
         return UpsertResult(profile["rows"], tuple(stale), tuple(cleared))
     finally:
-        held.unpersist()
+        if not source.is_cached:
+            held.unpersist()
 
 
 def upsert_spec(

@@ -225,11 +225,18 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
     parser.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER)
     parser.add_argument("--checkpoints", required=True, help="shared folder for query checkpoints")
+    parser.add_argument(
+        "--state-partitions",
+        type=int,
+        help="shuffle width of the window state; fixed once the metrics query has a checkpoint",
+    )
     parser.add_argument("--database", default="default")
     parser.add_argument("--location", help="warehouse folder for tables that do not exist yet")
     parser.add_argument("--provider", default="parquet", help="table format for new tables")
     args = parser.parse_args(argv)
     spark = build_session("live")
+    if args.state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
     try:
         warehouse = create_tables(spark, args.database, args.location, provider=args.provider)
         source = TopicSource(args.servers, args.topic, max_offsets=args.max_offsets)
