@@ -18,7 +18,8 @@ from tidemark.functions.frames import (
     frame_status,
 )
 from tidemark.schemas import PAYLOAD_COLUMNS, avro_schema
-from tidemark.sources.registry import event_decoder, schema_for_topic
+from tidemark.session import scratch_path
+from tidemark.sources.registry import event_decoder, read_schema_file, schema_for_topic
 
 # Bodies written by the Avro Java library.
 V1_BODY = (
@@ -216,6 +217,13 @@ def test_payload_text_and_versions(spark):
     assert json.loads(good) == E1 and bad is None
 
 
+def test_schema_file(spark):
+    path = f"{scratch_path(spark, 'schema')}/event.avsc"
+    lines = [(line,) for line in json.dumps(json.loads(avro_schema(2)), indent=1).splitlines()]
+    spark.createDataFrame(lines, "line STRING").coalesce(1).write.text(path)
+    assert flat_fields(read_schema_file(spark, path)) == flat_fields(avro_schema(2))
+
+
 def test_schema_resolution():
     assert schema_for_topic("ads", {"ads-value": "{}"}) == ("{}", "registry")
     assert schema_for_topic("ads")[1] == "local"

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import tables
 from tidemark.plans import reconcile, reports
-from tidemark.schemas import CURATED, LATE, METRICS, RAW, TOPIC_SCHEMA, avro_schema
 from tidemark.functions.frames import encode_frame
+from tidemark.operators.metrics import latest_snapshot
+from tidemark.schemas import CURATED, LATE, METRICS, RAW, STATS, TOPIC_SCHEMA, avro_schema
 from tidemark.session import scratch_path
 from tidemark.sources.registry import event_decoder
 from tidemark.sources.topic import FileSource, TopicSource, read_event_stream
@@ -161,8 +162,8 @@ def test_run_both_then_continue_from_checkpoint(spark, lake):
     kinds = ("click", "purchase", "view")
     rows = [(i, f"12:{i % 60:02d}:{i % 59:02d}", i % 4, kinds[i % 3]) for i in range(120)]
     feed(spark, folder, [rows[:80]])
-    report = streams.run(spark, FileSource(folder), lake, checkpoints, trigger=None)
-    assert report == {streams.INGEST_QUERY: None, streams.METRICS_QUERY: None}
+    report = streams.run(spark, FileSource(folder), lake, checkpoints, trigger=None, stats=True)
+    assert report == dict.fromkeys([streams.INGEST_QUERY, streams.METRICS_QUERY, streams.STATS_QUERY])
     assert lake.read(RAW).count() == 80
     feed(spark, folder, [rows[80:]])
     streams.run(spark, FileSource(folder), lake, checkpoints, trigger=None)
@@ -175,6 +176,24 @@ def test_run_both_then_continue_from_checkpoint(spark, lake):
     assert sorted(map(tuple, live)) == sorted(map(tuple, lake.read(METRICS).drop("aggregation_time").collect()))
 
 
+def test_statistics_are_kept_as_snapshots(spark, lake):
+    """A window that changes again gets a second, larger snapshot; replays add nothing."""
+    folder, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    feed(spark, folder, [[(0, "12:00:00", 1, "view")], [(1, "12:04:59", 1, "view"), (2, "12:05:00", 1, "click")]])
+    stream = read_event_stream(spark, FileSource(folder, max_files=1))
+    query = streams.start_stats(streams.live_stats(stream, event_decoder()), lake, checkpoints, None)
+    query.awaitTermination()
+    kept = lake.read(STATS)
+    assert sorted(r["event_count"] for r in kept.where("event_type = 'view'").collect()) == [1, 2]
+    last = latest_snapshot(kept).orderBy("window_start").collect()
+    assert [(r["window_start"].minute, r["event_type"], r["event_count"]) for r in last] == [
+        (0, "view", 2),
+        (5, "click", 1),
+    ]
+    streams.stats_batch(kept.checkpoint(), 1, lake)
+    assert lake.read(STATS).count() == 3
+
+
 def test_replayed_batch_changes_nothing(spark, lake):
     decoder = event_decoder()
     batch = records(spark, [(i, f"12:00:{i:02d}", 1, "click") for i in range(10)])

@@ -371,6 +371,11 @@ ORACLES: dict[str, str] = {
         "WHERE arrival - event_timestamp > INTERVAL 2 HOUR",
     ),
     "stream_metrics": _with(AD, metric_sql("30 seconds")),
+    "stream_stats": _with(
+        AD,
+        STATS.replace("FROM ad", "FROM ad WHERE event_type <> 'error'"),
+        "SELECT window_start, window_end, event_type, device, event_count FROM stats",
+    ),
     "stream_ingest": _with(
         AD,
         f"SELECT {PAYLOAD.replace('event_time, ', '')}, event_timestamp, event_date, "

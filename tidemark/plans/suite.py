@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ from tidemark.schemas import (
 from tidemark.session import scratch_path, use_utc
 from tidemark.sources import sample
 from tidemark.sources.registry import event_decoder
-from tidemark.sources.topic import frames, with_offsets
+from tidemark.sources.topic import FileSource, frames, with_offsets
 from tidemark.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -575,18 +576,43 @@ def _event_stream(spark, folder) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{folder}/events.parque?")
 
 
+@contextmanager
+def state_per_core(spark: SparkSession):
+    """Start stateful queries with one state partition per core instead of the batch default."""
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+
+
 @query
 def stream_metrics(spark, folder):
     """Records to watermarked windows to the metrics table."""
     lake, _ = workspace(spark, METRICS)
     records = sample.topic_records(_event_stream(spark, folder))
     live = streams.live_metrics(records, event_decoder())
-    streams.start_metrics(
-        live, lake, scratch_path(spark, "checkpoint"), None, f"metrics_{uuid.uuid4().hex[:8]}"
-    ).awaitTermination()
+    checkpoints = scratch_path(spark, "checkpoint")
+    with state_per_core(spark):
+        started = streams.start_metrics(live, lake, checkpoints, None, f"metrics_{uuid.uuid4().hex[:8]}")
+    started.awaitTermination()
     return lake.read(METRICS).drop("aggregation_time")
 
 
+@query
+def stream_stats(spark, folder):
+    """Records to five-minute device statistics; the last snapshot of each window."""
+    lake, _ = workspace(spark, STATS)
+    records = sample.topic_records(_event_stream(spark, folder))
+    live = streams.live_stats(records, event_decoder())
+    checkpoints = scratch_path(spark, "checkpoint")
+    with state_per_core(spark):
+        started = streams.start_stats(live, lake, checkpoints, None, f"stats_{uuid.uuid4().hex[:8]}")
+    started.awaitTermination()
+    return metrics.latest_snapshot(lake.read(STATS)).drop("aggregation_time")
+
+
 def _ingested(spark, folder, options=streams.IngestOptions()) -> tables.Warehouse:
     lake, _ = workspace(spark, RAW, CURATED, LATE)
     records = sample.topic_records(_event_stream(spark, folder))
@@ -637,13 +663,12 @@ def stream_late_events(spark, folder):
 @query
 def live_run(spark, folder):
     """Publish all events to files, then run both live queries from that one source."""
-    from tidemark.sources.topic import FileSource
-
     lake, _ = workspace(spark, RAW, CURATED, METRICS)
     topic = scratch_path(spark, "topic")
     records = sample.topic_records(sample.driver_events(spark, folder))
     records.select(*TOPIC_SCHEMA.fieldNames()).write.parquet(topic)
-    report = streams.run(spark, FileSource(topic), lake, scratch_path(spark, "checkpoint"), trigger=None)
+    with state_per_core(spark):
+        report = streams.run(spark, FileSource(topic), lake, scratch_path(spark, "checkpoint"), trigger=None)
     failed = {name: error for name, error in report.items() if error}
     if failed:
         raise RuntimeError(f"live queries failed: {failed}")

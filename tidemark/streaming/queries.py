@@ -1,4 +1,4 @@
-"""The two live queries: record ingest, and watermarked campaign metrics.
+"""The live queries: record ingest, watermarked campaign metrics, and device statistics.
 
     spark-submit -m tidemark.streaming.queries --servers host:9092 --checkpoints /lake/checkpoints
 """
@@ -25,7 +25,7 @@ from tidemark.operators.ingest import (
     valid_events,
     write_quarantine,
 )
-from tidemark.operators.metrics import campaign_metrics
+from tidemark.operators.metrics import campaign_metrics, device_stats
 from tidemark.operators.tables import Warehouse, create_tables, upsert_spec
 from tidemark.schemas import (
     CURATED,
@@ -35,6 +35,8 @@ from tidemark.schemas import (
     METRIC_WINDOW,
     METRICS,
     RAW,
+    STATS,
+    STATS_WINDOW,
     TRIGGER_INTERVAL,
     WATERMARK_DELAY,
 )
@@ -46,6 +48,7 @@ log = logging.getLogger(__name__)
 
 INGEST_QUERY = "ad_events_ingestion"
 METRICS_QUERY = "campaign_conversion_metrics_watermarked"
+STATS_QUERY = "ad_events_aggregation"
 
 
 @dataclass(frozen=True)
@@ -104,6 +107,23 @@ def metrics_batch(rows: DataFrame, batch_id: int, warehouse: Warehouse) -> int:
     return written
 
 
+def stats_batch(rows: DataFrame, batch_id: int, warehouse: Warehouse) -> int:
+    """Add the counts that one trigger changed as a new snapshot of their windows.
+
+    A replayed batch keeps its time, so it replaces its own snapshot.
+    """
+    options = {"keys_unique": True, "partition_follows_key": True}
+    return upsert_spec(rows, warehouse, STATS, **options).rows
+
+
+def live_events(records: DataFrame, decoder: FrameDecoder, *extra: str) -> DataFrame:
+    """Valid events of a record stream, with just the fields that windowed queries use."""
+    frame = decoder.decode(F.col("value"))
+    fields = ["event_id", "event_time", "campaign_id", "event_type", *extra]
+    events = records.select(frame.alias("frame")).select(*[F.col(f"frame.{c}").alias(c) for c in fields])
+    return events.withColumn("event_timestamp", event_time_of(F.col("event_time"))).where(is_valid_event())
+
+
 def live_metrics(
     records: DataFrame,
     decoder: FrameDecoder,
@@ -113,26 +133,23 @@ def live_metrics(
 ) -> DataFrame:
     """Watermarked campaign metrics of a record stream.
 
-    Only the fields in use are kept of each decoded frame. Clicks and purchases alone move the
-    watermark, as their filter runs below it. Repeated event ids are counted unless ``dedupe`` is
-    set, which drops those within the watermark; the daily job never counts them twice.
+    Clicks and purchases alone move the watermark, as their filter runs below it. Repeated event ids
+    are counted unless ``dedupe`` is set, which drops those within the watermark; the daily job never
+    counts them twice.
     """
-    frame = decoder.decode(F.col("value"))
-    fields = ["event_id", "event_time", "campaign_id", "event_type"]
-    events = records.select(frame.alias("frame")).select(*[F.col(f"frame.{c}").alias(c) for c in fields])
-    events = events.withColumn("event_timestamp", event_time_of(F.col("event_time"))).where(is_valid_event())
-    return metrics_of_events(events, window, delay, dedupe)
-
-
-def metrics_of_events(
-    events: DataFrame, window: str = METRIC_WINDOW, delay: str = WATERMARK_DELAY, dedupe: bool = False
-) -> DataFrame:
-    marked = events.withWatermark("event_timestamp", delay)
+    marked = live_events(records, decoder).withWatermark("event_timestamp", delay)
     if dedupe:
         marked = marked.dropDuplicatesWithinWatermark(["event_id"])
     return campaign_metrics(marked, window)
 
 
+def live_stats(
+    records: DataFrame, decoder: FrameDecoder, window: str = STATS_WINDOW, delay: str = WATERMARK_DELAY
+) -> DataFrame:
+    """Watermarked event counts per window, event type and device."""
+    return device_stats(live_events(records, decoder, "device").withWatermark("event_timestamp", delay), window)
+
+
 def _started(writer, name: str, checkpoints: str, trigger: str | None) -> StreamingQuery:
     """Start with one checkpoint folder per query; no interval means: take what is there, then end."""
     writer = writer.queryName(name).option("checkpointLocation", f"{checkpoints.rstrip('/')}/{name}")
@@ -168,6 +185,19 @@ def start_metrics(
     return _started(metrics.writeStream.foreachBatch(store).outputMode("update"), name, checkpoints, trigger)
 
 
+def start_stats(
+    stats: DataFrame,
+    warehouse: Warehouse,
+    checkpoints: str,
+    trigger: str | None = TRIGGER_INTERVAL,
+    name: str = STATS_QUERY,
+) -> StreamingQuery:
+    def store(batch: DataFrame, batch_id: int) -> None:
+        stats_batch(batch, batch_id, _in_session(warehouse, batch))
+
+    return _started(stats.writeStream.foreachBatch(store).outputMode("update"), name, checkpoints, trigger)
+
+
 def _in_session(warehouse: Warehouse, batch: DataFrame) -> Warehouse:
     """The same tables through the session the micro-batch runs in."""
     return Warehouse(batch.sparkSession, warehouse.database)
@@ -197,10 +227,12 @@ def run(
     decoder: FrameDecoder | None = None,
     trigger: str | None = TRIGGER_INTERVAL,
     options: IngestOptions = IngestOptions(),
+    stats: bool = False,
 ) -> dict[str, str | None]:
-    """Run both queries from one source until one ends, then stop the other.
+    """Run ingest and metrics from one source until one ends, then stop the other.
 
-    With ``trigger=None`` both take what is there and end on their own.
+    With ``trigger=None`` they take what is there and end on their own. ``stats`` adds the
+    five-minute device statistics as a third query.
     """
     decoder = decoder or event_decoder()
     records = read_event_stream(spark, source)
@@ -209,6 +241,8 @@ def run(
     try:
         queries.append(start_ingest(records, warehouse, decoder, checkpoints, trigger, options))
         queries.append(start_metrics(live_metrics(records, decoder), warehouse, checkpoints, trigger))
+        if stats:
+            queries.append(start_stats(live_stats(records, decoder), warehouse, checkpoints, trigger))
         if trigger:
             spark.streams.awaitAnyTermination()
         else:
@@ -230,6 +264,7 @@ def main(argv: list[str] | None = None) -> None:
         type=int,
         help="shuffle width of the window state; fixed once the metrics query has a checkpoint",
     )
+    parser.add_argument("--stats", action="store_true", help="also keep five-minute device statistics")
     parser.add_argument("--database", default="default")
     parser.add_argument("--location", help="warehouse folder for tables that do not exist yet")
     parser.add_argument("--provider", default="parquet", help="table format for new tables")
@@ -240,7 +275,7 @@ def main(argv: list[str] | None = None) -> None:
     try:
         warehouse = create_tables(spark, args.database, args.location, provider=args.provider)
         source = TopicSource(args.servers, args.topic, max_offsets=args.max_offsets)
-        run(spark, source, warehouse, args.checkpoints)
+        run(spark, source, warehouse, args.checkpoints, stats=args.stats)
     finally:
         spark.stop()
 
