@@ -52,6 +52,14 @@ def test_load(spark, warehouse):
         lakes.load_table(spark, warehouse, "c_table")
 
 
+def test_registering_all_skips_empty_tables(spark, warehouse):
+    spark.range(0).write.json(f"{warehouse}/empty/data")
+    deep = [n for n in lakes.register_tables(spark, warehouse)]
+    assert "b_table" in deep and "empty" not in deep
+    with pytest.raises(FileNotFoundError):
+        lakes.register_tables(spark, warehouse, ["b_table", "empty"])
+
+
 def test_result_name():
     known = ["alpha", "beta"]
     assert sqlfile.result_name("select * from other o join beta b on true", known) == "beta"

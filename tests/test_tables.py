@@ -55,6 +55,22 @@ def test_upsert_rewrites_only_partitions_with_matches(spark, table):
     assert content(table) == [("a", 1, 1), ("b", 5, 2), ("c", 1, 3), ("x", 9, 2)]
 
 
+def test_match_condition_bounds_the_lookup(spark, table):
+    """The caller's word is taken: rows outside the condition are not looked at."""
+    recent = F.col("d") >= F.lit(date(2026, 5, 2))
+    result = tables.upsert(frame(spark, [("b", 9, 3)]), table.name(SPEC), SPEC.key, match_where=recent)
+    assert result.rewritten == (date(2026, 5, 2),)
+    assert content(table) == [("a", 1, 1), ("b", 9, 3), ("c", 1, 3)] and days(table) == [1, 3]
+
+
+def test_existing_files_are_found_by_a_new_catalog_entry(spark):
+    place, rows = scratch_path(spark, "lake"), frame(spark, START)
+    first = tables.create_tables(spark, f"db_{uuid.uuid4().hex[:8]}", place, (SPEC,))
+    tables.append(rows, first.name(SPEC))
+    second = tables.create_tables(spark, f"db_{uuid.uuid4().hex[:8]}", place, (SPEC,))
+    assert content(second) == sorted(START)
+
+
 def test_null_keys_never_match(spark, table):
     tables.append(frame(spark, [(None, 1, 1)]), table.name(SPEC))
     tables.upsert(frame(spark, [(None, 2, 1), (None, 3, 1), ("a", 2, 1)]), table.name(SPEC), SPEC.key)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.schemas import ALL_TABLES, CURATED, TableSpec
+from tidemark.session import folder_exists
 
 FILE_FORMATS = ("parquet", "orc")
 BOUNDED_KEY_TYPES = (T.IntegralType, T.StringType, T.TimestampType, T.DateType)
@@ -63,17 +64,21 @@ def create_tables(
 ) -> Warehouse:
     """Create what is missing and add columns that older tables lack.
 
-    With ``location`` each table keeps its files in ``<location>/<table>/data``.
+    With ``location`` each table keeps its files in ``<location>/<table>/data``, and files that lie
+    there already become its content.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     warehouse = Warehouse(spark, database)
     options = "OPTIONS (partitionOverwriteMode 'dynamic')" if provider in FILE_FORMATS else ""
     for spec in specs:
+        found = spark.catalog.tableExists(warehouse.name(spec))
         place = f"LOCATION '{location}/{spec.name}/data'" if location else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {warehouse.name(spec)} ({spec.ddl}) USING {provider} "
             f"{options} PARTITIONED BY ({spec.partition}) {place}"
         )
+        if options and not found and location and folder_exists(spark, f"{location}/{spec.name}/data"):
+            spark.catalog.recoverPartitions(warehouse.name(spec))  # files may be there already
         add_missing_columns(spark, warehouse.name(spec), spec.schema)
     return warehouse
 

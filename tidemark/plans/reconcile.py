@@ -56,11 +56,15 @@ def reconcile_day(
     window: str = METRIC_WINDOW,
     since_kafka_date: date | None = None,
     aggregation_time: Column | None = None,
+    match_where: Column | None = None,
 ) -> tuple[int, int]:
-    """Correct the curated events and replace the metrics of one day; (events, windows)."""
+    """Correct the curated events and replace the metrics of one day; (events, windows).
+
+    ``match_where`` is passed to the curated upsert.
+    """
     curated = curated_from_raw(warehouse.read(RAW), day, since_kafka_date).persist()
     try:
-        result = upsert_spec(curated, warehouse, CURATED, keys_unique=True)
+        result = upsert_spec(curated, warehouse, CURATED, keys_unique=True, match_where=match_where)
         metrics = campaign_metrics(curated, window, aggregation_time)
         windows = replace_partition(metrics, warehouse.name(METRICS), day)
         events = result.rows if result.rows >= 0 else curated.count()

@@ -55,3 +55,14 @@ def scratch_path(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder."""
     app = spark.sparkContext.applicationId
     return f"{shared_dir(spark)}/tidemark/{app}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def hadoop_path(spark: SparkSession, text: str):
+    """A path and its file system, whatever store it is on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(text)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, text: str) -> bool:
+    path, fs = hadoop_path(spark, text)
+    return fs.exists(path)

@@ -5,20 +5,16 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-
-def _path(spark: SparkSession, text: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(text)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+from tidemark.session import folder_exists, hadoop_path
 
 
 def discover_tables(spark: SparkSession, warehouse: str) -> list[str]:
     """Sorted names of the sub-folders that hold a ``data`` folder."""
-    root, fs = _path(spark, warehouse)
+    root, fs = hadoop_path(spark, warehouse)
     if not fs.exists(root):
         raise FileNotFoundError(f"no warehouse at {warehouse}")
-    folders = [s.getPath() for s in fs.listStatus(root) if s.isDirectory()]
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    names = sorted(f.getName() for f in folders if fs.exists(hadoop_path(f, "data")))
+    folders = [s.getPath().toString() for s in fs.listStatus(root) if s.isDirectory()]
+    names = sorted(f.rpartition("/")[2] for f in folders if folder_exists(spark, f"{f}/data"))
     if not names:
         raise FileNotFoundError(f"no tables under {warehouse}")
     return names
@@ -30,8 +26,7 @@ def load_table(spark: SparkSession, warehouse: str, name: str, recursive: bool =
     Partition folders become columns. ``recursive`` reads any nesting instead, ignoring folder names.
     """
     folder = f"{warehouse.rstrip('/')}/{name}/data"
-    root, fs = _path(spark, folder)
-    if not fs.exists(root):
+    if not folder_exists(spark, folder):
         raise FileNotFoundError(f"no data folder at {folder}")
     try:
         return spark.read.option("recursiveFileLookup", str(recursive).lower()).parquet(folder)
@@ -42,8 +37,16 @@ def load_table(spark: SparkSession, warehouse: str, name: str, recursive: bool =
 def register_tables(
     spark: SparkSession, warehouse: str, names: list[str] | None = None
 ) -> list[str]:
-    """Temporary view per table, for the named tables or for all."""
-    chosen = names or discover_tables(spark, warehouse)
-    for name in chosen:
-        load_table(spark, warehouse, name).createOrReplaceTempView(name)
-    return chosen
+    """Temporary view per table, for the named tables or for all that hold files."""
+    registered = []
+    for name in names or discover_tables(spark, warehouse):
+        try:
+            load_table(spark, warehouse, name).createOrReplaceTempView(name)
+        except FileNotFoundError:
+            if names:
+                raise
+        else:
+            registered.append(name)
+    if not registered:
+        raise FileNotFoundError(f"no Parquet files in any table under {warehouse}")
+    return registered

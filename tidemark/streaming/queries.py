@@ -10,7 +10,7 @@ import logging
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -46,6 +46,7 @@ from tidemark.sources.topic import TopicSource, read_event_stream
 
 log = logging.getLogger(__name__)
 
+# Names that the queries run under.
 INGEST_QUERY = "ad_events_ingestion"
 METRICS_QUERY = "campaign_conversion_metrics_watermarked"
 STATS_QUERY = "ad_events_aggregation"
@@ -58,11 +59,15 @@ class IngestOptions:
     ``fixed_record_dates`` relies on a record's timestamp never changing, so a replayed record is
     looked up in its own date only. Clear it if a topic is deleted and created again under one name
     and the new records shall replace old ones with equal offsets.
+
+    ``curated_match_where`` is any condition known to hold for curated rows that a new event may
+    replace, such as a bound on their date; without it event ids are looked up in the whole table.
     """
 
     fixed_record_dates: bool = True
     separate_late: bool = False
     quarantine: str | None = None
+    curated_match_where: Column | None = None
 
 
 def ingest_batch(
@@ -92,7 +97,7 @@ def ingest_batch(
                 targets = [(on_time, CURATED), (late, LATE)]
             for chosen, spec in targets:
                 rows = curated_events(chosen, batch_id, moment)
-                upsert_spec(rows, warehouse, spec, keys_unique=True)
+                upsert_spec(rows, warehouse, spec, keys_unique=True, match_where=options.curated_match_where)
         log.info("batch %s: %s", batch_id, quality)
         return quality
     finally:
