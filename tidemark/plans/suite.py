@@ -28,10 +28,10 @@ from tidemark.schemas import (
     TableSpec,
     payload_schema,
 )
-from tidemark.session import scratch_path, use_utc
+from tidemark.session import scratch_path, pin_session
 from tidemark.sources import sample
 from tidemark.sources.registry import event_decoder
-from tidemark.sources.topic import FileSource, frames, with_offsets
+from tidemark.sources.topic import FileSource, frames, keyed, publish, with_offsets
 from tidemark.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +50,7 @@ def query(function: Query) -> Query:
     """Register under the function's name; sessions are pinned to UTC."""
 
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return plain_times(function(use_utc(spark), folder))
+        return plain_times(function(pin_session(spark), folder))
 
     REGISTRY[function.__name__] = run
     return function
@@ -280,7 +280,7 @@ def frame_outcomes(spark, folder):
 @query
 def publish_order(spark, folder):
     """Offsets count each partition from zero, a user stays in one partition, in event order."""
-    out = frames(events_of(spark, folder), sample.TOPIC_PARTITIONS)
+    out = keyed(events_of(spark, folder), sample.TOPIC_PARTITIONS)
     numbered = with_offsets(out, ("event_timestamp", "event_id"))
     ordered = numbered.select(
         F.decode("key", "utf-8").alias("user_id"),
@@ -298,10 +298,10 @@ def publish_order(spark, folder):
 
 @query
 def publish_offsets(spark, folder):
-    """All partitions together hold every event, each numbered without a gap."""
-    out = frames(events_of(spark, folder), sample.TOPIC_PARTITIONS)
-    numbered = with_offsets(out, ("event_timestamp", "event_id"))
-    per_partition = numbered.groupBy("partition").agg(
+    """Publish all events to files: the partitions hold each one, numbered without a gap."""
+    path = scratch_path(spark, "topic")
+    publish(events_of(spark, folder), FileSource(path), sample.TOPIC_PARTITIONS)
+    per_partition = spark.read.parquet(path).groupBy("partition").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("offset").alias("d"),
         F.min("offset").alias("low"),

@@ -13,6 +13,8 @@ JOB_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Let cached plans, such as a micro-batch, be coalesced and have skewed partitions split.
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Window state lives off-heap and is checkpointed as changelogs, so it can outgrow the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": (
@@ -29,9 +31,10 @@ def build_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Dates and windows are defined in UTC, whatever the host's zone is."""
+def pin_session(spark: SparkSession) -> SparkSession:
+    """For sessions built elsewhere: UTC dates and windows, and adaptive cached plans."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.optimizer.canChangeCachedPlanOutputPartitioning", "true")
     return spark
 
 

@@ -21,7 +21,7 @@ def discover_tables(spark: SparkSession, warehouse: str) -> list[str]:
 
 
 def load_table(spark: SparkSession, warehouse: str, name: str, recursive: bool = False) -> DataFrame:
-    """All Parquet files of one table; hidden files are skipped.
+    """All Parquet files of one table; hidden and other files are skipped.
 
     Partition folders become columns. ``recursive`` reads any nesting instead, ignoring folder names.
     """
@@ -29,7 +29,8 @@ def load_table(spark: SparkSession, warehouse: str, name: str, recursive: bool =
     if not folder_exists(spark, folder):
         raise FileNotFoundError(f"no data folder at {folder}")
     try:
-        return spark.read.option("recursiveFileLookup", str(recursive).lower()).parquet(folder)
+        reader = spark.read.option("pathGlobFilter", "*.parquet")
+        return reader.option("recursiveFileLookup", str(recursive).lower()).parquet(folder)
     except AnalysisException as error:
         raise FileNotFoundError(f"no Parquet files under {folder}") from error
 

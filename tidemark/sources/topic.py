@@ -74,21 +74,29 @@ def topic_partition(key: Column, partitions: int) -> Column:
     return F.pmod(F.crc32(key), F.lit(partitions)).cast("int")
 
 
-def frames(
+def keyed(
     events: DataFrame, partitions: int, topic: str = DEFAULT_TOPIC, version: int = LATEST_VERSION
 ) -> DataFrame:
-    """Accepted events as framed records keyed by user, so one user's events share a partition.
+    """Accepted events with the topic, key and partition they go to; a user stays in one partition.
 
     Events that break a constraint are not published; ``with_violations`` reports them.
     """
-    keyed = accepted(events, version)
-    return keyed.select(
-        F.col("user_id").cast("binary").alias("key"),
-        encode_frame(avro_schema(version), version).alias("value"),
+    key = F.col("user_id").cast("binary")
+    return accepted(events, version).select(
+        "*",
+        key.alias("key"),
         F.lit(topic).alias("topic"),
-        topic_partition(F.col("user_id").cast("binary"), partitions).alias("partition"),
-        "event_id",
-        "event_timestamp",
+        topic_partition(key, partitions).alias("partition"),
+    )
+
+
+def frames(
+    events: DataFrame, partitions: int, topic: str = DEFAULT_TOPIC, version: int = LATEST_VERSION
+) -> DataFrame:
+    """Accepted events as framed records."""
+    value = encode_frame(avro_schema(version), version).alias("value")
+    return keyed(events, partitions, topic, version).select(
+        "key", value, "topic", "partition", "event_id", "event_timestamp"
     )
 
 
@@ -124,15 +132,16 @@ def publish(
     version: int = LATEST_VERSION,
 ) -> None:
     """Write events to a topic, or to Parquet files shaped like one."""
-    records = frames(events, partitions, topic, version)
     if isinstance(target, TopicSource):
+        records = frames(events, partitions, topic, version)
         out = records.select("key", "value", "topic", "partition").write.format("kafka")
         out.option("kafka.bootstrap.servers", target.servers).save()
         return
-    numbered = with_offsets(records, ("event_timestamp", "event_id"))
+    # Numbered before they are encoded, as the sort reads its input twice.
+    numbered = with_offsets(keyed(events, partitions, topic, version), ("event_timestamp", "event_id"))
     shaped = numbered.select(
         "key",
-        "value",
+        encode_frame(avro_schema(version), version).alias("value"),
         "topic",
         "partition",
         "offset",
