@@ -24,7 +24,7 @@ FROM {source}
 
 COPIES = """(SELECT *, event_id * 2 AS position FROM events UNION ALL
   SELECT event_id, ts - INTERVAL 1 HOUR AS ts, user_id, event_type, value, props, event_id * 2 + 1
-  FROM events WHERE event_id % 50 = 0) c"""
+  FROM events WHERE event_type = 'purchase') c"""
 
 AD = "ad AS (" + SHAPED.format(extra="", source="events") + ")"
 SENT = "sent AS (" + SHAPED.format(extra=", position, event_id AS n", source=COPIES) + ")"
@@ -197,10 +197,11 @@ ORACLES: dict[str, str] = {
         AD,
         """SELECT event_id, event_time, user_id, campaign_id, ad_id, device, country, event_type,
         ad_creative_id,
-        CASE WHEN CAST(event_id AS BIGINT) % 3 >= 1 THEN engagement_score END AS engagement_score,
-        CASE WHEN CAST(event_id AS BIGINT) % 3 = 2 THEN user_segment END AS user_segment,
-        CASE WHEN CAST(event_id AS BIGINT) % 3 = 2 THEN conversion_value END AS conversion_value,
-        CASE WHEN CAST(event_id AS BIGINT) % 3 = 2 THEN geo_latitude END AS geo_latitude FROM ad""",
+        CASE WHEN version >= 2 THEN engagement_score END AS engagement_score,
+        CASE WHEN version = 3 THEN user_segment END AS user_segment,
+        CASE WHEN version = 3 THEN conversion_value END AS conversion_value,
+        CASE WHEN version = 3 THEN geo_latitude END AS geo_latitude, version
+        FROM ad, (SELECT CAST(unnest([1, 2, 3]) AS BIGINT) AS version)""",
     ),
     "payload_round_trip": _with(AD, f"SELECT {PAYLOAD} FROM ad WHERE event_type <> 'error'"),
     "frame_outcomes": _with(

@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import scratch_path, pin_session
 from tidemark.sources import sample
-from tidemark.sources.registry import event_decoder
+from tidemark.sources.registry import EVENT_VERSIONS, event_decoder
 from tidemark.sources.topic import FileSource, frames, keyed, publish, with_offsets
 from tidemark.streaming import queries as streams
 
@@ -89,7 +90,7 @@ def payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def raw_days(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw rows as if one batch had been ingested per day; copies come one batch later."""
+    """Raw rows as if one batch had been ingested per day; copies come two batches later."""
     raw = ingest.raw_records(payloads(spark, folder), 0, LOADED_AT)
     return raw.withColumn(
         "ingestion_batch_id",
@@ -251,16 +252,14 @@ def encode_frames_v3(spark, folder):
 
 @query
 def decode_frames(spark, folder):
-    """Frames written by all three versions, decoded by their schema ids."""
-    decoder = event_decoder()
-    events = events_of(spark, folder)
-    version = F.col("event_id").cast("long") % 3 + 1
-    written = [
-        frames(events.where(version == v), sample.TOPIC_PARTITIONS, version=v).select("value") for v in (1, 2, 3)
-    ]
-    together = written[0].unionByName(written[1]).unionByName(written[2])
-    decoded = together.select(decoder.decode(F.col("value")).alias("frame")).select("frame.*")
-    return decoded.select(*PAYLOAD_COLUMNS)
+    """Every event written in all three versions, decoded by schema id."""
+    events, decoder = events_of(spark, folder), event_decoder()
+    written = [frames(events, sample.TOPIC_PARTITIONS, version=v).select("value") for v in EVENT_VERSIONS]
+    together = reduce(DataFrame.unionByName, written)
+    decoded = together.select(
+        decoder.decode(F.col("value")).alias("frame"), frame_schema_id(F.col("value")).alias("version")
+    )
+    return decoded.select("frame.*", "version").select(*PAYLOAD_COLUMNS, "version")
 
 
 @query
@@ -332,7 +331,9 @@ def upsert_events(spark, folder):
     ).withColumn("event_date", F.to_date("event_timestamp"))
     tables.upsert_spec(changes, lake, CURATED)
     kept = lake.read(CURATED)
-    return kept.select("event_id", "event_type", "conversion_value", "event_timestamp", "event_date", "ingestion_batch_id")
+    return kept.select(
+        "event_id", "event_type", "conversion_value", "event_timestamp", "event_date", "ingestion_batch_id"
+    )
 
 
 @query

@@ -52,11 +52,11 @@ def arrival_time() -> Column:
 
 
 def with_copies(events: DataFrame) -> DataFrame:
-    """Driver events plus a copy of every 50th, sent again with an event time one hour earlier.
+    """Driver events plus a copy of every purchase, sent again with an event time one hour earlier.
 
     ``copy`` tells them apart and ``position`` orders all of them.
     """
-    again = events.where(F.col("event_id") % 50 == 0)
+    again = events.where(F.col("event_type") == "purchase")
     copies = again.withColumn("ts", F.col("ts") - F.expr("INTERVAL 1 HOUR"))
     both = events.withColumn("copy", F.lit(0)).unionByName(copies.withColumn("copy", F.lit(1)))
     return both.withColumn("position", F.col("event_id") * 2 + F.col("copy"))
