@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import line_dedup, sharding, url_filter
+from tidemark.llm import decontaminate, line_dedup, quality, sentencepiece_codec, sharding, url_filter
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import pin_session
@@ -27,11 +27,27 @@ def query(function: Query) -> Query:
     return function
 
 
+def piece_model() -> bytes:
+    import public_tokenizers
+
+    return sentencepiece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.place(table(spark, folder, "documents").select("doc_id"), "doc_id").select("doc_id", "slot", "shard")
 
 
+@query
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece_codec.digests(table(spark, folder, "documents"), piece_model())
+
+
 @query
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The list: every URL of `pages` on a host that advertises bets, pills or tracking."""
@@ -40,6 +56,11 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, listed)
 
 
+@query
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
