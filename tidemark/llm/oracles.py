@@ -64,6 +64,21 @@ SELECT page_id, host, path, coalesce(first_rule, next_rule) AS rule,
 FROM keyed LEFT JOIN listed l ON keyed.host <> '' AND keyed.entry = l.entry
 """
 
+ORACLES["op6_threshold_search"] = """
+WITH vectors AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) "rank" FROM scored
+)
+SELECT query_id, "rank", vec_id, score FROM ranked WHERE "rank" <= 5
+"""
+
 ORACLES["op10_line_dedup"] = rf"""
 WITH lines AS (
   SELECT doc_id, generate_subscripts(parts, 1) AS pos, unnest(parts) AS line

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, quality, sentencepiece_codec, sharding, url_filter
+from tidemark.llm import decontaminate, line_dedup, quality, sentencepiece_codec, sharding, simhash, topk, url_filter
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import pin_session
@@ -56,11 +56,22 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(pages, listed)
 
 
+@query
+def op6_threshold_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return topk.search(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 @query
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+@query
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.components(table(spark, folder, "documents"))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
