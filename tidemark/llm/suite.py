@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, quality, sentencepiece_codec, sharding, simhash, topk, url_filter
+from tidemark.llm import (
+    decontaminate,
+    line_dedup,
+    quality,
+    recompression,
+    sentencepiece_codec,
+    sharding,
+    simhash,
+    suffix_array,
+    topk,
+    url_filter,
+)
 from tidemark.llm.common import table
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import pin_session
@@ -48,6 +59,11 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return sentencepiece_codec.digests(table(spark, folder, "documents"), piece_model())
 
 
+@query
+def op4_suffix_array(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_array.digests(table(spark, folder, "documents"))
+
+
 @query
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The list: every URL of `pages` on a host that advertises bets, pills or tracking."""
@@ -72,6 +88,11 @@ def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.components(table(spark, folder, "documents"))
 
 
+@query
+def op9_recompression(spark: SparkSession, folder: str) -> DataFrame:
+    return recompression.digests(table(spark, folder, "documents"))
+
+
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
