@@ -40,6 +40,14 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def unused(frame: DataFrame, name: str) -> str:
+    """A column name that the frame does not have, in any spelling."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def lower_ascii(column: Column) -> Column:
     """A-Z lower-cased, all other letters as they are."""
     return F.translate(column, ASCII_UPPER, ASCII_LOWER)
@@ -57,6 +65,9 @@ def longs(batch: pa.RecordBatch, name: str) -> np.ndarray:
 
 def slices(batch: pa.RecordBatch, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """A batch in pieces of about ``limit`` bytes of text, so that working memory has a bound."""
+    if "text" not in batch.schema.names:
+        yield batch
+        return
     start, size = 0, 0
     lengths = batch.column("text").cast(pa.large_binary())
     for i in range(batch.num_rows):

@@ -149,8 +149,17 @@ class Matcher:
         return out
 
 
+def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """Distinct items, BLOCK characters or one item at a time."""
+    items = benchmark.selectExpr("cast(item_id as long) item_id", "text").where("length(text) > 0")
+    blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK)
+    for block in range(blocks):
+        own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).distinct()
+        yield [(r.item_id, comparable(r.text)) for r in own.collect()]
+
+
 def _search(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(items)  # BLOCK characters, or one item
+    shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(shared.value, rate)
@@ -169,23 +178,26 @@ def _search(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataF
     return docs.mapInArrow(rows, LEAKS)
 
 
+def _without(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(items)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(shared.value, rate)
+        for batch in batches:
+            yield batch.filter(pa.array([not matcher.leaks(t or "") for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, distance, and begin and end in characters, of each item found in a document."""
     texts = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    items = benchmark.selectExpr("cast(item_id as long) item_id", "text").where("length(text) > 0")
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = -(-size // BLOCK)
-    found = []
-    for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).distinct().collect()
-        found.append(_search([(r.item_id, comparable(r.text)) for r in own], rate, texts))
+    found = [_search(items, rate, texts) for items in _blocks(benchmark)]
     if not found:
         return docs.sparkSession.createDataFrame([], LEAKS)
     return reduce(DataFrame.unionByName, found).distinct()
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
-    """The documents, all columns, that hold no item; rows with a null doc_id stay if they hold none."""
-    leaky = find_leaks(docs.withColumn("doc_id", F.xxhash64("doc_id", "text")), benchmark, rate)
-    keys = leaky.select(F.col("doc_id").alias("_key")).distinct()
-    return docs.join(keys, F.xxhash64(docs["doc_id"], docs["text"]) == keys["_key"], "left_anti")
+    """The documents, all columns, that hold no item."""
+    return reduce(lambda left, items: _without(items, rate, left), _blocks(benchmark), docs)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from tidemark.llm.common import binaries, keyed_texts, longs, octets, slices
+from tidemark.llm.common import binaries, keyed_texts, longs, octets, slices, unused
 
 MIN_CODE_POINTS = 10
 
@@ -201,14 +201,12 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The bitmap is the last column."""
     for batch in batches:
+        texts = batch.column("text").cast(pa.large_binary()).to_pylist()
         kept = [
             None if t is None else _apply(t, k)[0].decode("utf-8", "replace")
-            for t, k in zip(
-                batch.column("text").cast(pa.large_binary()).to_pylist(),
-                batch.column("keep").to_pylist(),
-                strict=True,
-            )
+            for t, k in zip(texts, batch.column(batch.num_columns - 1).to_pylist(), strict=True)
         ]
         at = batch.schema.get_field_index("text")
         columns = [pa.array(kept, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
@@ -228,10 +226,8 @@ def line_digests(docs: DataFrame, least: int = MIN_CODE_POINTS) -> DataFrame:
 
 def drop_lines(docs: DataFrame, least: int = MIN_CODE_POINTS) -> DataFrame:
     """The documents, all columns, with only the kept lines in ``text``; null texts stay null."""
-    maps = keep_bitmaps(docs, least)
-    maps = maps.where("n_dropped > 0").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), F.col("keep").alias("_keep")
-    )
-    key = F.hash(docs["text"])
-    joined = docs.join(maps, (docs["doc_id"] == maps["_id"]) & (key == maps["_key"]), "left")
-    return joined.drop("_id", "_key").mapInArrow(_texts, docs.schema)
+    own, key, keep = (unused(docs, c) for c in ("id_", "key_", "keep_"))
+    maps = keep_bitmaps(docs, least).where("n_dropped > 0")
+    maps = maps.select(F.col("doc_id").alias(own), F.col("text_key").alias(key), F.col("keep").alias(keep))
+    joined = docs.join(maps, (docs["doc_id"] == maps[own]) & (F.hash(docs["text"]) == maps[key]), "left")
+    return joined.drop(own, key).mapInArrow(_texts, docs.schema)

@@ -12,9 +12,9 @@ from tidemark.llm import (
     line_dedup,
     quality,
     recompression,
-    sentencepiece_codec,
     sharding,
     simhash,
+    stages,
     suffix_array,
     topk,
     url_filter,
@@ -38,12 +38,6 @@ def query(function: Query) -> Query:
     return function
 
 
-def piece_model() -> bytes:
-    import public_tokenizers
-
-    return sentencepiece_codec.read_model(public_tokenizers.path("piece_bpe_32k.model"))
-
-
 @query
 def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rated(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -56,7 +50,7 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    return sentencepiece_codec.digests(table(spark, folder, "documents"), piece_model())
+    return stages.pieces_stage(spark, table(spark, folder, "documents"), folder)
 
 
 @query
