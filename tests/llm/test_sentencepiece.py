@@ -1,0 +1,120 @@
+import random
+import struct
+
+import pytest
+from helpers import SMALL, by_id, documents, sha
+
+import sentencepiece
+from sentencepiece import sentencepiece_model_pb2
+
+from tidemark.llm import sentencepiece_codec as s
+from tidemark.llm.common import table
+
+public_tokenizers = pytest.importorskip("public_tokenizers")
+
+ODD = [
+    "", " ", "  a  b ", "\n\n x", "▁x▁▁", "<s>hi</s> <unk>", "a\0b", "日本語 テスト😀é", "a\tb\r\n  \n", "123 4567 ①", " ⁇ ",
+    "<0x41>", "​̀ ab", "ﬁ ﬂ Ⅷ ｶﾞ　x", "x" * 500 + " " + "é" * 300, "é ẛ̣", "　　a　", "Å",
+]
+
+
+@pytest.fixture(scope="module")
+def model():
+    return s.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def compiled(pairs):
+    """A character map: a double array of the sources, laid out one node after another."""
+    trie = {}
+    for source, _ in pairs:
+        node = trie
+        for byte in source.encode():
+            node = node.setdefault(byte, {})
+        node[None] = source
+    targets, at = b"", {}
+    for source, target in pairs:
+        at[source] = len(targets)
+        targets += target.encode() + b"\0"
+    units, free = {0: 0}, 256
+    todo = [(0, trie)]
+    while todo:
+        place, node = todo.pop()
+        base = free
+        free += 256  # a page of its own for each node
+        offset = place ^ base
+        units[place] = units[place] | (offset << 10 if offset < 1 << 21 else (offset >> 8) << 10 | 512) | (256 if None in node else 0)
+        if None in node:
+            units[base] = at[node[None]] | 1 << 31
+        for byte, child in node.items():
+            if byte is not None:
+                units[base ^ byte] = byte
+                todo.append((base ^ byte, child))
+    array = struct.pack(f"<{free}I", *(units.get(i, 0) for i in range(free)))
+    return struct.pack("<I", len(array)) + array + targets
+
+
+def variant(model, **changes):
+    proto = sentencepiece_model_pb2.ModelProto.FromString(model)
+    for name, value in changes.items():
+        setattr(proto.normalizer_spec, name, value)
+    return proto.SerializeToString()
+
+
+MAP = [("ﬁ", "fi"), ("é", "e"), ("é", "E!"), ("e", "e"), ("ab", "b"), ("abc", "xyz "), ("q", ""), ("\t", " "), ("　", " "), ("Ⅷ", "VIII")]
+
+
+def agree(model, texts):
+    own, library = s.Codec(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for text in texts:
+        ids, begins, ends = own.encode(text.encode())
+        assert ids == library.encode(text), text
+        assert own.decode(ids).decode() == library.decode(ids), text
+        proto = library.encode(text, out_type="proto")
+        assert [(p.begin, p.end) for p in proto.pieces] == list(zip(begins.tolist(), ends.tolist(), strict=True)), text
+
+
+def random_texts():
+    draw = random.Random(2)
+    alphabet = "abcq eé éﬁ\t　Ⅷ▁\n.1日😀"
+    return ["".join(draw.choices(alphabet, k=draw.randint(0, 60))) for _ in range(200)]
+
+
+def test_public_model(model):
+    agree(model, ODD + random_texts())
+
+
+@pytest.mark.parametrize("squeeze", [False, True])
+@pytest.mark.parametrize("dummy", [False, True])
+def test_compiled_maps(model, squeeze, dummy):
+    changed = variant(model, precompiled_charsmap=compiled(MAP), remove_extra_whitespaces=squeeze, add_dummy_prefix=dummy)
+    agree(changed, ODD + random_texts() + ["abc abcab q abq", " q ", "abcabc  q  "])
+
+
+def test_digests(spark, model):
+    library = sentencepiece.SentencePieceProcessor(model_proto=model)
+    frame = table(spark, SMALL, "documents")
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    got = by_id(s.digests(frame, model))
+    assert got.keys() == texts.keys()
+    for i, text in texts.items():
+        ids = library.encode(text)
+        want = (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)), len(text.encode()))
+        assert (got[i].n_tokens, got[i].ids_sha256, got[i].decoded_sha256, got[i].n_spanned) == want
+
+
+def test_round_trip_and_edges(spark, model):
+    docs = documents(spark, [None, "", "Tab\tand  spaces ", "x y" * 50_000, "same", "same"], [0, 1, 2, 3, 4, 4])
+    encoded = s.encode(docs, model)
+    back = by_id(s.decode(encoded, model))
+    assert {i: r.text for i, r in back.items()} == {0: "", 1: "", 2: "Tab\tand  spaces ", 3: "x y" * 50_000, 4: "same"}
+    spans = by_id(encoded)[2]
+    assert spans.begins[0] == 0 and spans.ends[-1] == 16 and spans.begins[1:] == spans.ends[:-1]
+    empty = by_id(s.digests(docs, model))[0]
+    assert (empty.n_tokens, empty.ids_sha256, empty.decoded_sha256) == (0, sha(""), sha(""))
+    assert s.digests(documents(spark, []), model).count() == 0
+    assert s.decode(s.encode(documents(spark, []), model), model).count() == 0
+
+
+def test_broken_bytes_are_replaced():
+    assert s._repaired(b"\xe2\x82\xac") == "€".encode()
+    assert s._repaired(b"a\xff\xc3\xa9\xc3").decode() == "a��".replace("��", "�é�")

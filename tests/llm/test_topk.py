@@ -1,0 +1,74 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import topk
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, vector string, block int")
+
+
+def brute(rows, k):
+    good = {
+        (i, tuple(math.floor(256 * float(np.float32(x))) for x in v))
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    }
+    out = {}
+    for q, a in good:
+        if q % 50 == 0:
+            found = {}
+            for c, b in good:
+                if c != q:
+                    score = sum(x * y for x, y in zip(a, b, strict=False))
+                    found[c] = max(score, found.get(c, score))
+            for c, score in found.items():
+                out.setdefault(q, {})[c] = max(score, out.get(q, {}).get(c, score))
+    return {q: sorted(((-s, c) for c, s in found.items()))[:k] for q, found in out.items()}
+
+
+def check(spark, rows, k=5):
+    frame = vectors(spark, [(i, v, 0, "x", 1) for i, v in rows])
+    got = {}
+    for r in topk.search(frame, F.col("vec_id") % 50 == 0, k).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((-r.score, r.vec_id))
+        assert r["rank"] == len(got[r.query_id])
+    assert got == {q: f for q, f in brute(rows, k).items() if f}
+
+
+@pytest.mark.parametrize("block, group", [(16_384, 8_192), (40, 2)])
+def test_ties_nulls_and_odd_vectors(spark, monkeypatch, block, group):
+    monkeypatch.setattr(topk, "BLOCK", block)
+    monkeypatch.setattr(topk, "QUERY_GROUP", group)
+    draw = random.Random(0)
+    rows = [(i, [draw.choice([-1.0, 0.0, 0.5, 0.25]) for _ in range(4)]) for i in range(300)]
+    rows += [(i, [0.5, 0.5, 0.5, 0.5]) for i in range(300, 420)]  # one very common vector
+    rows += [(500, [0.0] * 4), (550, None), (600, [1.0, None, 0.0, 0.0]), (601, [float("nan")] * 4), (602, [float("inf")] * 4)]
+    rows += [(None, [9.0] * 4), (3, rows[3][1]), (3, [1.0] * 4), (50, [-0.3, 0.1, 0.2, 0.9]), (650, []), (651, [0.75, 0.75])]
+    check(spark, rows)
+
+
+def test_large_components_are_exact(spark):
+    check(spark, [(i, [float(2**20 + i), 1 / 3, -float(2**14) * i]) for i in range(101)])
+
+
+def test_few_and_no_candidates(spark):
+    check(spark, [(0, [1.0]), (7, [2.0])])
+    check(spark, [(0, [1.0])])
+    assert topk.search(vectors(spark, []), F.col("vec_id") % 50 == 0, 5).collect() == []
+
+
+def test_reading_stops_early():
+    """Near queries need only the tops of the lists."""
+    draw = np.random.default_rng(0)
+    rows = np.floor(draw.normal(size=(5000, 3)) * 256)
+    rows[17] = [5000, 5000, 5000]
+    lists = topk.SortedLists(np.arange(5000), rows)
+    read = []
+    lists.vectors = type("Counting", (), {"__getitem__": lambda _, at: read.append(len(at)) or rows[at]})()
+    ids, scores = lists.best(np.array([900.0, 800.0, 700.0]), -1, 1)
+    assert ids.tolist() == [17] and sum(read) < 500

@@ -1,0 +1,80 @@
+import re
+
+from pyspark.sql import functions as F
+
+from tidemark.llm import url_filter
+
+
+def pages(spark, urls):
+    rows = [(i, u, "x", True) for i, u in enumerate(urls)]
+    return spark.createDataFrame(rows, "page_id long, url string, entry string, listed boolean")
+
+
+def brute(url):
+    if url is None or "://" not in url:
+        return "", "", None
+    rest = url.split("://", 1)[1]
+    host = re.match(r"[^/?#]*", rest)[0]
+    path = re.match(r"[^?#]*", rest[len(host) :])[0]
+    host = "".join(c.lower() if c < "\x80" else c for c in host)
+    fitting = [r for r in url_filter.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return host, path, max(fitting, key=lambda r: len(r.text), default=None)
+
+
+URLS = [
+    None,
+    "",
+    "no scheme",
+    "http://",
+    "http://A.Example.ORG/es/x?q#f",
+    "https://example.org/en/17",
+    "https://example.org/en/2",
+    "https://badexample.org/es/",
+    "http://x.com/de/",
+    "http://x.com/fr/a",
+    "http://com/fr/",
+    "http://com.com/de",
+    "http://x.net?u=/de/",
+    "http://www.spam.net/a/",
+    "https://m.spam.net/a#top",
+    "https://spam.net/b",
+    "http://ÄÖ.net/ä://y",
+    "http://x.net:80/a",
+    "http://org",
+    "http://org/",
+]
+
+
+def test_against_brute_force(spark):
+    listed = spark.createDataFrame([("ftp://spam.net/a",), ("ftp://www.spam.net/a/",), (None,), ("nothing",)], "url string")
+    got = {r.page_id: r for r in url_filter.judge(pages(spark, URLS + URLS), listed).collect()}
+    assert len(got) == 2 * len(URLS)
+    for i, url in enumerate(URLS + URLS):
+        host, path, rule = brute(url)
+        r = got[i]
+        assert (r.host, r.path, r.rule) == (host, path, rule.text if rule else None), url
+        is_listed = re.sub(r"^(www|m)\.", "", host) + path.rstrip("/") == "spam.net/a"
+        assert r.listed == is_listed
+        assert r.verdict == (rule.verdict if rule else "block" if is_listed else "allow")
+
+
+def test_filter_has_no_false_negatives_and_few_false_positives(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("entry"))
+    blocks = url_filter.blocks_for(2000)
+    table = url_filter.bloom(keys.where("entry < 'k4'"), blocks)
+    key = F.xxhash64("entry")
+    probe = keys.select("entry", url_filter._block(key, blocks).alias("block"), url_filter._mask(key).alias("mask"))
+    hit = probe.join(table, "block", "left").withColumn("hit", F.col("word").bitwiseAND(F.col("mask")) == F.col("mask"))
+    inside, outside = hit.where("entry < 'k4'"), hit.where("entry >= 'k4'")
+    assert inside.where("not coalesce(hit, false)").count() == 0
+    assert outside.where("coalesce(hit, false)").count() < 0.1 * outside.count()
+
+
+def test_empty_tables_and_a_full_filter(spark, monkeypatch):
+    none = spark.createDataFrame([], "url string")
+    assert url_filter.judge(pages(spark, []), none).count() == 0
+    assert {r.verdict for r in url_filter.judge(pages(spark, ["http://x.net/a"]), none).collect()} == {"allow"}
+    monkeypatch.setattr(url_filter, "MAX_BLOCKS", 1)  # every bit is set, and the join decides alone
+    listed = spark.createDataFrame([(f"http://l{i}.net/",) for i in range(500)], "url string")
+    got = url_filter.judge(pages(spark, [f"http://l{i}.net" for i in range(400, 600)]), listed).collect()
+    assert sum(r.verdict == "block" for r in got) == 100

@@ -37,6 +37,61 @@ WITH RECURSIVE shards AS (
 SELECT doc_id, slot, shard FROM keyed JOIN lookup USING (slot) JOIN shards USING (i)
 """
 
+ORACLES["op4_suffix_array"] = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+  SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM bytes
+), named AS (
+  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM starts
+), repeated AS (
+  SELECT doc_id, i FROM named JOIN (SELECT k FROM named GROUP BY k HAVING count(*) > 1) USING (k)
+), marked AS (
+  SELECT *, coalesce(i > lag(i) OVER w + 200, true) AS opens FROM repeated WINDOW w AS (PARTITION BY doc_id ORDER BY i)
+), numbered AS (
+  SELECT *, count_if(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM marked
+), spans AS (
+  SELECT doc_id, span, min(i) AS b, max(i) + 200 AS e FROM numbered GROUP BY doc_id, span
+), gaps AS (
+  SELECT doc_id, span, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS after FROM spans
+), pieces AS (
+  SELECT doc_id, string_agg(substr(h, 2 * after + 1, 2 * (b - after)), '' ORDER BY b) AS front,
+    max(e) AS last, sum(e - b)::BIGINT AS n_removed, count(*) AS n_spans
+  FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed,
+  coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(front, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM bytes LEFT JOIN pieces USING (doc_id)
+"""
+
+ORACLES["op9_recompression"] = r"""
+WITH split AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)
+), first AS (
+  SELECT k, min(doc_id) AS holder FROM windows GROUP BY k
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos
+  FROM windows JOIN first USING (k) WHERE doc_id > holder
+), words AS (
+  SELECT doc_id, generate_subscripts(w, 1) AS pos, unnest(w) AS word FROM split
+), judged AS (
+  SELECT w.doc_id, w.pos, word, g.pos IS NOT NULL AS lost
+  FROM words w LEFT JOIN gone g ON w.doc_id = g.doc_id AND w.pos = g.pos
+), summed AS (
+  SELECT doc_id, count(*) AS n_words, count_if(lost)::BIGINT AS n_removed,
+    string_agg(word, ' ' ORDER BY pos) FILTER (NOT lost) AS kept
+  FROM judged GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN summed USING (doc_id)
+"""
+
 ORACLES["op5_url_filter"] = rf"""
 WITH split AS (
   SELECT page_id,

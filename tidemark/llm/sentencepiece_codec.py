@@ -94,13 +94,16 @@ class Normalizer:
         space = MARK_BYTES if self.escape else b" "
         after_space, started, end = self.squeeze, False, 0
         for start, end, new in self._units(text):
+            if not started:
+                if self.squeeze and new == b" ":
+                    continue
+                started = True
+                if self.dummy:
+                    out += space
+                    origin += [start] * len(space)
             if after_space:
                 new = new.lstrip(b" ")
             if new:
-                if not started and self.dummy:
-                    out += space
-                    origin += [start] * len(space)
-                started = True
                 escaped = new.replace(b" ", space)
                 out += escaped
                 origin += [start] * len(escaped)
@@ -182,13 +185,18 @@ class Codec:
         return ids, bounds[:-1], bounds[1:]
 
     def decode(self, ids: list[int]) -> bytes:
-        return self.trimmed(self._surface(ids))
-
-    def trimmed(self, surface: bytes) -> bytes:
-        """Without the space that normalisation puts first."""
-        if self.squeezes:
-            return surface.lstrip(b" ")
-        return surface[1:] if self.strips and surface.startswith(b" ") else surface
+        """Pieces in a row, without the space that normalisation puts first.
+
+        A model that squeezes spaces drops one from each piece as long as nothing else has come.
+        """
+        if not self.squeezes:
+            surface = self._surface(ids)
+            return surface[1:] if self.strips and surface.startswith(b" ") else surface
+        for n, i in enumerate(ids):
+            first = b"" if i in self.bytes_of else self.surface_of[i].removeprefix(b" ")
+            if first or i in self.bytes_of:
+                return first + self._surface(ids[n + 1 :] if first else ids[n:])
+        return b""
 
     def digest(self, text: bytes) -> tuple[int, str, bytes, int]:
         """Number of ids, their SHA-256, the decoded text, and the bytes that the pieces' spans cover."""

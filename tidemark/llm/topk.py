@@ -50,9 +50,12 @@ def _matrix(table: pa.Table, width: int) -> np.ndarray:
     return out
 
 
-def _better(score, ids, k: int) -> np.ndarray:
-    """Places of the k highest scores, ties to the smaller id."""
-    return np.lexsort((ids, -score))[:k]
+def _better(score, ids, k: int, repeats: bool) -> np.ndarray:
+    """Places of the k highest scores, ties to the smaller id; if ids repeat, of their best scores."""
+    order = np.lexsort((ids, -score))
+    if repeats:
+        order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+    return order[:k]
 
 
 class SortedLists:
@@ -60,6 +63,7 @@ class SortedLists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
+        self.repeats = len(np.unique(ids)) < len(ids)
         self.order = np.ascontiguousarray(np.argsort(vectors, axis=0, kind="stable").T)
         self.values = np.take_along_axis(vectors.T, self.order, axis=1)
 
@@ -84,7 +88,7 @@ class SortedLists:
                 left -= len(fresh)
                 ids = np.concatenate((ids, self.ids[fresh]))
                 scores = np.concatenate((scores, self.vectors[fresh] @ query))
-                top = _better(scores, ids, k)
+                top = _better(scores, ids, k, self.repeats)
                 ids, scores = ids[top], scores[top]
             depth = end
             if depth < n and len(ids) == k:
