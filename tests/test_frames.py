@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions.frames import (
+    _not_text,
     FrameDecoder,
     decode_batch,
     encode_batch,
@@ -19,7 +20,8 @@ from tidemark.functions.frames import (
 )
 from tidemark.schemas import PAYLOAD_COLUMNS, avro_schema
 from tidemark.session import scratch_path
-from tidemark.sources.registry import event_decoder, read_schema_file, schema_for_topic
+from tidemark.sources import sample
+from tidemark.sources.registry import event_decoder, read_schema_file, read_writer_schemas, schema_for_topic
 
 # Bodies written by the Avro Java library.
 V1_BODY = (
@@ -44,7 +46,7 @@ def frame(schema_id, body):
 
 
 def decoded(spark, values, decoder=None):
-    decoder = decoder or event_decoder()
+    decoder = decoder or sample.version_decoder()
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i INT, value BINARY")
     out = rows.select("i", decoder.decode(F.col("value")).alias("f")).orderBy("i").collect()
     return [r["f"].asDict() for r in out]
@@ -210,7 +212,7 @@ def test_java_library_reads_our_frames(spark):
 
 
 def test_payload_text_and_versions(spark):
-    decoder = event_decoder()
+    decoder = sample.version_decoder()
     rows = spark.createDataFrame([(frame(1, V1_BODY),), (b"no",)], "value BINARY")
     texts = rows.select(decoder.decode(F.col("value")).alias("f")).select(decoder.payload_json(F.col("f")))
     good, bad = [r[0] for r in texts.collect()]
@@ -231,3 +233,33 @@ def test_schema_resolution():
         flat_fields('{"fields": [{"name": "x", "type": {"type": "array", "items": "int"}}]}')
     with pytest.raises(ValueError, match="conflicting"):
         FrameDecoder({1: '{"fields": [{"name": "event_id", "type": "int"}]}'}, avro_schema())
+
+
+def test_large_arrow_types(spark):
+    frames = [frame(1, V1_BODY), None, b"no", frame(1, V1_BODY)]
+    fields = {1: flat_fields(avro_schema(1))}
+    output = [(f.name, f.kind) for f in fields[1]]
+    small, large = (
+        decode_batch(pa.array(frames, kind), fields, fields[1], output) for kind in (pa.binary(), pa.large_binary())
+    )
+    assert small.equals(large) and small.field("decoded").to_pylist() == [True, False, False, True]
+    whole = decode_batch(pa.array([b"x", *frames], pa.large_binary())[1:], fields, fields[1], output)
+    assert whole.equals(small)
+
+
+def test_broken_text_is_found_by_halving():
+    good = [b"a", "\u00e9".encode(), b"", b"long" * 50] * 40
+    rows = list(good)
+    for i in (0, 77, 159):
+        rows[i] = b"\xff\xfe"
+    assert _not_text(pa.array(rows, pa.binary()), 0, len(rows)) == [0, 77, 159]
+    assert _not_text(pa.array(good, pa.binary()), 0, len(good)) == []
+
+
+def test_writer_schemas_by_registry_id(spark):
+    path = scratch_path(spark, "schemas")
+    text = json.dumps({"1": json.loads(avro_schema(3)), "7": avro_schema(1)})
+    spark.createDataFrame([(text,)], "line STRING").coalesce(1).write.text(path)
+    found = read_writer_schemas(spark, path)
+    assert flat_fields(found[1]) == flat_fields(avro_schema(3)) and flat_fields(found[7]) == flat_fields(avro_schema(1))
+    assert event_decoder().writers == {}

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.plans import sqlfile
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import lake as lakes
-from tidemark.sources.topic import FileSource, publish, topic_partition, with_offsets
+from tidemark.sources.topic import FileSource, in_user_order, keyed, publish, topic_partition, with_offsets
 from tidemark.schemas import TOPIC_SCHEMA
 from tidemark.sources import sample
 
@@ -60,6 +60,45 @@ def test_registering_all_skips_empty_tables(spark, warehouse):
         lakes.register_tables(spark, warehouse, ["b_table", "empty"])
 
 
+def test_evolved_tables_keep_all_columns(spark):
+    path = scratch_path(spark, "evolved")
+    spark.range(2).selectExpr("id a", "1 d").write.partitionBy("d").parquet(f"{path}/t/data")
+    later = spark.range(2).selectExpr("id a", "'x' b", "2 d")
+    later.write.mode("append").partitionBy("d").parquet(f"{path}/t/data")
+    rows = lakes.load_table(spark, path, "t")
+    assert set(rows.columns) == {"a", "b", "d"} and rows.where("b is null").count() == 2
+
+
+def test_named_tables():
+    text = "-- from c\nselect 'd', \"e\" from a /* f */ join `B` on true"
+    assert sqlfile.named_tables(text, ["a", "b", "c", "d", "e", "f"]) == ["a", "b"]
+    assert sqlfile.result_name(text, ["c", "a"]) == "a"
+
+
+def test_catalog_tables(spark, warehouse):
+    spark.sql("CREATE DATABASE IF NOT EXISTS reports")
+    spark.range(3).write.mode("overwrite").saveAsTable("reports.numbers")
+    rows, output = sqlfile.run_sql_file(
+        spark, None, sql(spark, "SELECT sum(id) s FROM numbers"), output=f"{warehouse}/out", database="reports"
+    )
+    assert spark.read.option("header", True).csv(output).collect()[0].s == "3"
+    assert spark.catalog.currentDatabase() == "default"
+
+
+def test_a_user_leaves_in_order(spark):
+    events = sample.ad_events(spark, SMALL)
+    placed = in_user_order(keyed(events, 3)).select(
+        "user_id", "event_timestamp", F.monotonically_increasing_id().alias("n")
+    )
+    rows = sorted((r.n, r.user_id, r.event_timestamp) for r in placed.collect())
+    last, tasks = {}, defaultdict(set)
+    for n, user, moment in rows:
+        assert last.get(user, moment) <= moment
+        last[user] = moment
+        tasks[user].add(n >> 33)
+    assert all(len(t) == 1 for t in tasks.values())
+
+
 def test_result_name():
     known = ["alpha", "beta"]
     assert sqlfile.result_name("select * from other o join beta b on true", known) == "beta"

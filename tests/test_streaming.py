@@ -12,7 +12,7 @@ from tidemark.functions.frames import encode_frame
 from tidemark.operators.metrics import latest_snapshot
 from tidemark.schemas import CURATED, LATE, METRICS, RAW, STATS, TOPIC_SCHEMA, avro_schema
 from tidemark.session import scratch_path
-from tidemark.sources.registry import event_decoder
+from tidemark.sources import sample
 from tidemark.sources.topic import FileSource, TopicSource, read_event_stream
 from tidemark.streaming import queries as streams
 
@@ -93,7 +93,7 @@ def test_late_data_trace(spark, lake):
         rows = batch.select("window_start", "clicks").collect()
         emitted[batch_id] = sorted((r["window_start"].strftime("%H:%M:%S"), r["clicks"]) for r in rows)
 
-    live = streams.live_metrics(stream, event_decoder())
+    live = streams.live_metrics(stream, sample.version_decoder())
     query = (
         live.writeStream.foreachBatch(keep)
         .outputMode("update")
@@ -108,7 +108,7 @@ def test_late_data_trace(spark, lake):
     assert dropped == LATE_DROPPED
 
     ingest = streams.start_ingest(
-        read_event_stream(spark, FileSource(folder)), lake, event_decoder(),
+        read_event_stream(spark, FileSource(folder)), lake, sample.version_decoder(),
         scratch_path(spark, "checkpoint"), None, name="trace_ingest",
     )
     ingest.awaitTermination()
@@ -129,7 +129,7 @@ def test_views_do_not_move_the_watermark(spark):
     feed(spark, folder, [[(0, "12:00:00", 1, "click")], [(1, "18:00:00", 1, "view")], [(2, "11:00:00", 1, "click")],
                          [(3, "11:00:01", 1, "click")]])
     stream = read_event_stream(spark, FileSource(folder, max_files=1))
-    live = streams.live_metrics(stream, event_decoder())
+    live = streams.live_metrics(stream, sample.version_decoder())
     seen = []
     query = (
         live.writeStream.foreachBatch(lambda batch, _: seen.extend(batch.select("clicks").collect()))
@@ -148,7 +148,7 @@ def test_repeated_ids_count_unless_deduped(spark, lake):
     feed(spark, folder, [twice, twice])
     for dedupe, clicks in ((False, 2), (True, 1)):
         stream = read_event_stream(spark, FileSource(folder, max_files=1))
-        live = streams.live_metrics(stream, event_decoder(), dedupe=dedupe)
+        live = streams.live_metrics(stream, sample.version_decoder(), dedupe=dedupe)
         query = streams.start_metrics(
             live, lake, scratch_path(spark, "checkpoint"), None, name=f"dedupe_{dedupe}"
         )
@@ -181,7 +181,7 @@ def test_statistics_are_kept_as_snapshots(spark, lake):
     folder, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
     feed(spark, folder, [[(0, "12:00:00", 1, "view")], [(1, "12:04:59", 1, "view"), (2, "12:05:00", 1, "click")]])
     stream = read_event_stream(spark, FileSource(folder, max_files=1))
-    query = streams.start_stats(streams.live_stats(stream, event_decoder()), lake, checkpoints, None)
+    query = streams.start_stats(streams.live_stats(stream, sample.version_decoder()), lake, checkpoints, None)
     query.awaitTermination()
     kept = lake.read(STATS)
     assert sorted(r["event_count"] for r in kept.where("event_type = 'view'").collect()) == [1, 2]
@@ -195,7 +195,7 @@ def test_statistics_are_kept_as_snapshots(spark, lake):
 
 
 def test_replayed_batch_changes_nothing(spark, lake):
-    decoder = event_decoder()
+    decoder = sample.version_decoder()
     batch = records(spark, [(i, f"12:00:{i:02d}", 1, "click") for i in range(10)])
     broken = batch.limit(1).withColumns({"value": F.lit(b"junk!"), "offset": F.lit(99).cast("long")})
     batch = batch.unionByName(broken)
@@ -210,7 +210,7 @@ def test_replayed_batch_changes_nothing(spark, lake):
 
 def test_empty_batch_writes_nothing(spark, lake):
     nothing = records(spark, [(0, "12:00:00", 1, "click")]).where(F.lit(False))
-    assert streams.ingest_batch(nothing, 0, lake, event_decoder())["total"] == 0
+    assert streams.ingest_batch(nothing, 0, lake, sample.version_decoder())["total"] == 0
     assert streams.metrics_batch(lake.read(METRICS), 0, lake) == 0
     assert lake.read(RAW).count() == 0
 
@@ -223,7 +223,7 @@ def test_late_table_and_quarantine(spark, lake):
     path = scratch_path(spark, "quarantine")
     options = streams.IngestOptions(separate_late=True, quarantine=path)
     for _ in range(2):  # a replay must not quarantine a record twice
-        streams.ingest_batch(batch.unionByName(bad), 0, lake, event_decoder(), options)
+        streams.ingest_batch(batch.unionByName(bad), 0, lake, sample.version_decoder(), options)
     assert [r["event_id"] for r in lake.read(CURATED).collect()] == ["e1"]
     assert [r["event_id"] for r in lake.read(LATE).collect()] == ["e0"]
     held = spark.read.json(path)
@@ -243,5 +243,48 @@ def test_failure_is_reported_and_the_other_query_stopped(spark, lake):
 def test_topic_options():
     options = TopicSource("a:1,b:2").options()
     assert options["subscribe"] == "ads_events" and options["startingOffsets"] == "earliest"
-    assert options["failOnDataLoss"] == "false" and options["maxOffsetsPerTrigger"] == "2000"
-    assert "maxOffsetsPerTrigger" not in TopicSource("a:1", max_offsets=None).options()
+    assert options["failOnDataLoss"] == "true" and "maxOffsetsPerTrigger" not in options
+    loose = TopicSource("a:1", max_offsets=5, fail_on_data_loss=False).options()
+    assert (loose["failOnDataLoss"], loose["maxOffsetsPerTrigger"]) == ("false", "5")
+
+
+REQUIRED = ["--servers", "a:1", "--checkpoints", "/cp", "--location", "/lake"]
+
+
+def test_flags_of_the_live_job(spark):
+    plain = streams.arguments(REQUIRED)
+    assert streams.source_of(plain) == TopicSource("a:1")
+    assert streams.options_of(plain) == streams.IngestOptions()
+    path = scratch_path(spark, "schemas")
+    text = f'{{"7": {avro_schema(1)}}}'
+    spark.createDataFrame([(text,)], "line STRING").coalesce(1).write.text(path)
+    args = streams.arguments(
+        [*REQUIRED, "--max-offsets", "9", "--tolerate-data-loss", "--schemas", path, "--separate-late", "--match-days", "3"]
+    )
+    assert streams.source_of(args) == TopicSource("a:1", max_offsets=9, fail_on_data_loss=False)
+    assert streams.options_of(args).separate_late and streams.options_of(args).curated_match_where is not None
+    decoder = streams.decoder_of(spark, args)
+    assert set(decoder.writers) == {7} and len(decoder.writers[7]) == 9 and len(decoder.default) == 13
+    with pytest.raises(SystemExit):
+        streams.arguments(REQUIRED[:4])
+
+
+def test_all_queries_are_stopped_though_one_cannot_be():
+    class Query:
+        isActive = True
+        stopped = False
+
+        def __init__(self, name, failure, stops):
+            self.name, self.failure, self.stops = name, failure, stops
+
+        def exception(self):
+            return self.failure
+
+        def stop(self):
+            self.stopped = True
+            if not self.stops:
+                raise RuntimeError("cannot stop")
+
+    queries = [Query("a", "first failure", False), Query("b", None, False), Query("c", None, True)]
+    assert streams.stop_all(queries) == {"a": "first failure", "b": "cannot stop", "c": None}
+    assert all(q.stopped for q in queries)

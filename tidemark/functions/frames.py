@@ -126,15 +126,23 @@ def _text_array(data, begin, length, present):
     try:
         text = raw.cast(pa.string())
     except pa.ArrowInvalid:
-        for row, item in enumerate(raw.to_pylist()):
-            try:
-                item.decode("utf-8")
-            except UnicodeDecodeError:
-                broken[row] = True
+        broken[_not_text(raw, 0, len(raw))] = True
         text, _ = _text_array(data, begin, length, present & ~broken)
     return text, broken
 
 
+def _not_text(raw: pa.Array, start: int, end: int) -> list[int]:
+    """Rows that are no UTF-8, found by halving: whole slices are checked at once."""
+    try:
+        raw.slice(start, end - start).cast(pa.string())
+        return []
+    except pa.ArrowInvalid:
+        if end - start == 1:
+            return [start]
+        middle = (start + end) // 2
+        return _not_text(raw, start, middle) + _not_text(raw, middle, end)
+
+
 def decode_batch(
     values: pa.Array,
     writers: Mapping[int, list[FieldSpec]],
@@ -142,6 +150,7 @@ def decode_batch(
     output: list[tuple[str, str]],
 ) -> pa.StructArray:
     """Decode one Arrow batch of frames to ``struct<decoded, *output>``."""
+    values = values.cast(pa.binary())  # 32-bit offsets, whatever Spark sends
     n = len(values)
     valid = np.asarray(values.is_valid())
     offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + n + 1]

@@ -68,6 +68,6 @@ def device_stats(
 def latest_snapshot(stats: DataFrame) -> DataFrame:
     """Last published count per window, event type and device."""
     keys = ["window_start", "window_end", "event_type", "device"]
-    newest = F.max(F.struct("aggregation_time", "event_count")).alias("newest")
-    rows = stats.groupBy(*keys).agg(newest)
-    return rows.select(*keys, "newest.event_count", "newest.aggregation_time")
+    # A time is part of the key, so there are no ties. Both have fixed widths, which hash aggregates need.
+    newest = F.max_by("event_count", "aggregation_time").alias("event_count")
+    return stats.groupBy(*keys).agg(newest, F.max("aggregation_time").alias("aggregation_time"))

@@ -137,9 +137,22 @@ def layout(spark: SparkSession, table: str) -> Layout:
 # --- writing -------------------------------------------------------------------------------------
 
 
+ROWS_PER_TASK = 1_000_000
+
+
 def _spread(rows: DataFrame, part: str) -> DataFrame:
     """Group rows by partition for few, full files; a hot partition is split again at run time."""
-    return rows.hint("rebalance", part)
+    spark = rows.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        return rows.hint("rebalance", part)
+    # Stateful streams write without adaptive execution, where the hint does nothing: rows of a partition
+    # then meet in one task, or in several for every million of them.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = F.ceil(F.count(F.lit(1)) / ROWS_PER_TASK).alias("_tasks")
+    counts = rows.groupBy(F.col(part).alias("_part")).agg(tasks)
+    salted = rows.join(counts, F.col(part).eqNullSafe(F.col("_part")))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.col("_tasks"))
+    return salted.withColumn("_salt", salt).repartition(width, part, "_salt").select(*rows.columns)
 
 
 def append(source: DataFrame, table: str) -> None:
@@ -319,8 +332,10 @@ def upsert(
             _spread(fresh, part).write.insertInto(table)
         cleared: set = set()
         if stale:
-            kept = target.where(in_partitions(part, stale)).join(source_keys, [*keys], "left_anti")
-            kept = kept.select(*target.columns)
+            old = target.where(in_partitions(part, stale))
+            kept = old.where(_keys_present(keys)).join(source_keys, [*keys], "left_anti")
+            # Null keys match nothing; joined, they would all meet in one task.
+            kept = kept.select(*target.columns).unionByName(old.where(~_keys_present(keys)))
             emptied = stale - parts
             if emptied:
                 left = kept.where(in_partitions(part, emptied)).select(part).distinct().collect()

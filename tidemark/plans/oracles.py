@@ -203,6 +203,16 @@ ORACLES: dict[str, str] = {
         CASE WHEN version = 3 THEN geo_latitude END AS geo_latitude, version
         FROM ad, (SELECT CAST(unnest([1, 2, 3]) AS BIGINT) AS version)""",
     ),
+    "decode_registry_ids": _with(
+        AD,
+        """SELECT event_id, event_time, user_id, campaign_id, ad_id, device, country, event_type,
+        ad_creative_id,
+        CASE WHEN schema_id <> 7 THEN engagement_score END AS engagement_score,
+        CASE WHEN schema_id <> 7 THEN user_segment END AS user_segment,
+        CASE WHEN schema_id <> 7 THEN conversion_value END AS conversion_value,
+        CASE WHEN schema_id <> 7 THEN geo_latitude END AS geo_latitude, schema_id
+        FROM (SELECT *, CAST([1, 7, 9][CAST(event_id AS BIGINT) % 3 + 1] AS BIGINT) AS schema_id FROM ad)""",
+    ),
     "payload_round_trip": _with(AD, f"SELECT {PAYLOAD} FROM ad WHERE event_type <> 'error'"),
     "frame_outcomes": _with(
         AD,
@@ -366,6 +376,12 @@ ORACLES: dict[str, str] = {
         """SELECT event_type, device, count(*) FILTER (arrival - event_timestamp > INTERVAL 2 HOUR) AS late_events,
         count(*) AS all_events FROM arrived GROUP BY 1, 2 HAVING late_events > 0""",
     ),
+    "sql_file_evolved": _with(
+        AD,
+        """SELECT event_id, event_type, event_date,
+        CASE WHEN event_date >= DATE '2024-01-10' THEN user_segment END AS user_segment,
+        CASE WHEN event_date >= DATE '2024-01-10' THEN geo_latitude END AS geo_latitude FROM ad""",
+    ),
     "sql_file_late": _with(
         ARRIVED,
         "SELECT least(100, count(*)) AS n, least(100, count(*)) AS with_zone FROM arrived "

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import build_session
-from tidemark.sources.lake import register_tables
+from tidemark.sources.lake import discover_tables, register_tables
 
 # Fixed value: how timestamps appear in result files.
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
@@ -29,9 +29,21 @@ def read_sql(spark: SparkSession, path: str) -> str:
     return text
 
 
+def code_of(sql: str) -> str:
+    """The text without comments and string literals."""
+    skipped = r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\""
+    return re.sub(skipped, " ", sql, flags=re.DOTALL)
+
+
+def named_tables(sql: str, tables: list[str]) -> list[str]:
+    """Those of the tables whose names occur in the text."""
+    words = {w.lower() for w in re.findall(r"\w+", code_of(sql))}
+    return [t for t in tables if t.lower() in words]
+
+
 def result_name(sql: str, tables: list[str]) -> str:
     """First known table that the text reads from, else the first table."""
-    named = re.finditer(r"\b(?:from|join)\s+(\w+)", sql, re.IGNORECASE)
+    named = re.finditer(r"\b(?:from|join)\s+`?(?:\w+\.)?(\w+)", code_of(sql), re.IGNORECASE)
     return next((m[1] for m in named if m[1] in tables), tables[0])
 
 
@@ -47,33 +59,51 @@ def run_sql_file(
     sql_file: str,
     tables: list[str] | None = None,
     output: str | None = None,
+    database: str | None = None,
 ) -> tuple[DataFrame, str]:
-    """Result and where it was saved; by default next to the SQL file, named after its table."""
-    known = register_tables(spark, warehouse, tables)
+    """Result and where it was saved; by default next to the SQL file, named after its table.
+
+    Only tables that the text names are opened. With ``database`` they are the catalog's, which knows
+    the files that a lakehouse table consists of; else they are folders below ``warehouse``.
+    """
     sql = read_sql(spark, sql_file)
+    home = spark.catalog.currentDatabase()
+    if database:
+        spark.catalog.setCurrentDatabase(database)
+        every, known = tables or [t.name for t in spark.catalog.listTables(database)], []
+    else:
+        every = tables or discover_tables(spark, warehouse)
+        known = register_tables(spark, warehouse, tables or named_tables(sql, every) or None)
     if output is None:
         folder = sql_file.rpartition("/")[0] or "."
-        output = f"{folder}/{result_name(sql, known)}_output.csv"
+        output = f"{folder}/{result_name(sql, known or every)}_output.csv"
     try:
         result = spark.sql(sql)
         write_csv(result, output)
     finally:
         for name in known:
             spark.catalog.dropTempView(name)
+        spark.catalog.setCurrentDatabase(home)
     return result, output
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="Run a SQL file over warehouse tables.")
-    parser.add_argument("--warehouse", required=True, help="folder holding <table>/data")
+    parser.add_argument("--warehouse", help="folder holding <table>/data")
+    parser.add_argument("--database", help="read catalog tables of this database instead")
     parser.add_argument("--sql-file", required=True)
     parser.add_argument("--table-name", action="append", dest="tables", help="repeatable; default all")
     parser.add_argument("--output-file", help="CSV folder; default beside the SQL file")
     args = parser.parse_args(argv)
+    if bool(args.warehouse) == bool(args.database):
+        parser.error("give either --warehouse or --database")
     spark = build_session("sqlfile")
     try:
-        result, output = run_sql_file(spark, args.warehouse, args.sql_file, args.tables, args.output_file)
-        result.show(20, truncate=False)
+        result, output = run_sql_file(
+            spark, args.warehouse, args.sql_file, args.tables, args.output_file, args.database
+        )
+        # What was saved is shown, so the query runs once.
+        spark.read.option("header", True).csv(output).show(20, truncate=False)
         print(f"saved to {output}")
     finally:
         spark.stop()

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.frames import frame_schema_id
+from tidemark.functions.frames import encode_frame, frame_schema_id
 from tidemark.operators import ingest, metrics, tables
 from tidemark.plans import reconcile, reports, sqlfile
 from tidemark.schemas import (
@@ -27,11 +27,12 @@ from tidemark.schemas import (
     STATS,
     TOPIC_SCHEMA,
     TableSpec,
+    avro_schema,
     payload_schema,
 )
 from tidemark.session import scratch_path, pin_session
 from tidemark.sources import sample
-from tidemark.sources.registry import EVENT_VERSIONS, event_decoder
+from tidemark.sources.registry import event_decoder
 from tidemark.sources.topic import FileSource, frames, keyed, publish, with_offsets
 from tidemark.streaming import queries as streams
 
@@ -253,8 +254,8 @@ def encode_frames_v3(spark, folder):
 @query
 def decode_frames(spark, folder):
     """Every event written in all three versions, decoded by schema id."""
-    events, decoder = events_of(spark, folder), event_decoder()
-    written = [frames(events, sample.TOPIC_PARTITIONS, version=v).select("value") for v in EVENT_VERSIONS]
+    events, decoder = events_of(spark, folder), sample.version_decoder()
+    written = [frames(events, sample.TOPIC_PARTITIONS, version=v).select("value") for v in sample.EVENT_VERSIONS]
     together = reduce(DataFrame.unionByName, written)
     decoded = together.select(
         decoder.decode(F.col("value")).alias("frame"), frame_schema_id(F.col("value")).alias("version")
@@ -262,18 +263,35 @@ def decode_frames(spark, folder):
     return decoded.select("frame.*", "version").select(*PAYLOAD_COLUMNS, "version")
 
 
+@query
+def decode_registry_ids(spark, folder):
+    """A registry numbers schemas as they come: version 3 is id 1, version 1 is id 7, id 9 is not known."""
+    events = events_of(spark, folder)
+    decoder = event_decoder({1: avro_schema(3), 7: avro_schema(1)}, avro_schema(3))
+    number = F.pmod(F.col("event_id").cast("long"), F.lit(3))
+    written = [
+        events.where(number == rest).select(encode_frame(avro_schema(version), schema_id).alias("value"))
+        for rest, version, schema_id in ((0, 3, 1), (1, 1, 7), (2, 3, 9))
+    ]
+    together = reduce(DataFrame.unionByName, written)
+    decoded = together.select(
+        decoder.decode(F.col("value")).alias("frame"), frame_schema_id(F.col("value")).alias("schema_id")
+    )
+    return decoded.select("frame.*", "schema_id").select(*PAYLOAD_COLUMNS, "schema_id")
+
+
 @query
 def payload_round_trip(spark, folder):
     """Frame to JSON text to struct, the way ingest reads records."""
     records = sample.topic_records(sample.driver_events(spark, folder))
-    parsed = ingest.decode_records(records, event_decoder())
+    parsed = ingest.decode_records(records, sample.version_decoder())
     return ingest.valid_events(parsed).select(*PAYLOAD_COLUMNS)
 
 
 @query
 def frame_outcomes(spark, folder):
     records = sample.topic_records(sample.driver_events(spark, folder))
-    return ingest.frame_failures(records, event_decoder())
+    return ingest.frame_failures(records, sample.version_decoder())
 
 
 @query
@@ -550,6 +568,23 @@ def sql_file(spark, folder):
     )
 
 
+@query
+def sql_file_evolved(spark, folder):
+    """A table whose first partition was written before later columns existed; all columns are read."""
+    warehouse, events = scratch_path(spark, "evolved"), sample.ad_events(spark, folder)
+    old, new = "event_date < DATE '2024-01-10'", "event_date >= DATE '2024-01-10'"
+    first = ["event_id", "event_type", "event_date"]
+    for where, columns in ((old, first), (new, [*first, "user_segment", "geo_latitude"])):
+        out = events.where(where).select(*columns).write.mode("append").partitionBy("event_date")
+        out.parquet(f"{warehouse}/grown/data")
+    text = "SELECT g.* FROM grown g -- not from other"
+    sql = f"{scratch_path(spark, 'sql')}/evolved.sql"
+    spark.createDataFrame([(text,)], "line STRING").coalesce(1).write.text(sql)
+    result, output = sqlfile.run_sql_file(spark, warehouse, sql)
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in result.schema)
+    return spark.read.schema(ddl).option("header", True).csv(output)
+
+
 @query
 def sql_file_late(spark, folder):
     """The stock report: any hundred late events."""
@@ -593,7 +628,7 @@ def stream_metrics(spark, folder):
     """Records to watermarked windows to the metrics table."""
     lake, _ = workspace(spark, METRICS)
     records = sample.topic_records(_event_stream(spark, folder))
-    live = streams.live_metrics(records, event_decoder())
+    live = streams.live_metrics(records, sample.version_decoder())
     checkpoints = scratch_path(spark, "checkpoint")
     with state_per_core(spark):
         started = streams.start_metrics(live, lake, checkpoints, None, f"metrics_{uuid.uuid4().hex[:8]}")
@@ -606,7 +641,7 @@ def stream_stats(spark, folder):
     """Records to five-minute device statistics; the last snapshot of each window."""
     lake, _ = workspace(spark, STATS)
     records = sample.topic_records(_event_stream(spark, folder))
-    live = streams.live_stats(records, event_decoder())
+    live = streams.live_stats(records, sample.version_decoder())
     checkpoints = scratch_path(spark, "checkpoint")
     with state_per_core(spark):
         started = streams.start_stats(live, lake, checkpoints, None, f"stats_{uuid.uuid4().hex[:8]}")
@@ -620,7 +655,7 @@ def _ingested(spark, folder, options=streams.IngestOptions()) -> tables.Warehous
     streams.start_ingest(
         records,
         lake,
-        event_decoder(),
+        sample.version_decoder(),
         scratch_path(spark, "checkpoint"),
         None,
         options,
@@ -650,7 +685,7 @@ def stream_late_events(spark, folder):
     streams.start_ingest(
         records,
         lake,
-        event_decoder(),
+        sample.version_decoder(),
         scratch_path(spark, "checkpoint"),
         None,
         streams.IngestOptions(separate_late=True),

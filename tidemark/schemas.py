@@ -14,7 +14,6 @@ WATERMARK_DELAY = "2 hours"
 METRIC_WINDOW = "30 seconds"
 STATS_WINDOW = "5 minutes"
 TRIGGER_INTERVAL = "30 seconds"
-MAX_OFFSETS_PER_TRIGGER = 2000
 LATE_AFTER = "2 hours"
 DEFAULT_TOPIC = "ads_events"
 LATEST_VERSION = 3

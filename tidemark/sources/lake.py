@@ -23,13 +23,14 @@ def discover_tables(spark: SparkSession, warehouse: str) -> list[str]:
 def load_table(spark: SparkSession, warehouse: str, name: str, recursive: bool = False) -> DataFrame:
     """All Parquet files of one table; hidden and other files are skipped.
 
-    Partition folders become columns. ``recursive`` reads any nesting instead, ignoring folder names.
+    Partition folders become columns. Files of an evolved table have different columns; all of them are
+    kept. ``recursive`` reads any nesting instead, ignoring folder names.
     """
     folder = f"{warehouse.rstrip('/')}/{name}/data"
     if not folder_exists(spark, folder):
         raise FileNotFoundError(f"no data folder at {folder}")
     try:
-        reader = spark.read.option("pathGlobFilter", "*.parquet")
+        reader = spark.read.option("pathGlobFilter", "*.parquet").option("mergeSchema", True)
         return reader.option("recursiveFileLookup", str(recursive).lower()).parquet(folder)
     except AnalysisException as error:
         raise FileNotFoundError(f"no Parquet files under {folder}") from error

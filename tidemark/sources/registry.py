@@ -14,13 +14,6 @@ from pyspark.sql import SparkSession
 from tidemark.functions.frames import FrameDecoder
 from tidemark.schemas import LATEST_VERSION, avro_schema
 
-EVENT_VERSIONS = (1, 2, 3)
-
-
-def version_schemas() -> dict[int, str]:
-    """Schema id to Avro JSON, where ids are the event versions."""
-    return {version: avro_schema(version) for version in EVENT_VERSIONS}
-
 
 def schema_for_topic(
     topic: str, subjects: Mapping[str, str] | None = None, fallback: str | None = None
@@ -40,10 +33,19 @@ def read_schema_file(spark: SparkSession, path: str) -> str:
     return json.dumps(json.loads(text[0]))
 
 
+def read_writer_schemas(spark: SparkSession, path: str) -> dict[int, str]:
+    """Schema id to Avro JSON, from a JSON object whose values are schemas (or their text)."""
+    found = json.loads(read_schema_file(spark, path))
+    if not isinstance(found, dict) or not all(str(k).lstrip("-").isdigit() for k in found):
+        raise ValueError(f"{path} must map schema ids to schemas")
+    return {int(k): v if isinstance(v, str) else json.dumps(v) for k, v in found.items()}
+
+
 def event_decoder(
     writers: Mapping[int, str] | None = None, default: str | None = None
 ) -> FrameDecoder:
-    """Decoder for the known event versions; unknown ids are read as the newest."""
-    return FrameDecoder(
-        version_schemas() if writers is None else writers, default or avro_schema(LATEST_VERSION)
-    )
+    """Decoder by registered schema id; ids outside ``writers`` are read by the topic's latest schema.
+
+    Ids say nothing about versions: a registry counts them as schemas are registered.
+    """
+    return FrameDecoder(writers or {}, default or avro_schema(LATEST_VERSION))

@@ -6,11 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.events import with_parsed
-from tidemark.functions.frames import encode_frame
+from tidemark.functions.frames import FrameDecoder, encode_frame
 from tidemark.schemas import DEFAULT_TOPIC, LATEST_VERSION, PAYLOAD_COLUMNS, avro_schema
+from tidemark.sources.registry import event_decoder
 from tidemark.sources.topic import topic_partition
 
 TOPIC_PARTITIONS = 3
+EVENT_VERSIONS = (1, 2, 3)
 
 EVENT_EXPRESSIONS = (
     "cast(event_id as string) as event_id",
@@ -33,6 +35,11 @@ EVENT_EXPRESSIONS = (
 )
 
 
+def version_decoder() -> FrameDecoder:
+    """For frames of this module, whose schema ids are the event versions."""
+    return event_decoder({version: avro_schema(version) for version in EVENT_VERSIONS})
+
+
 def driver_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 

@@ -12,7 +12,6 @@ from tidemark.operators.ingest import accepted
 from tidemark.schemas import (
     DEFAULT_TOPIC,
     LATEST_VERSION,
-    MAX_OFFSETS_PER_TRIGGER,
     TOPIC_SCHEMA,
     avro_schema,
 )
@@ -21,13 +20,16 @@ from tidemark.session import shared_dir
 
 @dataclass(frozen=True)
 class TopicSource:
-    """A broker topic. Needs Spark's Kafka connector on the classpath."""
+    """A broker topic. Needs Spark's Kafka connector on the classpath.
+
+    By default nothing is capped, and a query fails if records it has not read are gone.
+    """
 
     servers: str
     topic: str = DEFAULT_TOPIC
     starting_offsets: str = "earliest"
-    max_offsets: int | None = MAX_OFFSETS_PER_TRIGGER
-    fail_on_data_loss: bool = False
+    max_offsets: int | None = None
+    fail_on_data_loss: bool = True
     client: dict[str, str] = field(
         # Client time-outs in milliseconds.
         default_factory=lambda: {
@@ -116,27 +118,39 @@ def with_offsets(records: DataFrame, order: tuple[str, ...]) -> DataFrame:
     runs = ranged.groupBy("partition", "_range").agg(
         F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")
     )
-    # One row per sort range and topic partition, so both the window and the broadcast stay small.
+    # One row per sort range and topic partition, so the window stays small.
     earlier = Window.partitionBy("partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = runs.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    numbered = ranged.join(F.broadcast(bases), ["partition", "_range"])
+    numbered = ranged.join(bases, ["partition", "_range"])
     offset = (F.col("_base") + F.col("_row") - F.col("_first")).alias("offset")
     return numbered.select(*records.columns, offset)
 
 
+def in_user_order(records: DataFrame) -> DataFrame:
+    """All records of a key in one task, by event time."""
+    return records.repartition("key").sortWithinPartitions("key", "event_timestamp", "event_id")
+
+
 def publish(
     events: DataFrame,
     target: TopicSource | FileSource,
-    partitions: int = 3,
+    partitions: int | None = None,
     topic: str = DEFAULT_TOPIC,
     version: int = LATEST_VERSION,
+    options: dict[str, str] | None = None,
 ) -> None:
-    """Write events to a topic, or to Parquet files shaped like one."""
+    """Write events to a topic, or to Parquet files shaped like one (then of three partitions, if none are given).
+
+    A user's events leave one task in order of time. Without ``partitions``, which must be the topic's own
+    number, the broker's client places each key. ``options`` are handed to the producer.
+    """
     if isinstance(target, TopicSource):
-        records = frames(events, partitions, topic, version)
-        out = records.select("key", "value", "topic", "partition").write.format("kafka")
+        records = in_user_order(frames(events, partitions or 1, topic, version))
+        columns = ["key", "value", "topic", *(["partition"] if partitions else [])]
+        out = records.select(*columns).write.format("kafka").options(**(options or {}))
         out.option("kafka.bootstrap.servers", target.servers).save()
         return
+    partitions = partitions or 3
     # Numbered before they are encoded, as the sort reads its input twice.
     numbered = with_offsets(keyed(events, partitions, topic, version), ("event_timestamp", "event_id"))
     shaped = numbered.select(

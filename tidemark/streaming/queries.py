@@ -26,12 +26,11 @@ from tidemark.operators.ingest import (
     write_quarantine,
 )
 from tidemark.operators.metrics import campaign_metrics, device_stats
-from tidemark.operators.tables import Warehouse, create_tables, upsert_spec
+from tidemark.operators.tables import FILE_FORMATS, Warehouse, create_tables, upsert_spec
 from tidemark.schemas import (
     CURATED,
     DEFAULT_TOPIC,
     LATE,
-    MAX_OFFSETS_PER_TRIGGER,
     METRIC_WINDOW,
     METRICS,
     RAW,
@@ -41,7 +40,7 @@ from tidemark.schemas import (
     WATERMARK_DELAY,
 )
 from tidemark.session import build_session
-from tidemark.sources.registry import event_decoder
+from tidemark.sources.registry import event_decoder, read_schema_file, read_writer_schemas
 from tidemark.sources.topic import TopicSource, read_event_stream
 
 log = logging.getLogger(__name__)
@@ -218,8 +217,12 @@ def stop_all(queries: list[StreamingQuery]) -> dict[str, str | None]:
     report = {}
     for query in queries:
         report[query.name] = failure_of(query)
-        if query.isActive:
-            query.stop()
+        try:
+            if query.isActive:
+                query.stop()
+        except Exception as error:  # the others must still stop, and the first failure be reported
+            log.exception("%s did not stop", query.name)
+            report[query.name] = report[query.name] or str(error)
         log.info("%s ended: %s", query.name, report[query.name] or "no failure")
     return report
 
@@ -233,11 +236,12 @@ def run(
     trigger: str | None = TRIGGER_INTERVAL,
     options: IngestOptions = IngestOptions(),
     stats: bool = False,
+    dedupe: bool = False,
 ) -> dict[str, str | None]:
     """Run ingest and metrics from one source until one ends, then stop the other.
 
     With ``trigger=None`` they take what is there and end on their own. ``stats`` adds the
-    five-minute device statistics as a third query.
+    five-minute device statistics as a third query; ``dedupe`` makes the metrics count an event id once.
     """
     decoder = decoder or event_decoder()
     records = read_event_stream(spark, source)
@@ -245,7 +249,7 @@ def run(
     queries: list[StreamingQuery] = []
     try:
         queries.append(start_ingest(records, warehouse, decoder, checkpoints, trigger, options))
-        queries.append(start_metrics(live_metrics(records, decoder), warehouse, checkpoints, trigger))
+        queries.append(start_metrics(live_metrics(records, decoder, dedupe=dedupe), warehouse, checkpoints, trigger))
         if stats:
             queries.append(start_stats(live_stats(records, decoder), warehouse, checkpoints, trigger))
         if trigger:
@@ -258,11 +262,16 @@ def run(
     return report
 
 
-def main(argv: list[str] | None = None) -> None:
+def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Ingest an event topic and keep live campaign metrics.")
     parser.add_argument("--servers", required=True, help="comma-separated broker addresses")
     parser.add_argument("--topic", default=DEFAULT_TOPIC)
-    parser.add_argument("--max-offsets", type=int, default=MAX_OFFSETS_PER_TRIGGER)
+    parser.add_argument("--max-offsets", type=int, help="records of one trigger; default all there are")
+    parser.add_argument(
+        "--tolerate-data-loss", action="store_true", help="go on if unread records are gone from the topic"
+    )
+    parser.add_argument("--schemas", help="JSON file: registered schema id to writer schema")
+    parser.add_argument("--topic-schema", help="the topic's latest schema, for all other ids; default the newest version")
     parser.add_argument("--checkpoints", required=True, help="shared folder for query checkpoints")
     parser.add_argument(
         "--state-partitions",
@@ -270,17 +279,58 @@ def main(argv: list[str] | None = None) -> None:
         help="shuffle width of the window state; fixed once the metrics query has a checkpoint",
     )
     parser.add_argument("--stats", action="store_true", help="also keep five-minute device statistics")
+    parser.add_argument("--dedupe", action="store_true", help="count repeated event ids once in live metrics")
+    parser.add_argument("--separate-late", action="store_true", help="keep late events in a table of their own")
+    parser.add_argument("--quarantine", help="folder for records that could not be curated")
+    parser.add_argument("--match-days", type=int, help="look event ids up in so many days before each batch only")
+    parser.add_argument(
+        "--changing-record-dates", action="store_true", help="the topic may be created again with the same offsets"
+    )
     parser.add_argument("--database", default="default")
     parser.add_argument("--location", help="warehouse folder for tables that do not exist yet")
     parser.add_argument("--provider", default="parquet", help="table format for new tables")
     args = parser.parse_args(argv)
+    if args.provider in FILE_FORMATS and not args.location:
+        parser.error("file tables need --location, or a restart cannot find them")
+    return args
+
+
+def source_of(args: argparse.Namespace) -> TopicSource:
+    return TopicSource(
+        args.servers, args.topic, max_offsets=args.max_offsets, fail_on_data_loss=not args.tolerate_data_loss
+    )
+
+
+def decoder_of(spark: SparkSession, args: argparse.Namespace) -> FrameDecoder:
+    """Writer schemas as the registry numbered them; all other ids are read by the topic's latest schema."""
+    writers = read_writer_schemas(spark, args.schemas) if args.schemas else {}
+    return event_decoder(writers, read_schema_file(spark, args.topic_schema) if args.topic_schema else None)
+
+
+def options_of(args: argparse.Namespace) -> IngestOptions:
+    bound = None
+    if args.match_days is not None:
+        bound = F.col(CURATED.partition) >= F.date_sub(F.current_date(), args.match_days)
+    return IngestOptions(not args.changing_record_dates, args.separate_late, args.quarantine, bound)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = arguments(argv)
     spark = build_session("live")
     if args.state_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", args.state_partitions)
     try:
         warehouse = create_tables(spark, args.database, args.location, provider=args.provider)
-        source = TopicSource(args.servers, args.topic, max_offsets=args.max_offsets)
-        run(spark, source, warehouse, args.checkpoints, stats=args.stats)
+        run(
+            spark,
+            source_of(args),
+            warehouse,
+            args.checkpoints,
+            decoder_of(spark, args),
+            options=options_of(args),
+            stats=args.stats,
+            dedupe=args.dedupe,
+        )
     finally:
         spark.stop()
 
