@@ -135,3 +135,13 @@ def test_bad_dates(text):
 def test_good_date():
     assert reconcile.parse_day("2026-05-02") == date(2026, 5, 2)
     assert (date.today() - reconcile.yesterday()).days == 1
+
+
+def test_flags_of_the_daily_job(spark):
+    args = reconcile.arguments(
+        ["--date", "2026-05-02", "--location", "/lake", "--since-kafka-date", "2026-05-01", "--match-days", "2"]
+    )
+    assert (args.date, args.since_kafka_date, args.match_days) == (date(2026, 5, 2), date(2026, 5, 1), 2)
+    assert reconcile.match_bound(args.date, None) is None and reconcile.match_bound(args.date, 2) is not None
+    with pytest.raises(SystemExit):
+        reconcile.arguments(["--date", "2026-05-02"])

@@ -408,6 +408,26 @@ ORACLES: dict[str, str] = {
         "SELECT event_id, event_date, CASE WHEN arrival - event_timestamp > INTERVAL 2 HOUR THEN 1 "
         "ELSE 0 END AS late FROM arrived WHERE event_type <> 'error'",
     ),
+    "stream_ingest_restart": _with(
+        AD,
+        """numbered AS (SELECT *, CASE WHEN day(event_timestamp) <= 10 THEN 0 WHEN day(event_timestamp) <= 20 THEN 2
+        ELSE 3 END AS sent FROM ad)""",
+        """stored AS (SELECT CAST(CASE WHEN event_type = 'purchase' THEN 3 ELSE sent END AS BIGINT) AS ingestion_batch_id,
+        event_type, event_date, count(*) AS events, count(DISTINCT event_id) AS ids
+        FROM numbered WHERE event_type <> 'error' GROUP BY 1, 2, 3)""",
+        """raw AS (SELECT ingestion_batch_id, count(*) AS records FROM (SELECT CAST(sent AS BIGINT) AS ingestion_batch_id
+        FROM numbered UNION ALL SELECT CAST(3 AS BIGINT) FROM numbered WHERE event_type = 'purchase') GROUP BY 1)""",
+        """SELECT ingestion_batch_id, event_type, event_date, events, ids, records
+        FROM stored JOIN raw USING (ingestion_batch_id)""",
+    ),
+    "stream_metrics_late": _with(
+        AD,
+        """mark AS (SELECT date_trunc('milliseconds', max(event_timestamp)) - INTERVAL 2 HOUR AS w FROM ad
+        WHERE event_type IN ('click', 'purchase') AND CAST(event_id AS BIGINT) % 50 > 1)""",
+        """kept AS (SELECT ad.* FROM ad, mark WHERE CAST(event_id AS BIGINT) % 50 <> 0
+        OR time_bucket(INTERVAL '30 seconds', event_timestamp) + INTERVAL 30 SECOND > w)""",
+        metric_sql("30 seconds", "kept"),
+    ),
     "live_run": _with(
         AD,
         "m AS (" + metric_sql("30 seconds") + ")",

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.events import with_parsed
 from tidemark.operators.ingest import POSITION, curated_columns, dedupe, valid_events
 from tidemark.operators.metrics import campaign_metrics
-from tidemark.operators.tables import Warehouse, create_tables, replace_partition, upsert_spec
+from tidemark.operators.tables import FILE_FORMATS, Warehouse, create_tables, replace_partition, upsert_spec
 from tidemark.schemas import CURATED, METRIC_WINDOW, METRICS, RAW
 from tidemark.session import build_session
 
@@ -121,17 +121,44 @@ def yesterday() -> date:
     return date.today() - timedelta(days=1)
 
 
-def main(argv: list[str] | None = None) -> None:
+def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(description="Rebuild one day's events and metrics from raw records.")
     parser.add_argument("--date", type=parse_day, default=yesterday(), help="event date, default yesterday")
     parser.add_argument("--database", default="default")
     parser.add_argument("--location", help="warehouse folder for tables that do not exist yet")
     parser.add_argument("--provider", default="parquet", help="table format for new tables")
+    parser.add_argument("--since-kafka-date", type=parse_day, help="no event of the day was recorded before")
+    parser.add_argument("--match-days", type=int, help="look event ids up in so many days around the date only")
+    return parser
+
+
+def arguments(argv: list[str] | None = None) -> argparse.Namespace:
+    parser = _parser()
     args = parser.parse_args(argv)
+    if args.provider in FILE_FORMATS and not args.location:
+        parser.error("file tables need --location, or the live job's tables are not found")
+    return args
+
+
+def match_bound(day: date, days: int | None) -> Column | None:
+    """Curated rows that may hold an event of the day."""
+    if days is None:
+        return None
+    around = timedelta(days=days)
+    return F.col(CURATED.partition).between(F.lit(day - around), F.lit(day + around))
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = arguments(argv)
     spark = build_session("reconcile")
     try:
         warehouse = create_tables(spark, args.database, args.location, provider=args.provider)
-        events, windows = reconcile_day(warehouse, args.date)
+        events, windows = reconcile_day(
+            warehouse,
+            args.date,
+            since_kafka_date=args.since_kafka_date,
+            match_where=match_bound(args.date, args.match_days),
+        )
         print(f"{args.date}: {events} events, {windows} metric windows")
     finally:
         spark.stop()

@@ -33,7 +33,7 @@ from tidemark.schemas import (
 from tidemark.session import scratch_path, pin_session
 from tidemark.sources import sample
 from tidemark.sources.registry import event_decoder
-from tidemark.sources.topic import FileSource, frames, keyed, publish, with_offsets
+from tidemark.sources.topic import FileSource, frames, keyed, publish, read_event_stream, with_offsets
 from tidemark.streaming import queries as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -696,6 +696,63 @@ def stream_late_events(spark, folder):
     return on_time.unionByName(late)
 
 
+def _append_file(records: DataFrame, topic: str) -> None:
+    """One more file of the stand-in topic; with ``max_files=1`` a file is a trigger."""
+    records.select(*TOPIC_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(topic)
+
+
+@query
+def stream_ingest_restart(spark, folder):
+    """Four triggers: the first ten days, nothing, ten more days, and after a restart the rest with copies.
+
+    The copies are all purchases sent again, so upserts of the last trigger replace rows of the others.
+    """
+    lake, _ = workspace(spark, RAW, CURATED)
+    topic, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    records = sample.topic_records(sample.driver_events(spark, folder))
+    day = F.dayofmonth("timestamp")
+    copies = sample.topic_records(sample.driver_events(spark, folder).where("event_type = 'purchase'"))
+    resent = copies.withColumn("offset", F.col("offset") + (1 << 40))
+
+    name = f"restart_{uuid.uuid4().hex[:8]}"
+
+    def take_all():
+        files = read_event_stream(spark, FileSource(topic, max_files=1))
+        decoder = sample.version_decoder()
+        streams.start_ingest(files, lake, decoder, checkpoints, None, name=name).awaitTermination()
+
+    for part in (records.where(day <= 10), records.where("false"), records.where((day > 10) & (day <= 20))):
+        _append_file(part, topic)
+    take_all()
+    _append_file(records.where(day > 20).unionByName(resent), topic)
+    take_all()
+    stored = lake.read(CURATED).groupBy("ingestion_batch_id", "event_type", "event_date")
+    raw = lake.read(RAW).groupBy("ingestion_batch_id").agg(F.count(F.lit(1)).alias("records"))
+    return stored.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids")).join(
+        raw, "ingestion_batch_id"
+    )
+
+
+@query
+def stream_metrics_late(spark, folder):
+    """Three triggers: the last brings every fiftieth event, of which only the newest are let in.
+
+    Spark drops late rows by the watermark that the trigger before started with, so one trigger lies between.
+    """
+    lake, _ = workspace(spark, METRICS)
+    topic, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    events = sample.driver_events(spark, folder)
+    turn = F.col("event_id") % 50
+    for part in (events.where(turn > 1), events.where(turn == 1), events.where(turn == 0)):
+        _append_file(sample.topic_records(part), topic)
+    records = read_event_stream(spark, FileSource(topic, max_files=1))
+    live = streams.live_metrics(records, sample.version_decoder())
+    with state_per_core(spark):
+        started = streams.start_metrics(live, lake, checkpoints, None, f"late_{uuid.uuid4().hex[:8]}")
+    started.awaitTermination()
+    return lake.read(METRICS).drop("aggregation_time")
+
+
 @query
 def live_run(spark, folder):
     """Publish all events to files, then run both live queries from that one source."""
