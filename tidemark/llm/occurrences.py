@@ -3,7 +3,7 @@
 A *name* is a 128-bit fingerprint of something at a position of a document. Each task sends its names by
 value, packed: a row holds all names of one slice of documents that fall into one bucket, so a name costs
 its bytes and little more. A bucket is sorted in one task, and only positions whose name is shared travel
-back to their documents.
+back to their documents, packed likewise by groups of documents.
 
 Names may come in families (names of longer ranges around one core). Then a family is sorted together, and
 if it has several names, one place of each is marked *open*: the next, finer round must look at it, so that
@@ -23,7 +23,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm.common import binaries, longs, slices, split_at
 
@@ -31,6 +30,7 @@ FILTER, EXACT = 6, 10  # bytes of a name that travel, besides those that the buc
 SLICE = 4 << 20
 
 PACKED = "bucket int, names binary, docs binary, keys binary, counts binary, places binary"
+FOUND = "part int, docs binary, keys binary, counts binary, places binary"
 HITS = "doc_id long, text_key int, hits binary"
 
 #: What is known of a place; hits hold a place times four plus these.
@@ -200,8 +200,8 @@ def _unpacked(table: pa.Table) -> Iterator[tuple]:
         yield name, (np.frombuffer(d, "<i8"), np.frombuffer(k, "<i4"), np.frombuffer(c, "<i4"), place)
 
 
-def _compare(width: int, smaller: bool, families: bool):
-    """Sort one bucket; give each document the places whose names others share."""
+def _compare(buckets: int, width: int, smaller: bool, families: bool):
+    """Sort one bucket; gives the places whose names others share, packed by groups of documents."""
 
     def compare(table: pa.Table) -> pa.Table:
         out, rows, names = [], [], []
@@ -225,33 +225,63 @@ def _compare(width: int, smaller: bool, families: bool):
             left = np.bincount(segment[some], minlength=len(counts))
             out.append((ids[left > 0], keys[left > 0], left[left > 0], place[some] * 4 + state[some]))
         if not out:
-            out = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64))]
+            return _found([])
         ids, keys, counts, place = (np.concatenate([o[i] for o in out]) for i in range(4))
-        at = np.concatenate(([0], np.cumsum(counts))).astype(np.int64) * 4
-        data = place.astype("<i4").tobytes()
-        parts = [data[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-        return pa.table({"doc_id": pa.array(ids), "text_key": pa.array(keys.astype(np.int32)), "hits": binaries(parts)})
+        part = (mixed(ids.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(part, kind="stable")
+        start = (np.cumsum(counts) - counts)[order]
+        ids, keys, counts, part = ids[order], keys[order], counts[order], part[order]
+        ends = np.cumsum(counts)
+        place = place[np.repeat(start - ends + counts, counts) + np.arange(len(place))]
+        bounds, at = split_at(part), np.concatenate(([0], ends))
+        return _found(
+            [
+                (int(part[a]), *(x.tobytes() for x in (ids[a:b].astype("<i8"), keys[a:b].astype("<i4"), counts[a:b].astype("<i4"))), place[at[a] : at[b]].astype("<i4").tobytes())
+                for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+            ]
+        )
 
     return compare
 
 
+def _found(rows: list[tuple]) -> pa.Table:
+    columns = [pa.array([r[0] for r in rows], pa.int32())] + [binaries([r[i] for r in rows]) for i in range(1, 5)]
+    return pa.table(dict(zip(("part", "docs", "keys", "counts", "places"), columns, strict=True)))
+
+
+def _gather(table: pa.Table) -> pa.Table:
+    """All hits of a group of documents, one row for each document."""
+    kinds = {"docs": "<i8", "keys": "<i4", "counts": "<i4", "places": "<i4"}
+    ids, keys, counts, place = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in kinds.items())
+    of = np.repeat(np.arange(len(counts)), counts)
+    order = np.lexsort((keys, ids))
+    rank = np.zeros(len(ids), np.int64)
+    bounds = split_at(np.stack((ids[order], keys[order]), axis=1))
+    rank[order] = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    place = place[np.argsort(rank[of], kind="stable")]
+    ends = np.concatenate(([0], np.cumsum(np.bincount(rank[of], minlength=len(bounds) - 1)))).tolist()
+    data, first = place.astype("<i4").tobytes(), order[bounds[:-1]]
+    parts = [data[4 * a : 4 * b] for a, b in zip(ends, ends[1:], strict=False)]
+    return pa.table({"doc_id": pa.array(ids[first]), "text_key": pa.array(keys[first]), "hits": binaries(parts)})
+
+
 def shared_places(
     frame: DataFrame, names_of: NamesOf, *, smaller: bool, width: int, families: bool = False
 ) -> DataFrame:
-    """doc_id, text_key and hits (lists of packed places), for documents that share any name.
+    """doc_id, text_key and hits (packed places), for documents that share any name.
 
     ``smaller``: SHARED means under a smaller ``doc_id``, else at any other place. ``frame`` has doc_id
     (no nulls), text_key, text, and whatever else ``names_of`` reads.
     """
     buckets = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = frame.mapInArrow(_pack(names_of, buckets, width, smaller, families), PACKED)
-    hits = packed.groupBy("bucket").applyInArrow(_compare(width, smaller, families), HITS)
-    return hits.groupBy("doc_id", "text_key").agg(F.collect_list("hits").alias("hits"))
+    found = packed.groupBy("bucket").applyInArrow(_compare(buckets, width, smaller, families), FOUND)
+    return found.groupBy("part").applyInArrow(_gather, HITS)
 
 
-def places(hits: list[bytes] | None, state: int = SHARED) -> np.ndarray:
+def places(hits: bytes | None, state: int = SHARED) -> np.ndarray:
     """Sorted distinct places in a state."""
-    found = np.frombuffer(b"".join(hits or []), "<i4")
+    found = np.frombuffer(hits or b"", "<i4")
     return np.unique(found[found & state > 0] >> 2).astype(np.int64)
 
 
