@@ -36,8 +36,8 @@ HITS = "doc_id long, text_key int, hits binary"
 #: What is known of a place; hits hold a place times four plus these.
 SHARED, OPEN = 1, 2
 
-#: places, families, and the two halves of the names, of one row given as a dictionary of its columns
-NamesOf = Callable[[dict], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+#: For rows given as dictionaries: the row, place, family and both halves of each name, by row and place.
+NamesOf = Callable[[list[dict]], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
 # --- fingerprints of any range of a sequence --------------------------------------------------------
 
@@ -138,13 +138,9 @@ def _octets(values: np.ndarray) -> np.ndarray:
 def _pack(names_of: NamesOf, buckets: int, width: int, smaller: bool, families: bool):
     def one(batch: pa.RecordBatch) -> Iterator[tuple]:
         ids, keys = longs(batch, "doc_id"), longs(batch, "text_key")
-        found = [names_of(row) for row in batch.to_pylist()]
-        sizes = [len(f[0]) for f in found]
-        if not sum(sizes):
+        doc, place, family, hi, lo = names_of(batch.to_pylist())
+        if not len(doc):
             return
-        doc = np.repeat(np.arange(len(ids)), sizes)
-        place, family, hi, lo = (np.concatenate([f[i] for f in found]) for i in range(4))
-        del found
         travels, known = _settled(hi, lo, ids[doc] if smaller else doc, smaller)
         if known.any():
             yield _rows(int(ids[0]) % buckets, None, doc[known], place[known], ids, keys)

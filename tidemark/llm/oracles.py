@@ -40,10 +40,12 @@ SELECT doc_id, slot, shard FROM keyed JOIN lookup USING (slot) JOIN shards USING
 ORACLES["op4_suffix_array"] = """
 WITH bytes AS (
   SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
-), starts AS (
-  SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM bytes
+), cut AS (
+  SELECT doc_id, b, substr(h, 2 * b + 1, 2 * (256 + 199)) AS p, len(h) // 2 AS n
+  FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199, 256)) AS b FROM bytes)
 ), named AS (
-  SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS k FROM starts
+  SELECT doc_id, b + j AS i, md5(substr(p, 2 * j + 1, 400)) AS k
+  FROM (SELECT doc_id, b, p, unnest(range(0, least(256, n - 199 - b))) AS j FROM cut)
 ), repeated AS (
   SELECT doc_id, i FROM named JOIN (SELECT k FROM named GROUP BY k HAVING count(*) > 1) USING (k)
 ), marked AS (

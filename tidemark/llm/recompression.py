@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +28,12 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from tidemark.llm import windows
-from tidemark.llm.common import keyed_texts, octets, split_at
+from tidemark.llm.common import keyed_texts, octets, slices, split_at
 from tidemark.llm.occurrences import Fingerprints, mixed
 
 WINDOW = 13
 LEVELS = 2
-PART = 1 << 19  # windows handled at once
+PART = 1 << 16  # windows handled at once
 FAR = 1 << 40
 
 
@@ -108,40 +109,42 @@ def _lowest(name: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 def parts(window: int = WINDOW) -> windows.Parts:
     """Runs of windows by anchoring symbol."""
 
-    def cut(text: str | None) -> Iterator[windows.Part]:
-        words = words_of((text or "").encode())
-        for offset in range(0, len(words) - window + 1, PART):
-            values = word_values(words[offset : offset + PART + window - 1])
-            n = len(values[0]) - window + 1
-            at = np.arange(n)
-            open_windows = np.ones(n, bool)
-            anchor, low, high = (np.zeros(n, np.int64) for _ in range(3))
-            tag = np.zeros(n, np.int64)
-            ladder = levels(values[0])
-            for level in range(len(ladder) - 1, -1, -1):
-                symbols = ladder[level]
-                start = np.searchsorted(symbols.low, at)
-                end = np.searchsorted(symbols.high, at + window, "right")
-                own = open_windows & (end > start)
-                if own.any():
-                    best = _lowest(symbols.name, start[own], end[own])
-                    anchor[own], low[own], high[own] = symbols.low[best], symbols.low[best], symbols.high[best]
-                    tag[own] = best * len(ladder) + level
-                    open_windows &= ~own
-            first = split_at(tag)
-            head = first[:-1]
-            prints = Fingerprints(values)
-            yield windows.Part(
-                offset, prints, first, low[head], high[head], anchor[head], (tag[head] % len(ladder)).astype(np.uint64)
-            )
+    def anchors(values: np.ndarray, at: np.ndarray) -> windows.Anchored:
+        ladder = levels(values)
+        anchor, low, high, tag = (np.zeros(len(at), np.int64) for _ in range(4))
+        left = np.arange(len(at))  # windows without an anchor yet
+        for level in range(len(ladder) - 1, -1, -1):
+            symbols = ladder[level]
+            start = np.searchsorted(symbols.low, at[left])
+            end = np.searchsorted(symbols.high, at[left] + window, "right")
+            sure = end > start
+            own = left[sure]
+            if len(own):
+                best = _lowest(symbols.name, start[sure], end[sure])
+                anchor[own], low[own], high[own] = symbols.low[best], symbols.low[best], symbols.high[best]
+                tag[own] = best * len(ladder) + level
+            left = left[~sure]
+            if not len(left):
+                break
+        return windows.Anchored(anchor, low, high, tag, (tag % len(ladder)).astype(np.uint64))
+
+    def cut(texts: windows.Texts) -> Iterator[windows.Part]:
+        words = [words_of((t or "").encode()) for t in texts]
+        for group in windows.pieces([len(w) for w in words], window, PART):
+            values = word_values([x for i, a, b in group for x in words[i][a:b]])
+            yield windows.part_of(group, Fingerprints(values), window, partial(anchors, values[0]))
 
     return cut
 
 
-def kept_words(row: dict, window: int = WINDOW) -> tuple[list[bytes], np.ndarray]:
-    """A document's words, and which of them go."""
-    words = words_of((row["text"] or "").encode())
-    return words, windows.repeated(row, parts(window), window, len(words))
+def kept_words(batch: pa.RecordBatch, window: int = WINDOW) -> Iterator[tuple[list[bytes], int]]:
+    """Of each document the words that stay, and how many go."""
+    for piece in slices(batch):
+        rows = piece.to_pylist()
+        words = [words_of((r["text"] or "").encode()) for r in rows]
+        lost = windows.repeated(rows, parts(window), window, [len(w) for w in words])
+        for own, gone in zip(words, lost, strict=True):
+            yield [w for w, g in zip(own, gone.tolist(), strict=True) if not g], int(gone.sum())
 
 
 def _digest(words: list[bytes]) -> str:
@@ -151,10 +154,7 @@ def _digest(words: list[bytes]) -> str:
 def _lost(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            done = []
-            for row in batch.to_pylist():
-                words, gone = kept_words(row, window)
-                done.append((int(gone.sum()), _digest([w for w, g in zip(words, gone.tolist(), strict=True) if not g])))
+            done = [(n, _digest(kept)) for kept, n in kept_words(batch, window)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -201,14 +201,9 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for row in batch.to_pylist():
-                words, gone = kept_words(row, window)
-                texts.append(b" ".join(w for w, g in zip(words, gone.tolist(), strict=True) if not g).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(texts, pa.string())],
-                names=["doc_id", "text_key", "text"],
-            )
+            texts = [b" ".join(kept).decode() if n else None for kept, n in kept_words(batch, window)]
+            columns = [batch.column("doc_id"), batch.column("text_key"), pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "text_key", "text"])
 
     found = windows.find(docs, parts(window), window, smaller=True)
-    return found.mapInArrow(rows, "doc_id long, text_key int, text string")
+    return found.mapInArrow(rows, "doc_id long, text_key int, text string").where("text is not null").distinct()

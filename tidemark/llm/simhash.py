@@ -414,10 +414,13 @@ def _sketch_rows(shingle: int, scheme: Scheme, lowest: int):
     return rows
 
 
-def _low_names(row: dict):
-    """The lowest shingle hashes of a text."""
-    hashes = np.frombuffer(row["lows"], np.uint64)
-    return np.arange(len(hashes)), mixed(hashes), mixed(hashes), np.zeros_like(hashes)
+def _low_names(rows: list[dict]):
+    """The lowest shingle hashes of each text."""
+    lows = [np.frombuffer(row["lows"], np.uint64) for row in rows]
+    sizes = np.array([len(x) for x in lows], np.int64)
+    doc = np.repeat(np.arange(len(rows)), sizes)
+    names = mixed(np.concatenate(lows)) if lows else np.zeros(0, np.uint64)
+    return doc, np.arange(len(doc)) - (np.cumsum(sizes) - sizes)[doc], names, names, np.zeros_like(names)
 
 
 def later_copies(docs: DataFrame, shingle: int = 5, scheme: Scheme = WIDE) -> DataFrame:

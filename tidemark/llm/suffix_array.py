@@ -25,13 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import windows
-from tidemark.llm.common import keyed_texts, split_at
+from tidemark.llm.common import keyed_texts, slices
 from tidemark.llm.occurrences import Fingerprints, smallest
 
 THRESHOLD = 200
 SAMPLE = 64
 GRAM = 12
-PART = 1 << 20  # windows handled at once
+PART = 1 << 18  # windows handled at once
 
 _VALUES = np.random.default_rng(7).integers(0, 1 << 64, (2, 256), np.uint64)
 
@@ -42,28 +42,33 @@ def parts(threshold: int = THRESHOLD, sample: int = SAMPLE, gram: int = GRAM) ->
         raise ValueError("a window must hold whole grams of all its sampled positions")
     core = threshold - sample + 1
 
-    def cut(text: str | None) -> Iterator[windows.Part]:
-        data = np.frombuffer((text or "").encode(), np.uint8)
-        for offset in range(0, len(data) - threshold + 1, PART):
-            piece = data[offset : offset + PART + threshold - 1]
-            prints = Fingerprints((_VALUES[0][piece], _VALUES[1][piece]))
-            n = len(piece) - threshold + 1
+    def cut(texts: windows.Texts) -> Iterator[windows.Part]:
+        data = [(t or "").encode() for t in texts]
+        for group in windows.pieces([len(x) for x in data], threshold, PART):
+            joined = np.frombuffer(b"".join([data[i][a:b] for i, a, b in group]), np.uint8)
+            prints = Fingerprints((_VALUES[0][joined], _VALUES[1][joined]))
+            n = len(joined) - threshold + 1
             at = np.arange(n + sample - 1)
             bits = np.uint64(int(len(at)).bit_length())
             order = prints.half(0, at, at + gram)
             keys = ((order >> bits) << bits) | at.astype(np.uint64)  # the lowest hash, then the leftmost
             anchor_of = (smallest(keys, sample) & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
-            first = split_at(anchor_of)
-            anchor = anchor_of[first[:-1]]
-            yield windows.Part(offset, prints, first, anchor, anchor + core, anchor, np.zeros(len(anchor), np.uint64))
+
+            def anchored(first: np.ndarray, anchor_of=anchor_of) -> windows.Anchored:
+                anchor = anchor_of[first]
+                return windows.Anchored(anchor, anchor, anchor + core, anchor, np.zeros(len(anchor), np.uint64))
+
+            yield windows.part_of(group, prints, threshold, anchored)
 
     return cut
 
 
-def removed(row: dict, threshold: int = THRESHOLD) -> tuple[bytes, np.ndarray]:
-    """A document's bytes, and which of them go."""
-    data = (row["text"] or "").encode()
-    return data, windows.repeated(row, parts(threshold), threshold, len(data))
+def removed(batch: pa.RecordBatch, threshold: int = THRESHOLD) -> Iterator[tuple[bytes, np.ndarray]]:
+    """Of each document the bytes, and which of them go."""
+    for piece in slices(batch):
+        rows = piece.to_pylist()
+        data = [(r["text"] or "").encode() for r in rows]
+        yield from zip(data, windows.repeated(rows, parts(threshold), threshold, [len(x) for x in data]), strict=True)
 
 
 def spans(gone: np.ndarray) -> np.ndarray:
@@ -76,8 +81,7 @@ def _digests(threshold: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = []
-            for row in batch.to_pylist():
-                data, gone = removed(row, threshold)
+            for data, gone in removed(batch, threshold):
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
                 done.append((int(gone.sum()), len(spans(gone)), hashlib.sha256(kept).hexdigest()))
             yield pa.RecordBatch.from_arrays(
@@ -99,14 +103,15 @@ def repeated_spans(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [spans(removed(row, threshold)[1]).tolist() for row in batch.to_pylist()]
+            found = [spans(gone).tolist() for _, gone in removed(batch, threshold)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(found, pa.list_(pa.list_(pa.int64())))],
                 names=["doc_id", "text_key", "spans"],
             )
 
     found = windows.find(docs, parts(threshold), threshold, smaller=False)
-    return found.mapInArrow(rows, "doc_id long, text_key int, spans array<array<long>>")
+    spanned = found.mapInArrow(rows, "doc_id long, text_key int, spans array<array<long>>")
+    return spanned.where("size(spans) > 0").distinct()
 
 
 def digests(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
