@@ -61,7 +61,7 @@ def device_stats(
         "device",
         "event_count",
         moment.alias("aggregation_time"),
-        F.to_date("bucket.start").alias("window_date"),
+        F.to_date(moment).alias("aggregation_date"),
     ).select(*STATS.columns)
 
 

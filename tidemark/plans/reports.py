@@ -74,7 +74,9 @@ def recent(stats: DataFrame, as_of: datetime | Column | None = None, within: str
         as_of = F.current_timestamp()
     elif isinstance(as_of, datetime):
         as_of = F.lit(as_of)
-    return stats.where(F.col("aggregation_time") >= as_of - F.expr(f"INTERVAL {within}"))
+    since = as_of - F.expr(f"INTERVAL {within}")
+    # The same bound on the partition column: older days are not opened.
+    return stats.where((F.col("aggregation_time") >= since) & (F.col("aggregation_date") >= F.to_date(since)))
 
 
 def recent_stats(stats: DataFrame, as_of=None, within: str = STATS_WINDOW) -> DataFrame:

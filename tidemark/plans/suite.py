@@ -119,7 +119,8 @@ def campaign_metrics_1d(spark, folder):
 
 @query
 def device_stats_5m(spark, folder):
-    return metrics.device_stats(events_of(spark, folder)).drop("aggregation_time")
+    counts = metrics.device_stats(events_of(spark, folder)).drop("aggregation_time", "aggregation_date")
+    return counts.withColumn("window_date", F.to_date("window_start"))
 
 
 @query

@@ -98,6 +98,7 @@ class TableSpec:
         return [column.split()[0] for column in self.ddl.split(",")]
 
 
+# --- Fixed values: table names, columns, keys and partitions --------------------------------------
 RAW = TableSpec(
     "raw_ad_events",
     "kafka_topic STRING, kafka_partition INT, kafka_offset BIGINT, kafka_timestamp TIMESTAMP, "
@@ -131,9 +132,9 @@ METRICS = TableSpec(
 STATS = TableSpec(
     "ad_events_aggregation",
     "window_start TIMESTAMP, window_end TIMESTAMP, event_type STRING, device STRING, "
-    "event_count BIGINT, aggregation_time TIMESTAMP, window_date DATE",
+    "event_count BIGINT, aggregation_time TIMESTAMP, aggregation_date DATE",
     ("window_start", "event_type", "device", "aggregation_time"),
-    "window_date",
+    "aggregation_date",
 )
 
 ALL_TABLES = (RAW, CURATED, LATE, METRICS, STATS)
