@@ -150,7 +150,9 @@ def test_align_types_missing_columns(spark):
 def test_contract_columns(lake):
     for spec in (RAW, CURATED, METRICS):
         assert lake.read(spec).columns == spec.columns
-        assert tables.layout(lake.spark, lake.name(spec)) == tables.Layout("parquet", spec.partition)
+        form = tables.layout(lake.spark, lake.name(spec))
+        assert (form.provider, form.partition) == ("parquet", spec.partition)
+        assert form.location.endswith(f"{spec.name}/data")
 
 
 def test_hot_partition_is_spread_over_files(spark, table):
@@ -192,3 +194,19 @@ def test_null_keys_of_the_target_stay(spark, lake):
     tables.append(dated, lake.name(CURATED))
     tables.upsert(dated.where("event_id = 'a'"), lake.name(CURATED), ("event_id",))
     assert sorted(r.event_id or "" for r in lake.read(CURATED).collect()) == ["", "", "a"]
+
+
+def test_two_catalogs_over_one_folder(spark):
+    """A key that another job stored under a date this catalog has not seen is still replaced."""
+    folder = scratch_path(spark, "shared")
+    one, two = (
+        tables.create_tables(spark, f"job_{uuid.uuid4().hex[:8]}", folder, specs=(SPEC,)) for _ in range(2)
+    )
+    first = spark.createDataFrame([("a", 1, date(2026, 5, 1))], SPEC.ddl)
+    tables.upsert(first, one.name(SPEC), ("k",))
+    tables.upsert(spark.createDataFrame([("b", 1, date(2026, 5, 2))], SPEC.ddl), two.name(SPEC), ("k",))
+    tables.upsert(spark.createDataFrame([("b", 2, date(2026, 5, 2))], SPEC.ddl), one.name(SPEC), ("k",))
+    files = spark.read.parquet(f"{folder}/{SPEC.name}/data")
+    assert sorted((r.k, r.v) for r in files.collect()) == [("a", 1), ("b", 2)]
+    again = tables.create_tables(spark, f"job_{uuid.uuid4().hex[:8]}", folder, specs=(SPEC,))  # as after a restart
+    assert again.read(SPEC).count() == 2

@@ -67,15 +67,18 @@ def create_tables(
     With ``location`` each table keeps its files in ``<location>/<table>/data``, and files that lie
     there already become its content.
     """
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    home = f"LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {home}")
     warehouse = Warehouse(spark, database)
     options = "OPTIONS (partitionOverwriteMode 'dynamic')" if provider in FILE_FORMATS else ""
+    # Fixed value: row-level deletes need the second format version.
+    properties = "TBLPROPERTIES ('format-version' = '2')" if provider == "iceberg" else ""
     for spec in specs:
         found = spark.catalog.tableExists(warehouse.name(spec))
         place = f"LOCATION '{location}/{spec.name}/data'" if location else ""
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {warehouse.name(spec)} ({spec.ddl}) USING {provider} "
-            f"{options} PARTITIONED BY ({spec.partition}) {place}"
+            f"{options} PARTITIONED BY ({spec.partition}) {place} {properties}"
         )
         if options and not found and location and folder_exists(spark, f"{location}/{spec.name}/data"):
             spark.catalog.recoverPartitions(warehouse.name(spec))  # files may be there already
@@ -116,6 +119,7 @@ class Layout:
 
     provider: str
     partition: str
+    location: str = ""
 
     @property
     def plain_files(self) -> bool:
@@ -126,12 +130,26 @@ class Layout:
 def layout(spark: SparkSession, table: str) -> Layout:
     rows = [(r[0], r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
     provider = next((kind for name, kind in rows if name == "Provider"), "").lower()
+    location = next((place for name, place in rows if name == "Location"), "")
     named = [name for name, _ in rows]
     parts = named[named.index("# col_name") + 1 :] if "# col_name" in named else []
     parts = parts[: parts.index("")] if "" in parts else parts
     if len(parts) != 1:
         raise ValueError(f"{table} must have exactly one partition column, found {parts}")
-    return Layout(provider, parts[0])
+    return Layout(provider, parts[0], location)
+
+
+def known_form(spark: SparkSession, table: str) -> Layout:
+    """Layout of a table whose catalog entry shows all partitions that lie in its folder.
+
+    Another job may have its own catalog over the same files. A partition that it opened would be
+    invisible here, and keys in it would be added a second time.
+    """
+    form = layout(spark, table)
+    if form.plain_files and form.location and folder_exists(spark, form.location):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+    return form
 
 
 # --- writing -------------------------------------------------------------------------------------
@@ -207,7 +225,7 @@ def replace_partition(source: DataFrame, table: str, value) -> int:
     An empty source leaves an empty partition. Every source row must belong to the partition.
     """
     spark = source.sparkSession
-    form = layout(spark, table)
+    form = known_form(spark, table)
     part = form.partition
     mine = in_partitions(part, [value])
     rows = align(source, spark.table(table).schema)
@@ -298,10 +316,9 @@ def upsert(
     checkpoint it first if it does.
     """
     spark = source.sparkSession
-    spark.catalog.refreshTable(table)
+    form = known_form(spark, table)
     target = spark.table(table)
     rows = align(source, target.schema)
-    form = layout(spark, table)
     if not form.plain_files:
         _merge(rows, table, keys)
         spark.catalog.refreshTable(table)

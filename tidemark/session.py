@@ -16,6 +16,7 @@ JOB_CONF = {
     # Let cached plans, such as a micro-batch, be coalesced and have skewed partitions split.
     "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Window state lives off-heap and is checkpointed as changelogs, so it can outgrow the JVM heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
