@@ -1,0 +1,81 @@
+"""The pipeline against plain single-process versions of its stages."""
+
+import zlib
+
+import numpy as np
+import pytest
+import sentencepiece
+from helpers import SMALL, by_id, documents, sha
+from test_line_dedup import brute as brute_lines
+from test_simhash import roots_of
+
+import corpus_pipeline
+from tidemark.llm import decontaminate, quality, simhash, stages
+from tidemark.llm.common import table
+
+
+def good(texts, labels):
+    """Ids that the classifier keeps: the same model, fitted without Spark."""
+    stats = {i: quality.statistics((t or "").encode()) for i, t in texts.items()}
+    known = [i for i in labels if i in texts and zlib.crc32(str(i).encode()) % 5]
+    rows, target = np.array([stats[i] for i in known]), np.array([float(labels[i]) for i in known])
+    scale = rows.std(axis=0)
+    features = quality.FourierMap(rows.mean(axis=0), np.where(scale > 1e-9, scale, 1.0))
+    x = np.hstack((features(rows), target[:, None]))
+    weights = quality.solve(x.T @ x)
+    steps = quality._step(features(rows) @ weights)
+    counts = np.bincount(steps, minlength=quality.GRID + 1).astype(float)
+    fitted = quality.isotonic(counts, np.bincount(steps, weights=target, minlength=quality.GRID + 1))
+    at = np.flatnonzero(counts)
+    model = quality.Model(features, weights, at / quality.GRID * 2 - 0.5, fitted[at])
+    return [i for i in texts if model.score(stats[i][None])[0] >= quality.THRESHOLD]
+
+
+def distinct_copies(texts):
+    """Ids that are the smallest of their group, over all pairs."""
+    ids = sorted(texts)
+    fps = []
+    for i in ids:
+        hashes = simhash.shingle_hashes((texts[i] or "").encode(), 5)
+        fps.append([simhash.majority(simhash.mixed(hashes + np.uint64(k << 32)) if k else hashes) for k in range(4)])
+    return [i for i, root in zip(ids, roots_of(fps, simhash.WIDE.errors), strict=True) if ids[root] == i]
+
+
+def leaks(text, items):
+    return any(decontaminate.myers(x, decontaminate.comparable(text or ""), decontaminate.budget(len(x))) for x in items)
+
+
+def test_run(spark):
+    texts = {r.doc_id: r.text for r in table(spark, SMALL, "documents").collect()}
+    labels = {r.doc_id: r.quality for r in table(spark, SMALL, "labels").collect()}
+    items = [decontaminate.comparable(r.text) for r in table(spark, SMALL, "benchmark").collect()]
+    kept = {i: texts[i] for i in sorted(good(texts, labels))}
+    assert 0.5 * len(texts) < len(kept) < len(texts)
+    kept = dict(zip(kept, (x[0] for x in brute_lines(list(kept.values()))), strict=True))
+    kept = {i: kept[i] for i in distinct_copies(kept)}
+    kept = {i: t for i, t in kept.items() if not leaks(t, items)}
+    library = sentencepiece.SentencePieceProcessor(model_file=stages.piece_model_path())
+    want = {}
+    for i, text in kept.items():
+        ids = library.encode(text)
+        want[i] = (len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids)))
+    got = by_id(corpus_pipeline.run(spark, SMALL))
+    assert {i: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for i, r in got.items()} == want
+
+
+def test_stages_are_the_dealt_ones():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near_copies", "benchmark", "pieces"]
+
+
+@pytest.mark.parametrize("texts", [[], [None, "", " ", "plain text", "plain text", "x" * 100_000]])
+def test_stages_take_odd_tables(spark, texts):
+    docs = documents(spark, texts, [None, 1, 2, 3, 3, 5][: len(texts)])
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SMALL)
+        rows = out.collect()
+        if name == "pieces":
+            assert len(rows) == len(texts)
+        else:
+            assert out.schema.names == docs.schema.names and len(rows) <= len(texts)
+        if name == "near_copies" and texts:
+            assert sorted(r.doc_id or 0 for r in rows) == [0, 1, 3, 3, 5]
