@@ -189,3 +189,15 @@ def test_bands_miss_no_pair_at_the_threshold():
         keys, words = simhash.band_keys(values), simhash.sketch_words(values)
         missed += not (keys[0] == keys[1]).any() or np.bitwise_count(words[0] ^ words[1]).sum() > simhash.COPIES.errors
     assert not missed
+
+
+def test_repeats_inside_a_text_do_not_count(spark):
+    """Shingle sets, not bags: a shared passage that repeats inside, and one set repeated differently."""
+    draw = random.Random(12)
+    prose = lambda n: [f"v{draw.randrange(10**6)}" for _ in range(n)]
+    shared, cycle = prose(20), prose(30)
+    texts = [" ".join(shared * times + prose(own)) for times, own in ((10, 60), (10, 60), (50, 200), (50, 200))]
+    texts += [" ".join(cycle * 2 + cycle[:4]), " ".join(cycle * 2 + cycle * 41 + cycle[:4])]
+    roots = jaccard_groups(texts)
+    assert roots == [0, 1, 2, 3, 4, 4]
+    assert sorted(r.doc_id for r in simhash.drop_copies(documents(spark, texts)).collect()) == [0, 1, 2, 3, 4]
