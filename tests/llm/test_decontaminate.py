@@ -99,3 +99,14 @@ def test_long_text_and_repeated_rows(spark):
     text = "filler " * 50_000 + item + " filler" * 10
     rows = d.find_leaks(documents(spark, [text, text], [1, 1]), items(spark, [(1, item, 0)])).collect()
     assert [(r.doc_id, r.begin, r.end) for r in rows] == [(1, 350_000, 350_000 + len(item))]
+
+
+def test_blank_and_very_short_items(spark):
+    texts = ["a cat sat", "concatenate", "cat", "Concatenate a CAT.", "cat5 scat", "\u732b\u306f\u732b", "e\u0301cat", "two  words"]
+    bench = items(spark, [(1, " ", 0), (2, "\n\t", 0), (3, "\u2003", 0), (4, "cat", 0), (5, "\u732b", 0), (6, "-", 0)])
+    rows = d.find_leaks(documents(spark, texts), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.begin, r.end) for r in rows) == [
+        (0, 4, 2, 5), (2, 4, 0, 3), (3, 4, 14, 17), (5, 5, 0, 1)
+    ]
+    assert sorted(r.doc_id for r in d.clean_documents(documents(spark, texts), bench).collect()) == [1, 4, 6, 7]
+    assert d.budget(d.SHORT) == 1 and d.budget(d.SHORT - 1) == 0

@@ -9,12 +9,16 @@ Texts are compared with letters in lower case and any white space as a space. Di
 over all places of a document; ties go to the first end. Items are handled in blocks of ``BLOCK`` characters, so that what is
 broadcast has a bound; each block is one pass over the documents.
 
-Null and empty items match nothing; null and empty documents hold nothing. Repeated rows of either
+Null, empty and blank items match nothing. Items shorter than ``SHORT`` characters, which allow no edits, match
+whole words only: not where a letter of theirs would stand beside another letter of the document (scripts that put
+no spaces between words are exempt). Null and empty documents hold nothing. Repeated rows of either
 table give equal rows, which are returned once. An empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 
 ERROR_RATE = 0.06
 BLOCK = 4_000_000  # characters of benchmark text in one pass
+SHORT = 17  # the fewest characters that allow an edit
 LEAKS = "doc_id long, item_id long, distance int, begin int, end int"
 
 _SPACES = dict.fromkeys(map(ord, "\t\n\v\f\r\x85\xa0\u2028\u2029\u3000"), " ")
@@ -38,6 +43,20 @@ def comparable(text: str) -> str:
     return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
 
 
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def _lettered(c: str) -> bool:
+    """Letters, marks and digits of scripts that put spaces between words."""
+    return unicodedata.category(c)[0] in "LMN" and not _UNSPACED.match(c)
+
+
+def whole_words(text: str, begin: int, end: int) -> bool:
+    """Whether text[begin:end] neither starts nor ends inside a word."""
+    inside = [at for at in (begin, end) if 0 < at < len(text) and _lettered(text[at - 1]) and _lettered(text[at])]
+    return not inside
+
+
 def budget(length: int, rate: float = ERROR_RATE) -> int:
     return int(length * rate)
 
@@ -133,6 +152,11 @@ class Matcher:
         out = []
         for n, at in starts.items():
             item_id, item, errors = self.items[n]
+            if not errors and len(item) < SHORT:
+                first = next((x for x in sorted(at) if whole_words(text, x, x + len(item))), None)
+                if first is not None:
+                    out.append((item_id, 0, first, first + len(item)))
+                continue
             best, low, high = None, None, None
             for start in [*sorted(at), None]:
                 a = None if start is None else max(0, start - errors)
@@ -155,7 +179,7 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
     blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK)
     for block in range(blocks):
         own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).distinct()
-        yield [(r.item_id, comparable(r.text)) for r in own.collect()]
+        yield [(r.item_id, text) for r in own.collect() if (text := comparable(r.text)).strip()]
 
 
 def _search(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataFrame:
