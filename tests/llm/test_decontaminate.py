@@ -110,3 +110,18 @@ def test_blank_and_very_short_items(spark):
     ]
     assert sorted(r.doc_id for r in d.clean_documents(documents(spark, texts), bench).collect()) == [1, 4, 6, 7]
     assert d.budget(d.SHORT) == 1 and d.budget(d.SHORT - 1) == 0
+
+
+def test_items_of_one_text_are_broadcast_once(spark, monkeypatch):
+    """A benchmark of which most rows hold one text keeps to the bound of a block, and gives all its ids."""
+    monkeypatch.setattr(d, "BLOCK", 200)
+    item = "one passage that a third of the benchmark holds"
+    other = "another passage that stands there only once"
+    rows = [(i, item if i % 2 else f"{item[:3]}\n{item[4:]}".upper(), 0) for i in range(60)] + [(99, other, 0), (None, item, 0)]
+    bench = items(spark, rows)
+    blocks = list(d._blocks(d._items(bench)))
+    assert sum(len(block) for block in blocks) == 2 and all(sum(len(t) for _, t in block) <= 200 for block in blocks)
+    found = d.find_leaks(documents(spark, [f"x {item} y", f"{other} {item}", "none"]), bench).collect()
+    ids = [None, *range(60)]
+    assert {(r.doc_id, r.item_id) for r in found} == {(i, j) for i in (0, 1) for j in ids} | {(1, 99)}
+    assert len(found) == 2 * len(ids) + 1

@@ -3,11 +3,12 @@
 Method: an item of m characters may differ by k edits (``ERROR_RATE`` of m). It is cut into k + 1 pieces;
 at least one of them stands unchanged in any such passage. An automaton of all pieces finds exact hits in
 the whole text of each document, hits that imply overlapping places are merged, and Myers' bit-parallel
-distance verifies each place. Nothing is shuffled.
+distance verifies each place. Documents are not shuffled.
 
 Texts are compared with letters in lower case and any white space as a space. Distances are the smallest
-over all places of a document; ties go to the first end. Items are handled in blocks of ``BLOCK`` characters, so that what is
-broadcast has a bound; each block is one pass over the documents.
+over all places of a document; ties go to the first end. Only the distinct texts of the items go through the
+driver, in blocks of about ``BLOCK`` characters (or one text), so that what is broadcast has a bound; each block is one
+pass over the documents. Item ids are joined to the hits in Spark.
 
 Null, empty and blank items match nothing. Items shorter than ``SHORT`` characters, which allow no edits, match
 whole words only: not where a letter of theirs would stand beside another letter of the document (scripts that put
@@ -27,11 +28,15 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_128_digest
+
+from tidemark.llm.common import stored
 
 ERROR_RATE = 0.06
 BLOCK = 4_000_000  # characters of benchmark text in one pass
 SHORT = 17  # the fewest characters that allow an edit
 LEAKS = "doc_id long, item_id long, distance int, begin int, end int"
+HITS = "doc_id long, key binary, distance int, begin int, end int"
 
 _SPACES = dict.fromkeys(map(ord, "\t\n\v\f\r\x85\xa0\u2028\u2029\u3000"), " ")
 
@@ -126,9 +131,9 @@ def myers_anchored(pattern: str, text: str, distance: int) -> int:
 
 
 class Matcher:
-    """All items of one block."""
+    """All items of one block, each with what names it."""
 
-    def __init__(self, items: list[tuple[int, str]], rate: float):
+    def __init__(self, items: list[tuple[bytes, str]], rate: float):
         self.items = [(i, t, budget(len(t), rate)) for i, t in items]
         found = defaultdict(list)
         for n, (_, text, errors) in enumerate(self.items):
@@ -140,8 +145,8 @@ class Matcher:
         if found:
             self.automaton.make_automaton()
 
-    def leaks(self, raw: str) -> list[tuple[int, int, int, int]]:
-        """(item_id, distance, begin, end) of each item that the text holds."""
+    def leaks(self, raw: str) -> list[tuple[bytes, int, int, int]]:
+        """(key, distance, begin, end) of each item that the text holds."""
         if not raw or not self.items:
             return []
         text = comparable(raw)
@@ -151,11 +156,11 @@ class Matcher:
                 starts[n].add(last + 1 - length - offset)
         out = []
         for n, at in starts.items():
-            item_id, item, errors = self.items[n]
+            key, item, errors = self.items[n]
             if not errors and len(item) < SHORT:
                 first = next((x for x in sorted(at) if whole_words(text, x, x + len(item))), None)
                 if first is not None:
-                    out.append((item_id, 0, first, first + len(item)))
+                    out.append((key, 0, first, first + len(item)))
                 continue
             best, low, high = None, None, None
             for start in [*sorted(at), None]:
@@ -169,20 +174,36 @@ class Matcher:
                     low = a if low is None else low
                     high = min(len(text), start + len(item) + errors)
             if best:
-                out.append((item_id, *best))
+                out.append((key, *best))
         return out
 
 
-def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """Distinct items, BLOCK characters or one item at a time."""
-    items = benchmark.selectExpr("cast(item_id as long) item_id", "text").where("length(text) > 0")
-    blocks = -(-(items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK)
+def _comparable_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [comparable(t or "") for t in batch.column("text").to_pylist()]
+        keys = pa.array([xxh3_128_digest(t.encode("utf-8", "surrogatepass")) for t in texts], pa.binary())
+        rows = pa.RecordBatch.from_arrays(
+            [batch.column("item_id"), keys, pa.array(texts, pa.string())], names=["item_id", "key", "text"]
+        )
+        yield rows.filter(pa.array([bool(t.strip()) for t in texts], pa.bool_()))
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """item_id, key and comparable text of each item that is not blank; equal texts have one key."""
+    rows = benchmark.selectExpr("cast(item_id as long) item_id", "text")
+    return stored(rows.mapInArrow(_comparable_rows, "item_id long, key binary, text string"), "items")
+
+
+def _blocks(items: DataFrame) -> Iterator[list[tuple[bytes, str]]]:
+    """Distinct texts, about BLOCK characters or one text at a time."""
+    texts = items.groupBy("key").agg(F.min("text").alias("text"))
+    blocks = -(-(texts.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK)
     for block in range(blocks):
-        own = items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).distinct()
-        yield [(r.item_id, text) for r in own.collect() if (text := comparable(r.text)).strip()]
+        own = texts.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == block)
+        yield [(bytes(r.key), r.text) for r in own.collect()]
 
 
-def _search(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataFrame:
+def _search(items: list[tuple[bytes, str]], rate: float, docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,16 +214,16 @@ def _search(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataF
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
                 for leak in matcher.leaks(text or "")
             ]
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x[i] for x in found], t) for i, t in enumerate(kinds)],
-                names=["doc_id", "item_id", "distance", "begin", "end"],
+                names=["doc_id", "key", "distance", "begin", "end"],
             )
 
-    return docs.mapInArrow(rows, LEAKS)
+    return docs.mapInArrow(rows, HITS)
 
 
-def _without(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> DataFrame:
+def _without(items: list[tuple[bytes, str]], rate: float, docs: DataFrame) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,12 +237,15 @@ def _without(items: list[tuple[int, str]], rate: float, docs: DataFrame) -> Data
 def find_leaks(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """doc_id, item_id, distance, and begin and end in characters, of each item found in a document."""
     texts = docs.selectExpr("cast(doc_id as long) doc_id", "text")
-    found = [_search(items, rate, texts) for items in _blocks(benchmark)]
+    items = _items(benchmark)
+    found = [_search(block, rate, texts) for block in _blocks(items)]
     if not found:
         return docs.sparkSession.createDataFrame([], LEAKS)
-    return reduce(DataFrame.unionByName, found).distinct()
+    ids = items.select("item_id", "key").distinct()
+    hits = reduce(DataFrame.unionByName, found).distinct()
+    return hits.join(ids, "key").select("doc_id", "item_id", "distance", "begin", "end")
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE) -> DataFrame:
     """The documents, all columns, that hold no item."""
-    return reduce(lambda left, items: _without(items, rate, left), _blocks(benchmark), docs)
+    return reduce(lambda left, block: _without(block, rate, left), _blocks(_items(benchmark)), docs)
