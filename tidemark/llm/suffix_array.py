@@ -1,12 +1,13 @@
 """Remove every byte that a repeated 200-byte string covers.
 
-Method: prefix doubling over text positions. A rank is a fingerprint of the prefix at a position, the same
-for equal prefixes everywhere, and the fingerprint of a longer prefix is made of the pair of ranks at the
-position and behind it. Spark sorts positions by their ranks, drops those that are unique, and ranks the
-others at a greater length, until the threshold is passed (``windows`` has the rounds: prefixes of 137 bytes,
-then whole contexts of up to 263, then single strings of 200).
-
-The first round need not rank all positions: of each ``SAMPLE`` consecutive ones it takes the one whose
+Method: this stands in for prefix doubling, which it is not: no rank is made of a pair of ranks, no offset
+doubles and nothing is reranked. A name is a polynomial fingerprint of a range of bytes, the same for equal
+ranges everywhere, taken from prefix sums in constant time. Spark sorts names, drops those that are unique, and
+names the others at another length, in three fixed rounds (``windows``: ranges of 137 bytes, then whole contexts
+of up to 263, then single strings of 200). Prefix doubling would sort a row for every position in each of its
+rounds; here all but one position of 64 are left out of the first.
+
+The first round need not name all positions: of each ``SAMPLE`` consecutive ones it takes the one whose
 next ``GRAM`` bytes hash lowest. Equal strings choose the same position inside them, so none is missed.
 
 Null and empty texts have no bytes, and texts shorter than the threshold nothing to remove. Matches never
