@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontaminate,
     line_dedup,
+    periodic_runs,
     quality,
     recompression,
     sharding,
@@ -90,3 +93,20 @@ def op9_recompression(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.line_digests(table(spark, folder, "documents"))
+
+
+def rewritten(doc: int | None, n: int) -> np.ndarray | None:
+    """Fixed rule of the query: in a tenth of the documents the words from some place on repeat."""
+    h = 1 if doc is None else zlib.crc32(str(doc).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    at = np.arange(n)
+    return np.where(at < a, at, a + (at - a) % p)
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.digests(table(spark, folder, "documents"), rewritten)
