@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     decontaminate,
     line_dedup,
     periodic_runs,
@@ -110,3 +111,11 @@ def rewritten(doc: int | None, n: int) -> np.ndarray | None:
 @query
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.digests(table(spark, folder, "documents"), rewritten)
+
+
+@query
+def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digests(table(spark, folder, "documents"), a, b)
