@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     alignment,
     decontaminate,
+    kneser_ney,
     line_dedup,
     periodic_runs,
     quality,
@@ -119,3 +120,10 @@ def op11_cross_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFram
 
     a, b = (public_tokenizers.path(f) for f in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.digests(table(spark, folder, "documents"), a, b)
+
+
+@query
+def op12_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    """A row without an id is learnt from."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    return kneser_ney.held_out_scores(table(spark, folder, "documents"), held_out)
