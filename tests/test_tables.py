@@ -41,9 +41,9 @@ def table(spark):
 def test_upsert_moves_rows_and_clears_partitions(spark, table):
     result = tables.upsert(frame(spark, CHANGE), table.name(SPEC), SPEC.key)
     assert content(table) == AFTER and days(table) == [2, 3, 4]
-    assert result.rows == 2 and result.cleared == (date(2026, 5, 1),)
+    assert result.rows == 2 and result.cleared == ((date(2026, 5, 1),),)
     again = tables.upsert(frame(spark, CHANGE), table.name(SPEC), SPEC.key)
-    assert content(table) == AFTER and set(again.rewritten) == {date(2026, 5, 2), date(2026, 5, 4)}
+    assert content(table) == AFTER and set(again.rewritten) == {(date(2026, 5, 2),), (date(2026, 5, 4),)}
 
 
 def test_upsert_rewrites_only_partitions_with_matches(spark, table):
@@ -59,7 +59,7 @@ def test_match_condition_bounds_the_lookup(spark, table):
     """The caller's word is taken: rows outside the condition are not looked at."""
     recent = F.col("d") >= F.lit(date(2026, 5, 2))
     result = tables.upsert(frame(spark, [("b", 9, 3)]), table.name(SPEC), SPEC.key, match_where=recent)
-    assert result.rewritten == (date(2026, 5, 2),)
+    assert result.rewritten == ((date(2026, 5, 2),),)
     assert content(table) == [("a", 1, 1), ("b", 9, 3), ("c", 1, 3)] and days(table) == [1, 3]
 
 
@@ -177,7 +177,7 @@ def test_writes_without_adaptive_execution(spark, lake, monkeypatch):
     ).unionByName(spark.sql("select 'n' event_id, cast(null as date) event_date"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        spread = tables._spread(rows.repartition(16), "event_date")
+        spread = tables._spread(rows.repartition(16), tables.Layout("parquet", ("event_date",)))
         placed = spread.select("event_date", F.spark_partition_id().alias("task")).distinct()
         tasks = placed.groupBy("event_date").agg(F.count("task").alias("n")).collect()
         upserted = tables.upsert(rows, lake.name(CURATED), ("event_id",))

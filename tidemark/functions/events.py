@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -52,9 +53,9 @@ def parse_status(payload: Column, data: Column) -> Column:
     )
 
 
-def is_valid_event() -> Column:
+def is_valid_event(field: Callable[[str], Column] = F.col) -> Column:
     """All columns that curation and metrics depend on are present."""
-    return reduce(and_, [F.col(name).isNotNull() for name in VALID_FIELDS])
+    return reduce(and_, [field(name).isNotNull() for name in VALID_FIELDS])
 
 
 def is_click() -> Column:

@@ -62,16 +62,19 @@ def stamp(batch_id: int, ingested_at: datetime | Column | None) -> list[Column]:
 
 
 def raw_records(
-    parsed: DataFrame, batch_id: int, ingested_at: datetime | Column | None = None
+    parsed: DataFrame, batch_id: int, ingested_at: datetime | Column | None = None, hidden: bool = False
 ) -> DataFrame:
-    """Every record with its parse status, in the raw table's shape."""
+    """Every record with its parse status, in the raw table's shape, on request with the hidden event date."""
     status = parse_status(F.col("deserialized_payload"), F.col("data"))
+    # A record without an event has its own date, so that it does not keep a file from being skipped.
+    happened = F.coalesce(F.to_date(event_time_of(F.col("data.event_time"))), F.to_date("kafka_timestamp"))
     return parsed.select(
         "*",
         status.alias("parse_status"),
         F.to_date("kafka_timestamp").alias("kafka_date"),
         *stamp(batch_id, ingested_at),
-    ).select(*RAW.columns)
+        happened.alias("event_date"),
+    ).select(*RAW.columns, *(["event_date"] if hidden else []))
 
 
 def valid_events(parsed: DataFrame, *keep: str) -> DataFrame:
@@ -165,10 +168,14 @@ def write_quarantine(raw: DataFrame, path: str, batch_id: int) -> None:
     undecodable(raw).write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch_id}")
 
 
+def quality_counts() -> list[Column]:
+    """Total, valid and corrupted records of parsed ones, as aggregates to observe or to compute."""
+    data = F.col("data")
+    fields = {"event_timestamp": event_time_of(data["event_time"])}
+    total, valid = F.count(F.lit(1)), F.count_if(is_valid_event(lambda name: fields.get(name) if name in fields else data[name]))
+    return [total.alias("total"), valid.alias("valid"), (total - valid).alias("corrupted")]
+
+
 def batch_quality(parsed: DataFrame) -> DataFrame:
     """One row: total, valid and corrupted records, in a single pass."""
-    probe = parsed.select(
-        "data", event_time_of(F.col("data.event_time")).alias("event_timestamp")
-    ).select("event_timestamp", *[F.col(f"data.{c}").alias(c) for c in PAYLOAD_COLUMNS])
-    total, valid = F.count(F.lit(1)), F.count_if(is_valid_event())
-    return probe.agg(total.alias("total"), valid.alias("valid"), (total - valid).alias("corrupted"))
+    return parsed.agg(*quality_counts())

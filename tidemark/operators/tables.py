@@ -5,22 +5,35 @@ format) the operators are ``MERGE``, ``DELETE`` and ``overwrite``. Plain Parquet
 so an upsert there appends new rows and rewrites only the partitions that hold superseded ones.
 Rewrites use dynamic partition overwrite: new files are staged, and the old partition is dropped
 when the job commits, so the table can be read by the very job that rewrites it.
+
+File tables may have a second partition level (a bucket of the id, an hour), so that a change rewrites a
+part of a day, and Bloom filters, so that a lookup of some ids opens few row groups. Writers of one file
+table take turns by a lease.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.schemas import ALL_TABLES, CURATED, TableSpec
+from tidemark.operators.lease import Lease, writer_lease
+from tidemark.schemas import ALL_TABLES, CURATED, Level, TableSpec
 from tidemark.session import folder_exists
 
 FILE_FORMATS = ("parquet", "orc")
+LISTED_KEYS = 10_000  # a source with no more rows is looked up by a list of its keys
+BLOOM_FALSE = "0.0001"  # share of absent keys that a filter lets pass
+LEVEL_PROPERTY = "tidemark.level."
+CLUSTER_PROPERTY = "tidemark.cluster"
+BLOOM_PROPERTY = "tidemark.bloom"
 BOUNDED_KEY_TYPES = (T.IntegralType, T.StringType, T.TimestampType, T.DateType)
 
 
@@ -34,19 +47,22 @@ class Warehouse:
     def name(self, spec: TableSpec) -> str:
         return f"{self.database}.{spec.name}"
 
-    def read(self, spec: TableSpec) -> DataFrame:
-        """Table with its columns in contract order, then any added later.
+    def read(self, spec: TableSpec, hidden: bool = False) -> DataFrame:
+        """Table with its columns in contract order, then any added later; ``hidden`` ones on request.
 
         Refreshed first, as micro-batches write through sessions of their own.
         """
         self.spark.catalog.refreshTable(self.name(spec))
         table = self.spark.table(self.name(spec))
-        extra = [c for c in table.columns if c not in spec.columns]
+        left_out = {level.name for level in spec.levels} if hidden else spec.unseen
+        extra = [c for c in table.columns if c not in spec.columns and c not in left_out]
         return table.select(*spec.columns, *extra)
 
 
 @dataclass(frozen=True)
 class UpsertResult:
+    """Source rows, and the partitions rewritten and left empty, each as a tuple of its values."""
+
     rows: int
     rewritten: tuple = ()
     cleared: tuple = ()
@@ -70,22 +86,50 @@ def create_tables(
     home = f"LOCATION '{location}'" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} {home}")
     warehouse = Warehouse(spark, database)
-    options = "OPTIONS (partitionOverwriteMode 'dynamic')" if provider in FILE_FORMATS else ""
-    # Fixed value: row-level deletes need the second format version.
-    properties = "TBLPROPERTIES ('format-version' = '2')" if provider == "iceberg" else ""
     for spec in specs:
         found = spark.catalog.tableExists(warehouse.name(spec))
-        place = f"LOCATION '{location}/{spec.name}/data'" if location else ""
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {warehouse.name(spec)} ({spec.ddl}) USING {provider} "
-            f"{options} PARTITIONED BY ({spec.partition}) {place} {properties}"
-        )
-        if options and not found and location and folder_exists(spark, f"{location}/{spec.name}/data"):
+        spark.sql(_definition(spec, warehouse.name(spec), location, provider))
+        place = f"{location}/{spec.name}/data"
+        if provider in FILE_FORMATS and not found and location and folder_exists(spark, place):
             spark.catalog.recoverPartitions(warehouse.name(spec))  # files may be there already
-        add_missing_columns(spark, warehouse.name(spec), spec.schema)
+        add_missing_columns(spark, warehouse.name(spec), spec.stored)
     return warehouse
 
 
+def _definition(spec: TableSpec, name: str, location: str | None, provider: str) -> str:
+    """File tables hold levels as columns, and how to compute them as properties; others have transforms."""
+    place = f"LOCATION '{location}/{spec.name}/data'" if location else ""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spec.stored)
+    if provider not in FILE_FORMATS:
+        # Fixed value: row-level deletes need the second format version.
+        properties = "TBLPROPERTIES ('format-version' = '2')" if provider == "iceberg" else ""
+        parts = ", ".join([spec.partition, *(level.transform for level in spec.levels)])
+        return f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {provider} PARTITIONED BY ({parts}) {place} {properties}"
+    options, properties = {"partitionOverwriteMode": "dynamic"}, {}
+    if spec.bloom and provider == "parquet":
+        # As large as the ids of a row group need, instead of a megabyte each.
+        options["parquet.bloom.filter.adaptive.enabled"] = "true"
+        for column in spec.bloom:
+            options[f"parquet.bloom.filter.enabled#{column}"] = "true"
+            options[f"parquet.bloom.filter.fpp#{column}"] = BLOOM_FALSE
+    for level in spec.levels:
+        properties[LEVEL_PROPERTY + level.name] = json.dumps([level.of, level.expression])
+    if spec.cluster:
+        properties[CLUSTER_PROPERTY] = json.dumps(spec.cluster)
+    if spec.bloom:
+        properties[BLOOM_PROPERTY] = json.dumps(spec.bloom)
+    levels = "".join(f", `{level.name}` INT" for level in spec.levels)
+    parts = ", ".join([spec.partition, *(level.name for level in spec.levels)])
+    return (
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}{levels}) USING {provider} OPTIONS ({_pairs(options)}) "
+        f"PARTITIONED BY ({parts}) {place}" + (f" TBLPROPERTIES ({_pairs(properties)})" if properties else "")
+    )
+
+
+def _pairs(settings: dict[str, str]) -> str:
+    return ", ".join(f"{_sql_literal(k)} {_sql_literal(v)}" for k, v in settings.items())
+
+
 def add_missing_columns(spark: SparkSession, table: str, wanted: T.StructType) -> list[str]:
     """Evolve a table in place; rows written before read null in the added columns."""
     spark.catalog.refreshTable(table)
@@ -118,14 +162,28 @@ class Layout:
     """What a write needs to know of a table."""
 
     provider: str
-    partition: str
+    partitions: tuple[str, ...]
     location: str = ""
+    levels: dict[str, Level] = field(default_factory=dict)  # partition columns that writers compute
+    cluster: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
     @property
     def plain_files(self) -> bool:
         """True for a file table, which has no row-level operations."""
         return self.provider in FILE_FORMATS
 
+    @property
+    def partition(self) -> str:
+        """The partition column of the table's contract."""
+        return self.partitions[0]
+
+    def shaped(self, source: DataFrame, target: T.StructType) -> DataFrame:
+        """Source in the table's columns, with the levels computed from them."""
+        own = {name: F.expr(level.expression).cast("int") for name, level in self.levels.items()}
+        rows = align(source, target)
+        return rows.withColumns(own) if own else rows
+
 
 def layout(spark: SparkSession, table: str) -> Layout:
     rows = [(r[0], r[1]) for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()]
@@ -133,23 +191,43 @@ def layout(spark: SparkSession, table: str) -> Layout:
     location = next((place for name, place in rows if name == "Location"), "")
     named = [name for name, _ in rows]
     parts = named[named.index("# col_name") + 1 :] if "# col_name" in named else []
-    parts = parts[: parts.index("")] if "" in parts else parts
-    if len(parts) != 1:
-        raise ValueError(f"{table} must have exactly one partition column, found {parts}")
-    return Layout(provider, parts[0], location)
-
-
-def known_form(spark: SparkSession, table: str) -> Layout:
-    """Layout of a table whose catalog entry shows all partitions that lie in its folder.
-
-    Another job may have its own catalog over the same files. A partition that it opened would be
-    invisible here, and keys in it would be added a second time.
+    parts = tuple(parts[: parts.index("")] if "" in parts else parts)
+    if not parts and provider in FILE_FORMATS:
+        raise ValueError(f"{table} has no partition column")
+    known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    levels = {}
+    for name in parts:
+        if text := known.get(LEVEL_PROPERTY + name):
+            of, expression = json.loads(text)
+            levels[name] = Level(name, tuple(of), expression, "")
+    cluster, bloom = (tuple(json.loads(known.get(p, "[]"))) for p in (CLUSTER_PROPERTY, BLOOM_PROPERTY))
+    return Layout(provider, parts, location, levels, cluster, bloom)
+
+
+#: The last lease that this process had of a table, as this catalog knows it.
+_LAST_LEASE: dict[tuple[str, str, str], int] = {}
+
+
+@contextmanager
+def writing(spark: SparkSession, table: str) -> Iterator[tuple[Layout, Lease | None]]:
+    """Layout of a table that nobody else writes meanwhile, with all its partitions known to the catalog.
+
+    Another job may have its own catalog over the same files. A partition that it opened would be invisible
+    here, and keys in it would be added a second time. Leases are numbered, so the folder is searched only
+    where another writer had one since.
     """
     form = layout(spark, table)
-    if form.plain_files and form.location and folder_exists(spark, form.location):
-        spark.catalog.recoverPartitions(table)
-    spark.catalog.refreshTable(table)
-    return form
+    if not form.plain_files:
+        yield form, None
+        return
+    with writer_lease(spark, form.location) as lease:
+        known = (spark.sparkContext.applicationId, table, form.location)
+        if _LAST_LEASE.get(known) != lease.number - 1 and folder_exists(spark, form.location):
+            spark.catalog.recoverPartitions(table)
+        spark.catalog.refreshTable(table)
+        yield form, lease
+        _LAST_LEASE[known] = lease.number
+        spark.catalog.refreshTable(table)
 
 
 # --- writing -------------------------------------------------------------------------------------
@@ -158,38 +236,64 @@ def known_form(spark: SparkSession, table: str) -> Layout:
 ROWS_PER_TASK = 1_000_000
 
 
-def _spread(rows: DataFrame, part: str) -> DataFrame:
+def _spread(rows: DataFrame, form: Layout) -> DataFrame:
     """Group rows by partition for few, full files; a hot partition is split again at run time."""
-    spark = rows.sparkSession
+    spark, parts = rows.sparkSession, form.partitions
+    order = [*parts, *form.cluster]
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        return rows.hint("rebalance", part)
+        return rows.hint("rebalance", *parts).sortWithinPartitions(*order)
     # Stateful streams write without adaptive execution, where the hint does nothing: rows of a partition
-    # then meet in one task, or in several for every million of them.
+    # then meet in one task, or in several for every million of them. Only partitions with more are listed.
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tasks = F.ceil(F.count(F.lit(1)) / ROWS_PER_TASK).alias("_tasks")
-    counts = rows.groupBy(F.col(part).alias("_part")).agg(tasks)
-    salted = rows.join(counts, F.col(part).eqNullSafe(F.col("_part")))
-    salt = F.pmod(F.xxhash64(*rows.columns), F.col("_tasks"))
-    return salted.withColumn("_salt", salt).repartition(width, part, "_salt").select(*rows.columns)
+    sizes = rows.groupBy(*[F.col(p).alias(p) for p in parts]).agg(F.count(F.lit(1)).alias("n"))
+    hot = sizes.where(F.col("n") > ROWS_PER_TASK).collect()
+    salt = F.lit(0)
+    for row in hot:
+        tasks = -(-row["n"] // ROWS_PER_TASK)
+        mine = in_partitions(parts, [tuple(row[p] for p in parts)])
+        salt = F.when(mine, F.pmod(F.xxhash64(*rows.columns), F.lit(tasks)).cast("int")).otherwise(salt)
+    spread = rows.repartition(width, *parts, salt) if hot else rows.repartition(width, *parts)
+    return spread.sortWithinPartitions(*order)
+
+
+def _insert(rows: DataFrame, table: str, form: Layout, lease: Lease, overwrite: bool = False) -> None:
+    lease.check()
+    _spread(rows, form).write.insertInto(table, overwrite=overwrite)
 
 
 def append(source: DataFrame, table: str) -> None:
     spark = source.sparkSession
-    rows = align(source, spark.table(table).schema)
-    form = layout(spark, table)
-    if form.plain_files:
-        _spread(rows, form.partition).write.insertInto(table)
-    else:
-        rows.writeTo(table).append()
-    spark.catalog.refreshTable(table)
+    with writing(spark, table) as (form, lease):
+        rows = form.shaped(source, spark.table(table).schema)
+        if lease:
+            _insert(rows, table, form, lease)
+        else:
+            rows.writeTo(table).append()
+            spark.catalog.refreshTable(table)
 
 
-def in_partitions(part: str, values: list | tuple | set) -> Column:
-    """Membership that also matches the null partition."""
+def _is(column: str, values: set) -> Column:
+    """Membership that also matches null."""
     known = [v for v in values if v is not None]
-    tests = [F.col(part).isin(*known)] if known else []
+    tests = [F.col(column).isin(*known)] if known else []
     if len(known) < len(values):
-        tests.append(F.col(part).isNull())
+        tests.append(F.col(column).isNull())
+    return reduce(or_, tests) if tests else F.lit(False)
+
+
+def in_partitions(parts: tuple[str, ...], values: list | tuple | set) -> Column:
+    """Rows of any of the partitions, each given by its values; the null partition is one too."""
+    *outer, last = parts
+    if not outer:
+        return _is(last, {v[0] for v in values})
+    groups: dict[tuple, set] = {}
+    for *head, tail in values:
+        groups.setdefault(tuple(head), set()).add(tail)
+    # Heads that have the same tails share a test, so a whole day of every level is one value of a list.
+    shared: dict[frozenset, set] = {}
+    for head, tails in groups.items():
+        shared.setdefault(frozenset(tails), set()).add(head)
+    tests = [in_partitions(tuple(outer), heads) & _is(last, set(tails)) for tails, heads in shared.items()]
     return reduce(or_, tests) if tests else F.lit(False)
 
 
@@ -202,46 +306,75 @@ def _sql_literal(value) -> str:
     return f"'{text}'"
 
 
+def partitions_of(spark: SparkSession, table: str, form: Layout, value) -> list[tuple]:
+    """Every partition below one value of the first partition column, as the catalog lists them."""
+    found = spark.sql(f"SHOW PARTITIONS {table} PARTITION (`{form.partition}` = {_sql_literal(value)})").collect()
+    out = []
+    for row in found:
+        pairs = [p.split("=", 1)[1] for p in row[0].split("/")[1:]]
+        out.append((value, *(None if p == "__HIVE_DEFAULT_PARTITION__" else int(p) for p in pairs)))
+    return out
+
+
+def _clear(spark: SparkSession, table: str, form: Layout, partitions: list[tuple], lease: Lease) -> None:
+    """Leave partitions without rows."""
+    fields = [f for f in spark.table(table).schema if f.name not in form.partitions]
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
+    lease.check()
+    for values in partitions:
+        given = ", ".join(f"`{p}` = {_sql_literal(v)}" for p, v in zip(form.partitions, values, strict=True))
+        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({given}) SELECT {nothing} WHERE false")
+
+
 def delete_partition(spark: SparkSession, table: str, value) -> None:
-    """Remove all rows of one partition."""
-    form = layout(spark, table)
-    part = form.partition
-    if form.plain_files:
-        fields = [f for f in spark.table(table).schema if f.name != part]
-        nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (`{part}` = {_sql_literal(value)}) "
-            f"SELECT {nothing} WHERE false"
-        )
-    else:
-        test = f"`{part}` IS NULL" if value is None else f"`{part}` = {_sql_literal(value)}"
-        spark.sql(f"DELETE FROM {table} WHERE {test}")
-    spark.catalog.refreshTable(table)
+    """Remove all rows with one value of the first partition column."""
+    with writing(spark, table) as (form, lease):
+        if lease:
+            _clear(spark, table, form, partitions_of(spark, table, form, value), lease)
+        else:
+            part = form.partition
+            test = f"`{part}` IS NULL" if value is None else f"`{part}` = {_sql_literal(value)}"
+            spark.sql(f"DELETE FROM {table} WHERE {test}")
+            spark.catalog.refreshTable(table)
+
+
+def _written(bitmap: bytes) -> set[int]:
+    """Numbers of the bits that are set, lowest bit of the first byte first."""
+    return {8 * i + bit for i, byte in enumerate(bitmap) for bit in range(8) if byte >> bit & 1}
 
 
 def replace_partition(source: DataFrame, table: str, value) -> int:
-    """Make ``source`` the whole content of one partition; returns its row count.
+    """Make ``source`` the whole content of one value of the first partition column; returns its row count.
 
-    An empty source leaves an empty partition. Every source row must belong to the partition.
+    An empty source leaves an empty partition. Every source row must belong to the partition. Rows are
+    counted as they are written.
     """
     spark = source.sparkSession
-    form = known_form(spark, table)
-    part = form.partition
-    mine = in_partitions(part, [value])
-    rows = align(source, spark.table(table).schema)
-    stray = F.raise_error(F.lit(f"row outside partition {part} = {value}"))
-    guarded = rows.withColumn(part, F.when(mine, F.col(part)).otherwise(stray))
-    if form.plain_files:
-        # Dynamic overwrite swaps the partition at commit, but leaves it alone if no row arrives.
-        before = spark.table(table).where(mine).inputFiles()
-        _spread(guarded, part).write.insertInto(table, overwrite=True)
-        spark.catalog.refreshTable(table)
-        if set(spark.table(table).where(mine).inputFiles()) == set(before):
-            delete_partition(spark, table, value)
-    else:
-        guarded.writeTo(table).overwrite(mine)
-    spark.catalog.refreshTable(table)
-    return spark.table(table).where(mine).count()
+    with writing(spark, table) as (form, lease):
+        part = form.partition
+        mine = _is(part, {value})
+        rows = form.shaped(source, spark.table(table).schema)
+        stray = F.raise_error(F.lit(f"row outside partition {part} = {value}"))
+        guarded = rows.withColumn(part, F.when(mine, F.col(part)).otherwise(stray))
+        seen = Observation()
+        counts = [F.count(F.lit(1)).alias("rows")]
+        if len(form.partitions) > 2:
+            raise ValueError(f"{table} has more than one level below {part}")
+        for level in form.partitions[1:]:
+            # A level is a small whole number, so which of them were written fits a bitmap.
+            counts.append(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(level).cast("long") + 1)).alias("levels"))
+        if lease is None:
+            guarded.observe(seen, *counts).writeTo(table).overwrite(mine)
+            spark.catalog.refreshTable(table)
+            return seen.get["rows"]
+        before = partitions_of(spark, table, form, value)
+        # Dynamic overwrite swaps the partitions that rows arrive for at commit, and leaves the others alone.
+        lease.check()
+        _spread(guarded, form).observe(seen, *counts).write.insertInto(table, overwrite=True)
+        written = seen.get
+        kept = _written(written["levels"]) if "levels" in written else {None} if written["rows"] else set()
+        _clear(spark, table, form, [p for p in before if (p[1] if len(p) > 1 else None) not in kept], lease)
+        return written["rows"]
 
 
 # --- upsert --------------------------------------------------------------------------------------
@@ -257,8 +390,8 @@ def _check_unique(source: DataFrame, keys: tuple[str, ...]) -> None:
         raise ValueError(f"upsert source has several rows for one key {keys}")
 
 
-def _profile(source: DataFrame, keys: tuple[str, ...], part: str):
-    """Row count, partitions and key ranges of the source, in one pass.
+def _profile(source: DataFrame, keys: tuple[str, ...], parts: tuple[str, ...]):
+    """Row count, partitions and key ranges of the source, in the pass that computes it.
 
     The set holds one value per partition of the source, not per row.
     """
@@ -269,13 +402,9 @@ def _profile(source: DataFrame, keys: tuple[str, ...], part: str):
             plain = F.unix_micros(key) if isinstance(kind, T.TimestampType) else F.col(key)
             ranges += [F.min(plain).alias(f"lo_{key}"), F.max(plain).alias(f"hi_{key}")]
     row = source.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.collect_set(part).alias("parts"),
-        F.count_if(F.col(part).isNull()).alias("null_parts"),
-        *ranges,
+        F.count(F.lit(1)).alias("rows"), F.collect_set(F.struct(*parts)).alias("parts"), *ranges
     ).first()
-    parts = set(row["parts"]) | ({None} if row["null_parts"] else set())
-    return row, parts
+    return row, {tuple(p) for p in row["parts"]}
 
 
 def _within_ranges(profile, source: DataFrame, keys: tuple[str, ...]) -> Column:
@@ -291,11 +420,53 @@ def _within_ranges(profile, source: DataFrame, keys: tuple[str, ...]) -> Column:
     return test
 
 
-def _merge(source: DataFrame, table: str, keys: tuple[str, ...]) -> None:
+def _listed(profile, source: DataFrame, keys: tuple[str, ...], form: Layout) -> Column | None:
+    """For few keys with Bloom filters the list of them, which the filters of each row group are asked."""
+    if len(keys) != 1 or keys[0] not in form.bloom or profile["rows"] > LISTED_KEYS:
+        return None
+    found = {r[0] for r in source.select(*keys).collect()} - {None}
+    return F.col(keys[0]).isin(*found)
+
+
+def lookup(
+    target: DataFrame, source: DataFrame, profile, parts: set[tuple], keys: tuple[str, ...], form: Layout,
+    partition_follows_key: bool = False, match_where: Column | None = None,
+) -> DataFrame:
+    """Target rows that may have a key of the source, as few as files and filters can tell."""
+    found = target.where(_within_ranges(profile, source, keys))
+    if match_where is not None:
+        found = found.where(match_where)
+    # Partition columns that the key decides: rows with equal keys lie in the same of their values.
+    fixed = [
+        i for i, p in enumerate(form.partitions)
+        if partition_follows_key or p in keys or (p in form.levels and set(form.levels[p].of) <= set(keys))
+    ]
+    if fixed:
+        found = found.where(
+            in_partitions(tuple(form.partitions[i] for i in fixed), {tuple(v[i] for i in fixed) for v in parts})
+        )
+    listed = _listed(profile, source, keys, form)
+    return found if listed is None else found.where(listed)
+
+
+#: From the old and the new row's column by name: whether the new row may replace the old one.
+ReplaceIf = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
+
+
+def _merge(source: DataFrame, table: str, keys: tuple[str, ...], replace_if: ReplaceIf | None) -> None:
     name = table.split(".")[-1]
     match = reduce(and_, [F.col(f"{name}.{k}") == F.col(f"src.{k}") for k in keys])
     writer = source.alias("src").mergeInto(table, match)
-    writer.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+    allowed = replace_if(lambda c: F.col(f"{name}.{c}"), lambda c: F.col(f"src.{c}")) if replace_if else None
+    writer.whenMatched(allowed).updateAll().whenNotMatched().insertAll().merge()
+
+
+def _refused(candidates: DataFrame, source: DataFrame, keys: tuple[str, ...], replace_if: ReplaceIf) -> DataFrame:
+    """Keys of source rows that may not replace the row that is there; an unknown answer is a no."""
+    old = candidates.select(*keys, F.struct(*candidates.columns).alias("_old"))
+    new = source.select(*keys, F.struct(*source.columns).alias("_new"))
+    allowed = replace_if(lambda c: F.col("_old")[c], lambda c: F.col("_new")[c])
+    return old.join(new, [*keys]).where(~F.coalesce(allowed, F.lit(False))).select(*keys).distinct()
 
 
 def upsert(
@@ -306,66 +477,80 @@ def upsert(
     keys_unique: bool = False,
     match_where: Column | None = None,
     partition_follows_key: bool = False,
+    replace_if: ReplaceIf | None = None,
 ) -> UpsertResult:
     """Insert source rows, replacing target rows with equal keys; null keys never match.
 
-    ``partition_follows_key`` states that rows with equal keys always share a partition value, so
+    ``partition_follows_key`` states that rows with equal keys always share their partition values, so
     the lookup reads only the source's partitions. ``match_where`` is any other condition known to
-    hold for all matching target rows. Running the same upsert again changes nothing; on file tables
+    hold for all matching target rows. ``replace_if`` decides for each match whether the new row takes the
+    old one's place or is left out. Running the same upsert again changes nothing; on file tables
     a run that died half way is completed by running it again. The source must not read the target:
     checkpoint it first if it does.
+
+    The rows reported are those of the source, or where the catalog merges, those it was given.
     """
     spark = source.sparkSession
-    form = known_form(spark, table)
-    target = spark.table(table)
-    rows = align(source, target.schema)
-    if not form.plain_files:
-        _merge(rows, table, keys)
-        spark.catalog.refreshTable(table)
-        return UpsertResult(-1)
-
-    part = form.partition
-    # Several jobs read the source, so it is computed once; a source already held is not held twice.
-    held = rows if source.is_cached else rows.persist()
-    try:
-        profile, parts = _profile(held, keys, part)
-        if not profile["rows"]:
-            return UpsertResult(0)
-        if not keys_unique:
-            _check_unique(held, keys)
-
-        candidates = target.where(_within_ranges(profile, held, keys))
-        if match_where is not None:
-            candidates = candidates.where(match_where)
-        if partition_follows_key:
-            candidates = candidates.where(in_partitions(part, parts))
-        source_keys = held.select(*keys)
-        matches = candidates.select(*dict.fromkeys([*keys, part])).join(source_keys, [*keys], "left_semi")
-        # One row per partition with a match, however many rows match.
-        stale = {row[0] for row in matches.select(part).distinct().collect()}
-
-        fresh = held.where(~in_partitions(part, stale)) if stale else held
-        if parts - stale:
-            _spread(fresh, part).write.insertInto(table)
-        cleared: set = set()
-        if stale:
-            old = target.where(in_partitions(part, stale))
-            kept = old.where(_keys_present(keys)).join(source_keys, [*keys], "left_anti")
-            # Null keys match nothing; joined, they would all meet in one task.
-            kept = kept.select(*target.columns).unionByName(old.where(~_keys_present(keys)))
-            emptied = stale - parts
-            if emptied:
-                left = kept.where(in_partitions(part, emptied)).select(part).distinct().collect()
-                cleared = emptied - {row[0] for row in left}
-            content = kept.unionByName(held.where(in_partitions(part, stale)))
-            _spread(content, part).write.insertInto(table, overwrite=True)
-            for value in cleared:
-                delete_partition(spark, table, value)
-        spark.catalog.refreshTable(table)
-        return UpsertResult(profile["rows"], tuple(stale), tuple(cleared))
-    finally:
-        if not source.is_cached:
+    with writing(spark, table) as (form, lease):
+        target = spark.table(table)
+        rows = form.shaped(source, target.schema)
+        if lease is None:
+            seen = Observation()
+            _merge(rows.observe(seen, F.count(F.lit(1)).alias("rows")), table, keys, replace_if)
+            spark.catalog.refreshTable(table)
+            return UpsertResult(seen.get["rows"])
+        # Several jobs read the source, so it is computed once.
+        held = rows.persist()
+        chosen = None
+        try:
+            profile, parts = _profile(held, keys, form.partitions)
+            if not profile["rows"]:
+                return UpsertResult(0)
+            if not keys_unique:
+                _check_unique(held, keys)
+            candidates = lookup(target, held, profile, parts, keys, form, partition_follows_key, match_where)
+            if replace_if is not None:
+                refused = _refused(candidates, held, keys, replace_if)
+                unknown = held.where(~_keys_present(keys))
+                accepted = held.where(_keys_present(keys)).join(refused, [*keys], "left_anti").select(*held.columns)
+                chosen = accepted.unionByName(unknown).persist()
+                parts = {tuple(r) for r in chosen.select(*form.partitions).distinct().collect()}
+            return _replace(spark, table, form, lease, chosen or held, profile["rows"], parts, candidates, keys)
+        finally:
             held.unpersist()
+            if chosen is not None:
+                chosen.unpersist()
+
+
+def _replace(
+    spark: SparkSession, table: str, form: Layout, lease: Lease, held: DataFrame, count: int, parts: set[tuple],
+    candidates: DataFrame, keys: tuple[str, ...],
+) -> UpsertResult:
+    """Append what is new, and rewrite the partitions that hold superseded rows."""
+    target = spark.table(table)
+    source_keys = held.select(*keys)
+    matches = candidates.select(*dict.fromkeys([*keys, *form.partitions])).join(source_keys, [*keys], "left_semi")
+    # One row per partition with a match, however many rows match.
+    stale = {tuple(row) for row in matches.select(*form.partitions).distinct().collect()}
+    old_place = in_partitions(form.partitions, stale) if stale else None
+
+    if parts - stale:
+        _insert(held.where(~old_place) if stale else held, table, form, lease)
+    cleared: set = set()
+    if stale:
+        old = target.where(old_place)
+        kept = old.where(_keys_present(keys)).join(source_keys, [*keys], "left_anti")
+        # Null keys match nothing; joined, they would all meet in one task.
+        kept = kept.select(*target.columns).unionByName(old.where(~_keys_present(keys)))
+        emptied = stale - parts
+        if emptied:
+            left = kept.where(in_partitions(form.partitions, emptied)).select(*form.partitions).distinct().collect()
+            cleared = emptied - {tuple(row) for row in left}
+        content = kept.unionByName(held.where(old_place))
+        _insert(content, table, form, lease, overwrite=True)
+        if cleared:
+            _clear(spark, table, form, sorted(cleared, key=str), lease)
+    return UpsertResult(count, tuple(sorted(stale, key=str)), tuple(sorted(cleared, key=str)))
 
 
 def upsert_spec(
@@ -377,4 +562,4 @@ def upsert_spec(
 
 def evolve_curated(warehouse: Warehouse) -> list[str]:
     """Add the columns that event versions after the first brought."""
-    return add_missing_columns(warehouse.spark, warehouse.name(CURATED), CURATED.schema)
+    return add_missing_columns(warehouse.spark, warehouse.name(CURATED), CURATED.stored)

@@ -92,7 +92,7 @@ def payloads(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_days(spark: SparkSession, folder: str) -> DataFrame:
     """Raw rows as if one batch had been ingested per day; copies come two batches later."""
-    raw = ingest.raw_records(payloads(spark, folder), 0, LOADED_AT)
+    raw = ingest.raw_records(payloads(spark, folder), 0, LOADED_AT, hidden=True)
     return raw.withColumn(
         "ingestion_batch_id",
         F.dayofmonth("kafka_timestamp").cast("long") + F.pmod(F.col("kafka_offset"), F.lit(2)) * 2,
@@ -360,7 +360,7 @@ def upsert_raw(spark, folder):
     """The same records delivered twice stay one row each, stamped by the later batch."""
     lake, _ = workspace(spark, RAW)
     for batch in (0, 1):
-        rows = ingest.raw_records(payloads(spark, folder), batch, LOADED_AT)
+        rows = ingest.raw_records(payloads(spark, folder), batch, LOADED_AT, hidden=True)
         tables.upsert_spec(rows, lake, RAW, partition_follows_key=True)
     return lake.read(RAW).groupBy("kafka_date", "parse_status", "ingestion_batch_id").agg(
         F.count(F.lit(1)).alias("records")

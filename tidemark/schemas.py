@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -80,23 +80,63 @@ TOPIC_SCHEMA = T.StructType(
 )
 
 
+@dataclass(frozen=True)
+class Level:
+    """A further partition column, computed from others by every writer and not part of what readers see.
+
+    Values are whole numbers from 0 on. ``transform`` says the same to catalogs that partition by hidden
+    transforms and need no column for it.
+    """
+
+    name: str
+    of: tuple[str, ...]  # columns that decide it
+    expression: str
+    transform: str
+
+
 @dataclass(frozen=True)
 class TableSpec:
-    """Contract of one table: ordered columns, natural key and partition column."""
+    """Contract of one table: ordered columns, natural key and partition column; and how it is laid out.
+
+    ``hidden`` columns are stored but not part of the contract. Rows of a file are in order of ``cluster``,
+    and ``bloom`` columns have filters that let a lookup of a few values skip most row groups.
+    """
 
     name: str
     ddl: str
     key: tuple[str, ...]
     partition: str
+    hidden: str = ""
+    levels: tuple[Level, ...] = ()
+    cluster: tuple[str, ...] = ()
+    bloom: tuple[str, ...] = ()
 
     @property
     def schema(self) -> T.StructType:
         return T.StructType.fromDDL(self.ddl)
 
+    @property
+    def stored(self) -> T.StructType:
+        """Contract and hidden columns, without levels."""
+        return T.StructType.fromDDL(", ".join(filter(None, (self.ddl, self.hidden))))
+
     @property
     def columns(self) -> list[str]:
         return [column.split()[0] for column in self.ddl.split(",")]
 
+    @property
+    def unseen(self) -> set[str]:
+        """Stored columns that readers do not ask for."""
+        return {level.name for level in self.levels} | {f.name for f in self.stored} - set(self.columns)
+
+
+# An event id says nothing about its date, so its hash picks one of so many folders of each day.
+KEY_BUCKETS = 8
+
+
+def by_id(column: str, buckets: int = KEY_BUCKETS) -> Level:
+    return Level("id_bucket", (column,), f"pmod(xxhash64({column}), {buckets})", f"bucket({buckets}, {column})")
+
 
 # --- Fixed values: table names, columns, keys and partitions --------------------------------------
 RAW = TableSpec(
@@ -106,6 +146,9 @@ RAW = TableSpec(
     "parse_status STRING, kafka_date DATE, ingestion_batch_id BIGINT, ingested_at TIMESTAMP",
     ("kafka_topic", "kafka_partition", "kafka_offset"),
     "kafka_date",
+    # Date of the event inside, or of the record where there is none: a zone map for readers that want one day.
+    hidden="event_date DATE",
+    cluster=("event_date",),
 )
 
 CURATED = TableSpec(
@@ -116,9 +159,12 @@ CURATED = TableSpec(
     "event_timestamp TIMESTAMP, event_date DATE, ingestion_batch_id BIGINT, ingested_at TIMESTAMP",
     ("event_id",),
     "event_date",
+    levels=(by_id("event_id"),),
+    cluster=("event_id",),
+    bloom=("event_id",),
 )
 
-LATE = TableSpec("ad_events_late", CURATED.ddl, CURATED.key, CURATED.partition)
+LATE = replace(CURATED, name="ad_events_late")
 
 METRICS = TableSpec(
     "campaign_conversion_metrics",
@@ -127,6 +173,9 @@ METRICS = TableSpec(
     "conversion_rate DOUBLE, aggregation_time TIMESTAMP",
     ("campaign_id", "window_start", "window_end"),
     "window_date",
+    # Set by jobs that count a window from all stored events, which no live total may replace.
+    hidden="reconciled BOOLEAN",
+    levels=(Level("window_hour", ("window_start",), "hour(window_start)", "hours(window_start)"),),
 )
 
 STATS = TableSpec(

@@ -7,19 +7,20 @@ from __future__ import annotations
 
 import argparse
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.events import event_time_of, is_valid_event
 from tidemark.functions.frames import FrameDecoder
 from tidemark.operators.ingest import (
-    batch_quality,
     curated_events,
     decode_records,
+    quality_counts,
     raw_records,
     split_late,
     valid_events,
@@ -27,6 +28,7 @@ from tidemark.operators.ingest import (
 )
 from tidemark.operators.metrics import campaign_metrics, device_stats
 from tidemark.operators.tables import FILE_FORMATS, Warehouse, create_tables, upsert_spec
+from tidemark.plans.reconcile import affected_windows, recompute_windows
 from tidemark.schemas import (
     CURATED,
     DEFAULT_TOPIC,
@@ -61,12 +63,17 @@ class IngestOptions:
 
     ``curated_match_where`` is any condition known to hold for curated rows that a new event may
     replace, such as a bound on their date; without it event ids are looked up in the whole table.
+
+    ``correct_late`` is an interval, such as the watermark's delay: windows of events that came in later than
+    that, or on a later date than they happened on, are counted again from all curated events.
     """
 
     fixed_record_dates: bool = True
     separate_late: bool = False
     quarantine: str | None = None
     curated_match_where: Column | None = None
+    correct_late: str | None = None
+    correct_window: str = METRIC_WINDOW
 
 
 def ingest_batch(
@@ -77,17 +84,21 @@ def ingest_batch(
     options: IngestOptions = IngestOptions(),
     ingested_at: datetime | None = None,
 ) -> dict[str, int]:
-    """Store one micro-batch: every record in raw, valid events in the curated table."""
+    """Store one micro-batch: every record in raw, valid events in the curated table.
+
+    Records are counted in passing, as the raw table takes them.
+    """
     moment = ingested_at or datetime.now(timezone.utc)
     parsed = decode_records(records, decoder).persist()
     try:
-        quality = batch_quality(parsed).first().asDict()
-        if not quality["total"]:
+        seen = Observation()
+        raw = raw_records(parsed.observe(seen, *quality_counts()), batch_id, moment, hidden=True)
+        written = upsert_spec(raw, warehouse, RAW, partition_follows_key=options.fixed_record_dates)
+        quality = seen.get
+        if not written.rows:
             return quality
-        raw = raw_records(parsed, batch_id, moment)
-        upsert_spec(raw, warehouse, RAW, partition_follows_key=options.fixed_record_dates)
         if options.quarantine:
-            write_quarantine(raw, options.quarantine, batch_id)
+            write_quarantine(raw_records(parsed, batch_id, moment), options.quarantine, batch_id)
         if quality["valid"]:
             events = valid_events(parsed, "kafka_timestamp", "kafka_topic", "kafka_partition", "kafka_offset")
             targets = [(events, CURATED)]
@@ -97,15 +108,24 @@ def ingest_batch(
             for chosen, spec in targets:
                 rows = curated_events(chosen, batch_id, moment)
                 upsert_spec(rows, warehouse, spec, keys_unique=True, match_where=options.curated_match_where)
+            if options.correct_late and not options.separate_late:
+                windows = affected_windows(events, "kafka_timestamp", options.correct_late, options.correct_window)
+                quality["corrected"] = recompute_windows(warehouse, windows, options.correct_window)
         log.info("batch %s: %s", batch_id, quality)
         return quality
     finally:
         parsed.unpersist()
 
 
+def newer_and_open(old: Callable[[str], Column], new: Callable[[str], Column]) -> Column:
+    """A live total takes the place of an older one, unless that was counted from all stored events."""
+    settled = F.coalesce(old("reconciled"), F.lit(False))
+    return ~settled & (new("aggregation_time") >= old("aggregation_time"))
+
+
 def metrics_batch(rows: DataFrame, batch_id: int, warehouse: Warehouse) -> int:
     """Upsert the windows that one trigger changed, with their absolute totals."""
-    options = {"keys_unique": True, "partition_follows_key": True}
+    options = {"keys_unique": True, "partition_follows_key": True, "replace_if": newer_and_open}
     written = upsert_spec(rows, warehouse, METRICS, **options).rows
     log.info("metrics batch %s: %s windows", batch_id, written)
     return written
@@ -281,6 +301,13 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--stats", action="store_true", help="also keep five-minute device statistics")
     parser.add_argument("--dedupe", action="store_true", help="count repeated event ids once in live metrics")
     parser.add_argument("--separate-late", action="store_true", help="keep late events in a table of their own")
+    parser.add_argument(
+        "--correct-late",
+        nargs="?",
+        const=WATERMARK_DELAY,
+        metavar="INTERVAL",
+        help=f"count windows again for events that came in later than this, default {WATERMARK_DELAY}",
+    )
     parser.add_argument("--quarantine", help="folder for records that could not be curated")
     parser.add_argument("--match-days", type=int, help="look event ids up in so many days before each batch only")
     parser.add_argument(
@@ -292,6 +319,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     args = parser.parse_args(argv)
     if args.provider in FILE_FORMATS and not args.location:
         parser.error("file tables need --location, or a restart cannot find them")
+    if args.correct_late and args.separate_late:
+        parser.error("events kept apart by --separate-late are in no metrics, so --correct-late cannot count them")
     return args
 
 
@@ -311,7 +340,9 @@ def options_of(args: argparse.Namespace) -> IngestOptions:
     bound = None
     if args.match_days is not None:
         bound = F.col(CURATED.partition) >= F.date_sub(F.current_date(), args.match_days)
-    return IngestOptions(not args.changing_record_dates, args.separate_late, args.quarantine, bound)
+    return IngestOptions(
+        not args.changing_record_dates, args.separate_late, args.quarantine, bound, args.correct_late
+    )
 
 
 def main(argv: list[str] | None = None) -> None:
