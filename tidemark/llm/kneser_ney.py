@@ -47,8 +47,8 @@ from tidemark.session import scratch_path
 
 ORDER = 2
 BUCKET = 24 << 20  # bytes of text for each bucket of grams
-HELD = 3_000_000  # different grams that a task holds before it sends them
-STRETCH = 4_000_000  # tokens scored together
+HELD = 1_500_000  # different grams that a task holds before it sends them
+STRETCH = 1_000_000  # tokens scored together
 
 # Marks hold a blank, which no word does.
 START, END = (np.uint64(xxh3_64_intdigest(m)) for m in (b" start", b" end"))
@@ -359,7 +359,8 @@ def train(docs: DataFrame, order: int = ORDER) -> Model:
         every = spark.range(buckets).selectExpr(
             f"{level} AS level", f"{TOTALS} AS kind", "CAST(id AS INT) AS bucket", "CAST(NULL AS BINARY) AS data"
         )
-        grouped = sent.unionAll(every).groupBy("bucket")
+        # As many tasks as buckets, so that a task's share does not grow with the corpus.
+        grouped = sent.unionAll(every).repartition(buckets, "bucket").groupBy("bucket")
         merged = stored(grouped.applyInArrow(_merge(level, order, buckets, path), MESSAGE), f"grams-{level}")
         found.append(merged)
         own = merged.where(F.col("kind") == TOTALS).select("data").mapInArrow(_added, "totals array<long>").collect()
