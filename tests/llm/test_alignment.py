@@ -147,6 +147,36 @@ def test_long_texts_are_cut_without_a_trace(spark, coders):
     assert whole.ids_b.tolist() == coders[1].encode(text)
 
 
+def test_merges_by_rank_are_those_of_the_library():
+    """Every character between letters, digits, blanks and marks: where a text is cut depends on nothing else."""
+    coder = alignment.ByteLevel(A)
+    assert coder.ranked
+    around = ("a{}b 1{}2", " {} !{}?", "{0}{0} x's{0}'ll\n{0}\n ")
+    for low in range(0, 0x110000, 1 << 14):
+        letters = [chr(c) for c in range(low, low + (1 << 14)) if not 0xD800 <= c < 0xE000]
+        texts = ["|".join(t.replace("{0}", c).replace("{}", c) for t in around) for c in letters]
+        assert coder.encode(texts) == coder.by_library(texts)
+
+
+def test_very_long_words_go_through_the_library(monkeypatch):
+    coder = alignment.ByteLevel(A)
+    texts = [" " + "ab" * 3000, " short one", "x" + " " * 5000 + "y", " " + "é1" * 2000]
+    asked = []
+    by_library = coder.by_library
+    monkeypatch.setattr(coder, "by_library", lambda t: asked.extend(t) or by_library(t))
+    assert coder.encode(texts) == by_library(texts) and len(asked) == 3
+
+
+def test_other_files_go_through_the_library(tmp_path):
+    import json
+
+    spec = json.load(open(A))
+    spec["model"]["merges"][5], spec["model"]["merges"][900] = spec["model"]["merges"][900], spec["model"]["merges"][5]
+    (tmp_path / "odd.json").write_text(json.dumps(spec))
+    coder = alignment.ByteLevel(str(tmp_path / "odd.json"))
+    assert coder.ranked is None and coder.encode([" some words"]) == coder.by_library([" some words"])
+
+
 def test_groups_and_counts(spark, coders):
     texts = {1: "tokenization of words", 2: None, 3: "wordless words"}
     rows = alignment.groups(documents(spark, list(texts.values()), list(texts)), A, B).collect()

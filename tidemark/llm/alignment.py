@@ -4,8 +4,8 @@ Method: merge-path partitioning. The byte offsets at which tokens of A and of B
 merge is a path over a grid; binary searches along its diagonals cut it into pieces of equal work, wherever
 the texts begin and however unequal their tokens are. The pieces then walk at once, a step of all of them at a
 time, and emit the overlaps: each step that does not stand at a common end is one link of an A and a B token.
-Every piece counts the common ends it passes; the running sum of these counts numbers the groups, which
-stitches those together that reach over the border of pieces.
+The common ends that all pieces pass, counted along the path, number the groups, which stitches those
+together that reach over the border of pieces.
 
 Spark counts linked id pairs over the whole corpus. A slice of documents sends each of its pairs once, with how
 often it has it, and gets the corpus-wide count back, so a pair that all documents hold is one row for a slice.
@@ -19,6 +19,7 @@ repeated rows contribute each. A null ``doc_id`` is kept; an empty table gives a
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -53,8 +54,32 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+#: Fixed value: how byte-level vocabularies cut a text before their merges.
+_WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_LONG = re.compile(r"\S{2048}|\s{2048}")
+
+
+def _ranks(spec: dict, tokens: list[bytes]) -> dict[bytes, int] | None:
+    """Merge ranks of a plain byte-level file, whose ids are in the order of its merges; else nothing."""
+    kind, model = spec["pre_tokenizer"] or {}, spec["model"]
+    plain = kind.get("type") == "ByteLevel" and kind.get("use_regex") and not kind.get("add_prefix_space")
+    odd = ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges")
+    if not plain or spec["normalizer"] or spec["post_processor"] or any(model.get(o) for o in odd):
+        return None
+    made = [m if isinstance(m, str) else "".join(m) for m in model["merges"]]
+    made = [m.replace(" ", "") for m in made]
+    if any(model["vocab"].get(m) != 256 + i for i, m in enumerate(made)):
+        return None
+    return {tokens[i]: i for i in range(256 + len(made))}
+
+
 class ByteLevel:
-    """A byte-level BPE file; texts are given with a blank before them."""
+    """A byte-level BPE file; texts are given with a blank before them.
+
+    A plain file's merges are run by rank, which is several times faster and gives the same ids (a test goes
+    through every character). That takes time in the square of a word, so texts with very long ones, and other
+    kinds of files, go through the file's own library.
+    """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -62,15 +87,38 @@ class ByteLevel:
 
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        spec = json.loads(self.model.to_str())
         letters = _byte_letters()
         entries = sorted(self.model.get_vocab().items(), key=lambda e: e[1])
         self.tokens = [b""] * (entries[-1][1] + 1)
         for entry, i in entries:
             self.tokens[i] = bytes(letters[c] for c in entry)
+        ranks = _ranks(spec, self.tokens)
+        self.ranked = None
+        if ranks:
+            from tiktoken import Encoding
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+            self.ranked = Encoding("by rank", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def by_library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if self.ranked is None:
+            return self.by_library(texts)
+        long = [i for i, t in enumerate(texts) if _LONG.search(t)]
+        found = [None if t is None else self.ranked(t) for t in _without(texts, long)]
+        for i, ids in zip(long, self.by_library([texts[i] for i in long]), strict=True):
+            found[i] = ids
+        return found
+
+
+def _without(texts: list[str], places: list[int]) -> list[str | None]:
+    out: list[str | None] = list(texts)
+    for i in places:
+        out[i] = None
+    return out
+
 
 class Pieces:
     """A SentencePiece model; it puts the blank before a text itself."""
@@ -159,26 +207,23 @@ class Merged:
         i, j = diagonals(a, b, steps)
         total = len(a) + len(b)
         left, right = np.append(a, FAR), np.append(b, FAR)
-        before = np.concatenate(([-1], a))
-        rows = (len(i), steps)
-        takes_a, taken, other = np.zeros(rows, bool), np.zeros(rows, np.int64), np.zeros(rows, np.int64)
-        common, passed = np.zeros(rows, bool), np.zeros(rows, np.int64)
-        count = np.zeros(len(i), np.int64)
+        takes = np.zeros((steps, len(i)), bool)  # from A, by step and piece
         for step in range(steps):
-            ends_a, ends_b = left[i], right[j]
-            from_a = ends_a <= ends_b
-            tie = ~from_a & (before[i] == ends_b)  # the B token ends with the A token taken just before
-            takes_a[:, step], common[:, step], passed[:, step] = from_a, tie, count
-            taken[:, step], other[:, step] = np.where(from_a, i, j), np.where(from_a, j, i)
-            count += tie
+            from_a = left[i] <= right[j]
+            takes[step] = from_a
             i, j = np.minimum(i + from_a, len(a)), np.minimum(j + ~from_a, len(b))  # the last piece may be short
-        # Groups before each piece, so that one that reaches over a border keeps its number.
-        passed += (np.cumsum(count) - count)[:, None]
-        takes_a, taken, other, common, passed = (x.ravel()[:total] for x in (takes_a, taken, other, common, passed))
-        self.group_a, self.group_b = passed[takes_a], passed[~takes_a]
+        takes = takes.T.ravel()[:total]
+        # Pieces put together again: what was taken before each step, whichever piece took it.
+        i = np.cumsum(takes) - takes
+        j = np.arange(total) - i
+        # A step stands at a common end if it takes a B token that ends with the A token taken just before.
+        common = np.zeros(total, bool)
+        from_b = ~takes & (i > 0)
+        common[from_b] = a[i[from_b] - 1] == b[j[from_b]]
+        passed = np.cumsum(common) - common  # so a group that reaches over a border keeps its number
+        self.group_a, self.group_b = passed[takes], passed[~takes]
         link = ~common
-        mine, rest, of_a = taken[link], other[link], takes_a[link]
-        self.link_a, self.link_b = np.where(of_a, mine, rest), np.where(of_a, rest, mine)
+        self.link_a, self.link_b = i[link], j[link]
 
 
 # --- a slice of documents -------------------------------------------------------------------------
@@ -218,8 +263,10 @@ class Aligned:
         ga, gb = self.merged.group_a, self.merged.group_b
         last_a, last_b = np.append(ga[1:] != ga[:-1], [True] * bool(len(ga))), np.append(gb[1:] != gb[:-1], [True] * bool(len(gb)))
         words = np.empty(len(ga) + len(gb), np.int64)
-        words[np.arange(len(ga)) + np.searchsorted(gb, ga, "left")] = self.ids_a * 2 + last_a
-        words[np.arange(len(gb)) + np.searchsorted(ga, gb, "right")] = 2 * len(self.a) + self.ids_b * 2 + last_b
+        upto_a, upto_b = np.cumsum(np.bincount(ga)), np.cumsum(np.bincount(gb))  # tokens up to the end of each group
+        before_b = np.concatenate(([0], upto_b))
+        words[np.arange(len(ga)) + before_b[ga]] = self.ids_a * 2 + last_a
+        words[np.arange(len(gb)) + upto_a[gb]] = 2 * len(self.a) + self.ids_b * 2 + last_b
         texts = pc.take(_numerals(len(self.a), len(self.b)), pa.array(words))
         ends = np.frombuffer(texts.buffers()[1], np.int64)[: len(words) + 1] if len(words) else np.zeros(1, np.int64)
         data = memoryview(texts.buffers()[2] or b"")
@@ -246,7 +293,8 @@ def _pack(a_path: str, b_path: str):
             for batch in slices(whole, SLICE):
                 found = Aligned(octets(batch), *sides(a_path, b_path))
                 doc, pair = found.links()
-                pairs, place = np.unique(pair, return_inverse=True)
+                coded = pa.array(pair).dictionary_encode()
+                pairs, place = coded.dictionary.to_numpy(), coded.indices.to_numpy().astype(np.int64)
                 key, often = np.unique(doc * len(pairs) + place, return_counts=True) if len(doc) else (doc, doc)
                 which = key % max(1, len(pairs))
                 width = np.bincount(key // max(1, len(pairs)), minlength=batch.num_rows)
