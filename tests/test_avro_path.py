@@ -1,0 +1,76 @@
+"""Which codec is chosen, and what surrounds Spark's Avro functions; these themselves are stood in for."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions import avro, frames
+from tidemark.plans import suite
+from tidemark.schemas import PAYLOAD_COLUMNS, avro_schema
+from tidemark.sources import sample
+from tidemark.sources.topic import frames as framed_records
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def test_without_the_module_the_batch_codec_runs(spark):
+    assert not avro.avro_loaded()
+    assert "decode_frames" in str(sample.version_decoder().decode(F.col("value")))
+
+
+@pytest.fixture
+def module(monkeypatch):
+    """The module as if it were there: bodies are read and written by the batch codec."""
+    plain_decode, plain_encode = frames.FrameDecoder.decode, frames.encode_frame
+
+    def without(call, *args):
+        loaded, avro.avro_loaded = avro.avro_loaded, lambda: False
+        try:
+            return call(*args)
+        finally:
+            avro.avro_loaded = loaded
+
+    def from_avro(body, schema, options):
+        assert options == {"mode": "PERMISSIVE"}
+        decoder = frames.FrameDecoder({}, schema)
+        found = without(plain_decode, decoder, F.concat(F.unhex(F.lit("0000000001")), body))
+        return F.when(found["decoded"], F.struct(*[found[n].alias(n) for n, _ in decoder.output]))
+
+    def to_avro(record, schema):
+        return F.substring(without(plain_encode, schema, 1), 6, 1 << 30)
+
+    monkeypatch.setattr(avro, "from_avro", from_avro)
+    monkeypatch.setattr(avro, "to_avro", to_avro)
+    monkeypatch.setattr(avro, "avro_loaded", lambda: True)
+
+
+def test_frames_by_schema_id(spark, module):
+    events = sample.ad_events(spark, SMALL)
+    written = [framed_records(events, 3, version=v).select("value") for v in (1, 3)]
+    decoder = frames.FrameDecoder({1: avro_schema(1)}, avro_schema(3))
+    rows = written[0].unionByName(written[1]).unionByName(
+        spark.sql("select cast(null as binary) value union all select X'00' union all select X'0100000001AA' union all select X'00000000017E'")
+    )
+    found = rows.select(decoder.decode(F.col("value")).alias("f"), frames.frame_schema_id(F.col("value")).alias("id"))
+    seen = found.select("id", "f.*").collect()
+    want = {r.event_id: r for r in events.collect()}
+    good = [r for r in seen if r.decoded]
+    assert len(good) == 2 * len(want) and len(seen) == len(good) + 4
+    for row in good:
+        for name in PAYLOAD_COLUMNS:
+            late = name in ("engagement_score", "user_segment", "conversion_value", "geo_latitude")
+            assert row[name] == (None if late and row.id == 1 else want[row.event_id][name])
+    assert all(r[name] is None for r in seen if not r.decoded for name in PAYLOAD_COLUMNS)
+
+
+def test_missing_fields_give_no_frame(spark, module):
+    rows = sample.ad_events(spark, SMALL).withColumn("device", F.when(F.col("event_id").cast("long") % 2 == 0, F.col("device")))
+    out = rows.select("event_id", frames.encode_frame(avro_schema(1), 258).alias("frame")).collect()
+    assert all((r.frame is None) == (int(r.event_id) % 2 == 1) for r in out)
+    assert {bytes(r.frame[:5]) for r in out if r.frame} == {b"\x00\x00\x00\x01\x02"}
+
+
+def test_a_registered_query_gives_the_same_on_both_paths(spark, request):
+    name = "decode_registry_ids"
+    plain = {tuple(r) for r in suite.REGISTRY[name](spark, SMALL).collect()}
+    request.getfixturevalue("module")
+    assert {tuple(r) for r in suite.REGISTRY[name](spark, SMALL).collect()} == plain

@@ -7,11 +7,12 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.operators import tables
 from tidemark.plans import sqlfile
 from tidemark.session import scratch_path, shared_dir
 from tidemark.sources import lake as lakes
 from tidemark.sources.topic import FileSource, in_user_order, keyed, publish, topic_partition, with_offsets
-from tidemark.schemas import TOPIC_SCHEMA
+from tidemark.schemas import CURATED, TOPIC_SCHEMA
 from tidemark.sources import sample
 
 SMALL = "/root/testdata/sf0.001"
@@ -69,10 +70,39 @@ def test_evolved_tables_keep_all_columns(spark):
     assert set(rows.columns) == {"a", "b", "d"} and rows.where("b is null").count() == 2
 
 
-def test_named_tables():
+def test_named_tables(spark):
     text = "-- from c\nselect 'd', \"e\" from a /* f */ join `B` on true"
-    assert sqlfile.named_tables(text, ["a", "b", "c", "d", "e", "f"]) == ["a", "b"]
-    assert sqlfile.result_name(text, ["c", "a"]) == "a"
+    assert sqlfile.named_tables(spark, text, ["a", "b", "c", "d", "e", "f"]) == ["a", "b"]
+
+
+RELATIONS = {
+    "select orders from late l join `my table` m on l.orders = m.orders": ["late", "my table"],
+    "with late as (select * from late), x as (select * from late) select * from x join base on true": ["late", "base"],
+    "select (select max(v) from inner_one) from outer_one where k in (select k from third)": ["inner_one", "outer_one", "third"],
+    "with x as (with y as (select * from deep) select * from y) select * from x, y": ["deep", "y"],
+    "select * from db.t union all select 'from not' from (values (1)) v": ["t"],
+    "select 1": [],
+}
+
+
+@pytest.mark.parametrize("text", RELATIONS)
+def test_relations(spark, text):
+    assert sqlfile.relations(spark, text) == RELATIONS[text]
+
+
+def test_noted_columns_are_what_folder_readers_get(spark, lake):
+    """Columns of the contract and those added later, without a look into every file."""
+    curated = lake.name(CURATED)
+    rows = spark.sql("select 'a' event_id, date'2026-05-01' event_date")
+    tables.append(rows, curated)
+    spark.sql(f"ALTER TABLE {curated} ADD COLUMNS (mood STRING)")
+    tables.append(rows.selectExpr("'b' event_id", "event_date", "'glad' mood"), curated)
+    warehouse = tables.layout(spark, curated).location.rsplit("/", 2)[0]
+    seen = lakes.load_table(spark, warehouse, CURATED.name)
+    assert seen.columns == [c for c in CURATED.columns if c != "event_date"] + ["mood", "event_date"]
+    assert {(r.event_id, r.mood) for r in seen.collect()} == {("a", None), ("b", "glad")}
+    found, _ = sqlfile.run_sql_file(spark, None, sql(spark, f"SELECT * FROM {CURATED.name}"), output=f"{warehouse}/out", database=lake.database)
+    assert set(found.columns) == set(seen.columns)
 
 
 def test_catalog_tables(spark, warehouse):
@@ -99,10 +129,11 @@ def test_a_user_leaves_in_order(spark):
     assert all(len(t) == 1 for t in tasks.values())
 
 
-def test_result_name():
-    known = ["alpha", "beta"]
-    assert sqlfile.result_name("select * from other o join beta b on true", known) == "beta"
-    assert sqlfile.result_name("select 1", known) == "alpha"
+def test_result_name(spark, warehouse):
+    join = "SELECT count(*) n FROM range(3) o JOIN b_table b ON true"
+    assert sqlfile.run_sql_file(spark, warehouse, sql(spark, join))[1].endswith("/b_table_output.csv")
+    first = sorted(lakes.discover_tables(spark, warehouse))[0]
+    assert sqlfile.run_sql_file(spark, warehouse, sql(spark, "SELECT 1 one"))[1].endswith(f"/{first}_output.csv")
 
 
 def test_run_saves_csv(spark, warehouse):

@@ -1,8 +1,9 @@
 """Framed Avro payloads: header split, and column-at-a-time decode and encode.
 
 A frame is one zero byte, a four-byte big-endian schema id and an Avro record body. Only flat
-records of primitives and nullable primitives occur. Both directions run as Arrow UDFs that walk
-the fields of a whole batch at once with numpy, so no Python code runs per row.
+records of primitives and nullable primitives occur. Where Spark's Avro module is loaded, both directions
+are its functions. Elsewhere they run as Arrow UDFs that walk the fields of a whole batch at once with
+numpy, so no Python code runs per row.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions import avro
 from tidemark.schemas import SPARK_TYPES
 
 HEADER_BYTES = 5
@@ -226,6 +228,7 @@ class FrameDecoder:
     """
 
     def __init__(self, writers: Mapping[int, str], default: str):
+        self.texts, self.default_text = {int(k): v for k, v in writers.items()}, default
         self.writers = {int(k): flat_fields(v) for k, v in writers.items()}
         self.default = flat_fields(default)
         kinds: dict[str, str] = {}
@@ -242,6 +245,10 @@ class FrameDecoder:
 
     def decode(self, value: Column) -> Column:
         """``struct<decoded boolean, field...>``; fields are null where decoding failed."""
+        if avro.avro_loaded():
+            kinds = [(name, SPARK_TYPES[kind].simpleString()) for name, kind in self.output]
+            framed = frame_status(value) == "framed"
+            return avro.decode_frame(value, framed, frame_schema_id(value), self.texts, self.default_text, kinds)
         writers, default, output = self.writers, self.default, self.output
 
         @F.arrow_udf(self.struct_type)
@@ -351,6 +358,9 @@ def encode_batch(columns: list[pa.Array], fields: list[FieldSpec], schema_id: in
 def encode_frame(schema_json: str, schema_id: int) -> Column:
     """Framed record built from the columns named like the schema's fields."""
     fields = flat_fields(schema_json)
+    if avro.avro_loaded():
+        record = [(f.name, F.col(f.name).cast(SPARK_TYPES[f.kind]), f.null_branch is None) for f in fields]
+        return avro.encode_frame(schema_json, schema_id, record)
 
     @F.arrow_udf(T.BinaryType())
     def encode_frames(*columns: pa.Array) -> pa.Array:

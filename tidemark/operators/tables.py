@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.lease import Lease, writer_lease
+from tidemark.operators.lease import Lease, overwrite_file, read_file, writer_lease
 from tidemark.schemas import ALL_TABLES, CURATED, Level, TableSpec
 from tidemark.session import folder_exists
 
@@ -34,6 +34,7 @@ BLOOM_FALSE = "0.0001"  # share of absent keys that a filter lets pass
 LEVEL_PROPERTY = "tidemark.level."
 CLUSTER_PROPERTY = "tidemark.cluster"
 BLOOM_PROPERTY = "tidemark.bloom"
+HIDDEN_PROPERTY = "tidemark.hidden"
 BOUNDED_KEY_TYPES = (T.IntegralType, T.StringType, T.TimestampType, T.DateType)
 
 
@@ -118,6 +119,8 @@ def _definition(spec: TableSpec, name: str, location: str | None, provider: str)
         properties[CLUSTER_PROPERTY] = json.dumps(spec.cluster)
     if spec.bloom:
         properties[BLOOM_PROPERTY] = json.dumps(spec.bloom)
+    if spec.unseen:
+        properties[HIDDEN_PROPERTY] = json.dumps(sorted(spec.unseen))
     levels = "".join(f", `{level.name}` INT" for level in spec.levels)
     parts = ", ".join([spec.partition, *(level.name for level in spec.levels)])
     return (
@@ -167,6 +170,7 @@ class Layout:
     levels: dict[str, Level] = field(default_factory=dict)  # partition columns that writers compute
     cluster: tuple[str, ...] = ()
     bloom: tuple[str, ...] = ()
+    unseen: tuple[str, ...] = ()  # columns that readers do not ask for
 
     @property
     def plain_files(self) -> bool:
@@ -192,16 +196,14 @@ def layout(spark: SparkSession, table: str) -> Layout:
     named = [name for name, _ in rows]
     parts = named[named.index("# col_name") + 1 :] if "# col_name" in named else []
     parts = tuple(parts[: parts.index("")] if "" in parts else parts)
-    if not parts and provider in FILE_FORMATS:
-        raise ValueError(f"{table} has no partition column")
     known = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
     levels = {}
     for name in parts:
         if text := known.get(LEVEL_PROPERTY + name):
             of, expression = json.loads(text)
             levels[name] = Level(name, tuple(of), expression, "")
-    cluster, bloom = (tuple(json.loads(known.get(p, "[]"))) for p in (CLUSTER_PROPERTY, BLOOM_PROPERTY))
-    return Layout(provider, parts, location, levels, cluster, bloom)
+    lists = [tuple(json.loads(known.get(p, "[]"))) for p in (CLUSTER_PROPERTY, BLOOM_PROPERTY, HIDDEN_PROPERTY)]
+    return Layout(provider, parts, location, levels, *lists)
 
 
 #: The last lease that this process had of a table, as this catalog knows it.
@@ -220,7 +222,10 @@ def writing(spark: SparkSession, table: str) -> Iterator[tuple[Layout, Lease | N
     if not form.plain_files:
         yield form, None
         return
+    if not form.partitions:
+        raise ValueError(f"{table} has no partition column")
     with writer_lease(spark, form.location) as lease:
+        _note_columns(spark, table, form)
         known = (spark.sparkContext.applicationId, table, form.location)
         if _LAST_LEASE.get(known) != lease.number - 1 and folder_exists(spark, form.location):
             spark.catalog.recoverPartitions(table)
@@ -230,6 +235,35 @@ def writing(spark: SparkSession, table: str) -> Iterator[tuple[Layout, Lease | N
         spark.catalog.refreshTable(table)
 
 
+#: Columns of each table as this process noted them last.
+_NOTED: dict[str, str] = {}
+
+
+def _note_path(location: str) -> str:
+    parent, _, name = location.rstrip("/").rpartition("/")
+    return f"{parent}/_schema-{name}.json"
+
+
+def _note_columns(spark: SparkSession, table: str, form: Layout) -> None:
+    """Keep the table's columns beside its files, so that reading the folder opens no footer to learn them.
+
+    Under the lease, and before each write that could bring a column.
+    """
+    text = json.dumps({"schema": json.loads(spark.table(table).schema.json()), "unseen": form.unseen})
+    if _NOTED.get(form.location) != text:
+        overwrite_file(spark, _note_path(form.location), text)
+        _NOTED[form.location] = text
+
+
+def noted_columns(spark: SparkSession, location: str) -> tuple[T.StructType, list[str]] | None:
+    """Columns that the writers of a folder noted, and which of them readers do not ask for."""
+    path = _note_path(location)
+    if not folder_exists(spark, path):
+        return None
+    noted = json.loads(read_file(spark, path))
+    return T.StructType.fromJson(noted["schema"]), noted["unseen"]
+
+
 # --- writing -------------------------------------------------------------------------------------
 
 

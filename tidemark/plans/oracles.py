@@ -222,8 +222,8 @@ ORACLES: dict[str, str] = {
     ),
     "publish_order": _with(
         AD,
-        "SELECT user_id, count(*) AS events, CAST(1 AS BIGINT) AS partitions, true AS newest_last, "
-        "true AS oldest_first FROM ad GROUP BY 1",
+        "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_timestamp, event_id) - 1 "
+        "AS place, true AS one_partition FROM ad",
     ),
     "publish_offsets": "SELECT count(*) AS events, true AS gap_free FROM events",
     "upsert_events": _with(
@@ -295,6 +295,23 @@ ORACLES: dict[str, str] = {
         )
         + ")",
     ),
+    "live_after_reconcile": _with(
+        AD,
+        SENT,
+        VALID,
+        "day AS ("
+        + FIRST_COPY.format(
+            order="event_timestamp, position",
+            source="(SELECT * FROM valid WHERE event_date = DATE '2024-01-10')",
+        )
+        + ")",
+        "live AS (SELECT * FROM ad WHERE event_date <> DATE '2024-01-10' AND CAST(event_id AS BIGINT) % 97 > 3)",
+        "clicked AS (" + metric_sql("30 seconds", "live", "event_type = 'click'") + ")",
+        "bought AS (" + metric_sql("30 seconds", "live", "event_type = 'purchase'") + ")",
+        metric_sql("30 seconds", "day")
+        + " UNION ALL SELECT * FROM clicked UNION ALL SELECT * FROM bought ANTI JOIN clicked "
+        "USING (campaign_id, window_start)",
+    ),
     "recompute_range": _with(
         AD,
         metric_sql(
@@ -428,6 +445,25 @@ ORACLES: dict[str, str] = {
         OR time_bucket(INTERVAL '30 seconds', event_timestamp) + INTERVAL 30 SECOND > w)""",
         metric_sql("30 seconds", "kept"),
     ),
+    "late_correction": _with(AD, metric_sql("30 seconds")),
+    "stream_progress": _with(
+        AD,
+        """mark AS (SELECT date_trunc('milliseconds', max(event_timestamp)) - INTERVAL 2 HOUR AS w FROM ad
+        WHERE event_type IN ('click', 'purchase') AND CAST(event_id AS BIGINT) % 50 > 1)""",
+        """late AS (SELECT DISTINCT time_bucket(INTERVAL '30 seconds', event_timestamp) AS window_start, campaign_id
+        FROM ad, mark WHERE CAST(event_id AS BIGINT) % 50 = 0 AND event_type IN ('click', 'purchase')
+        AND time_bucket(INTERVAL '30 seconds', event_timestamp) + INTERVAL 30 SECOND <= w)""",
+        """SELECT CAST(CASE CAST(event_id AS BIGINT) % 50 WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS INTEGER) AS trigger,
+        count(*) AS input_rows, CASE WHEN min(CAST(event_id AS BIGINT) % 50) = 0 THEN (SELECT count(*) FROM late)
+        ELSE 0 END AS late_rows FROM ad GROUP BY 1""",
+    ),
+    "stream_state": _with(
+        AD,
+        """mark AS (SELECT date_trunc('milliseconds', max(event_timestamp)) - INTERVAL 2 HOUR AS w FROM ad
+        WHERE event_type IN ('click', 'purchase'))""",
+        "m AS (" + metric_sql("30 seconds") + ")",
+        "SELECT window_start, campaign_id, clicks, conversions FROM m, mark WHERE window_end > w",
+    ),
     "live_run": _with(
         AD,
         "m AS (" + metric_sql("30 seconds") + ")",
@@ -437,3 +473,6 @@ ORACLES: dict[str, str] = {
         WHERE event_type <> 'error' GROUP BY 1) s ON m.window_date = s.event_date GROUP BY 1""",
     ),
 }
+
+# The job does what the function does.
+ORACLES["reconcile_job"] = ORACLES["reconcile_day"]

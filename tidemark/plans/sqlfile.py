@@ -6,13 +6,13 @@
 from __future__ import annotations
 
 import argparse
-import re
+from collections.abc import Iterator
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import build_session
-from tidemark.sources.lake import discover_tables, register_tables
+from tidemark.sources.lake import discover_tables, register_catalog, register_tables
 
 # Fixed value: how timestamps appear in result files.
 CSV_TIMESTAMP = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
@@ -29,22 +29,37 @@ def read_sql(spark: SparkSession, path: str) -> str:
     return text
 
 
-def code_of(sql: str) -> str:
-    """The text without comments and string literals."""
-    skipped = r"--[^\n]*|/\*.*?\*/|'(?:[^'\\]|\\.|'')*'|\"(?:[^\"\\]|\\.)*\""
-    return re.sub(skipped, " ", sql, flags=re.DOTALL)
+def _relations(plan, hidden: frozenset[str]) -> Iterator[tuple[int, str]]:
+    """Position and name of each table of an unresolved plan; names of the WITH clauses in force are no tables."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "UnresolvedRelation":
+        parts = plan.multipartIdentifier()
+        if parts.size() > 1 or parts.head().lower() not in hidden:
+            yield plan.origin().startIndex().get(), parts.last()
+        return
+    inner = plan.innerChildren()  # sub-queries of expressions; of a WITH, what it defines
+    if kind == "UnresolvedWith":
+        named = plan.cteRelations()
+        for i in range(named.size()):
+            yield from _relations(named.apply(i)._2(), hidden)
+            hidden |= {named.apply(i)._1().lower()}
+    else:
+        for i in range(inner.size()):
+            yield from _relations(inner.apply(i), hidden)
+    for i in range(plan.children().size()):
+        yield from _relations(plan.children().apply(i), hidden)
 
 
-def named_tables(sql: str, tables: list[str]) -> list[str]:
-    """Those of the tables whose names occur in the text."""
-    words = {w.lower() for w in re.findall(r"\w+", code_of(sql))}
-    return [t for t in tables if t.lower() in words]
+def relations(spark: SparkSession, sql: str) -> list[str]:
+    """Names of the tables that a query reads, in the order of its text, as Spark's own parser sees them."""
+    plan = spark._jsparkSession.sessionState().sqlParser().parsePlan(sql)
+    return list(dict.fromkeys(name for _, name in sorted(_relations(plan, frozenset()))))
 
 
-def result_name(sql: str, tables: list[str]) -> str:
-    """First known table that the text reads from, else the first table."""
-    named = re.finditer(r"\b(?:from|join)\s+`?(?:\w+\.)?(\w+)", code_of(sql), re.IGNORECASE)
-    return next((m[1] for m in named if m[1] in tables), tables[0])
+def named_tables(spark: SparkSession, sql: str, tables: list[str]) -> list[str]:
+    """Those of the tables that the query reads, in the order of its text."""
+    known = {t.lower(): t for t in tables}
+    return [known[n.lower()] for n in relations(spark, sql) if n.lower() in known]
 
 
 def write_csv(result: DataFrame, path: str) -> None:
@@ -70,19 +85,22 @@ def run_sql_file(
     home = spark.catalog.currentDatabase()
     if database:
         spark.catalog.setCurrentDatabase(database)
-        every, known = tables or [t.name for t in spark.catalog.listTables(database)], []
+        every = tables or [t.name for t in spark.catalog.listTables(database)]
     else:
         every = tables or discover_tables(spark, warehouse)
-        known = register_tables(spark, warehouse, tables or named_tables(sql, every) or None)
-    if output is None:
-        folder = sql_file.rpartition("/")[0] or "."
-        output = f"{folder}/{result_name(sql, known or every)}_output.csv"
     try:
-        result = spark.sql(sql)
-        write_csv(result, output)
+        read = named_tables(spark, sql, every)
+        views = register_catalog(spark, database, read) if database else register_tables(spark, warehouse, tables or read or None)
+        if output is None:
+            folder = sql_file.rpartition("/")[0] or "."
+            output = f"{folder}/{(read or every)[0]}_output.csv"
+        try:
+            result = spark.sql(sql)
+            write_csv(result, output)
+        finally:
+            for name in views:
+                spark.catalog.dropTempView(name)
     finally:
-        for name in known:
-            spark.catalog.dropTempView(name)
         spark.catalog.setCurrentDatabase(home)
     return result, output
 

@@ -11,7 +11,7 @@ from contextlib import contextmanager
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,15 +26,17 @@ from tidemark.schemas import (
     RAW,
     STATS,
     TOPIC_SCHEMA,
+    WATERMARK_DELAY,
     TableSpec,
     avro_schema,
     payload_schema,
 )
-from tidemark.session import scratch_path, pin_session
+from tidemark.session import hadoop_path, pin_session, scratch_path
 from tidemark.sources import sample
 from tidemark.sources.registry import event_decoder
-from tidemark.sources.topic import FileSource, frames, keyed, publish, read_event_stream, with_offsets
+from tidemark.sources.topic import FileSource, frames, keyed, numbered, publish, read_event_stream, with_offsets
 from tidemark.streaming import queries as streams
+from tidemark.streaming.progress import TriggerLog, read_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -297,21 +299,12 @@ def frame_outcomes(spark, folder):
 
 @query
 def publish_order(spark, folder):
-    """Offsets count each partition from zero, a user stays in one partition, in event order."""
+    """Every event with its place among those of its user by offset, and whether the user stays in one partition."""
     out = keyed(events_of(spark, folder), sample.TOPIC_PARTITIONS)
-    numbered = with_offsets(out, ("event_timestamp", "event_id"))
-    ordered = numbered.select(
-        F.decode("key", "utf-8").alias("user_id"),
-        "partition",
-        "offset",
-        "event_timestamp",
-    )
-    return ordered.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("events"),
-        F.count_distinct("partition").alias("partitions"),
-        (F.max_by("event_timestamp", "offset") == F.max("event_timestamp")).alias("newest_last"),
-        (F.min_by("event_timestamp", "offset") == F.min("event_timestamp")).alias("oldest_first"),
-    )
+    sent = with_offsets(out, ("event_timestamp", "event_id"))
+    placed = numbered(sent, "user_id", ("partition", "offset"), "place")
+    homes = sent.groupBy("user_id").agg((F.min("partition") == F.max("partition")).alias("one_partition"))
+    return placed.join(homes, "user_id").select("user_id", "event_id", "place", "one_partition")
 
 
 @query
@@ -441,6 +434,31 @@ def reconcile_day_events(spark, folder):
     return _reconciled(spark, folder).read(CURATED).drop("ingested_at")
 
 
+@query
+def reconcile_job(spark, folder):
+    """The daily job as its command line runs it, over tables that lie in a folder."""
+    lake, location = workspace(spark, RAW, CURATED, METRICS)
+    tables.append(raw_days(spark, folder), lake.name(RAW))
+    wrong = metrics.campaign_metrics(events_of(spark, folder).where(F.col("event_type") == "click"), "1 hour")
+    tables.append(wrong, lake.name(METRICS))
+    flags = ["--date", DAY.isoformat(), "--database", lake.database, "--location", location, "--match-days", "2"]
+    reconcile.run_job(spark, reconcile.arguments(flags))
+    return lake.read(METRICS).drop("aggregation_time")
+
+
+@query
+def live_after_reconcile(spark, folder):
+    """Live totals that come after a day was reconciled: they replace other days' windows, but none of that day."""
+    lake, _ = workspace(spark, RAW, CURATED, METRICS)
+    tables.append(raw_days(spark, folder), lake.name(RAW))
+    readable = events_of(spark, folder).where(F.col("event_id").cast("long") % 97 > 3)
+    tables.append(metrics.campaign_metrics(readable.where(F.col("event_type") == "purchase")), lake.name(METRICS))
+    reconcile.reconcile_day(lake, DAY)
+    clicks = metrics.campaign_metrics(readable.where(F.col("event_type") == "click"))
+    streams.metrics_batch(clicks, 1, lake)
+    return lake.read(METRICS).drop("aggregation_time")
+
+
 @query
 def recompute_range(spark, folder):
     """Metrics of purchases only, corrected between two moments inside a window each."""
@@ -697,14 +715,29 @@ def stream_late_events(spark, folder):
     return on_time.unionByName(late)
 
 
-def _append_file(records: DataFrame, topic: str) -> None:
-    """One more file of the stand-in topic; with ``max_files=1`` a file is a trigger."""
-    records.select(*TOPIC_SCHEMA.fieldNames()).coalesce(1).write.mode("append").parquet(topic)
+def _append(records: DataFrame, topic: str) -> None:
+    """More files of the stand-in topic, as many as there are tasks."""
+    records.select(*TOPIC_SCHEMA.fieldNames()).write.mode("append").parquet(topic)
+
+
+TRIGGER_FILES = 4
+
+
+def _append_trigger(records: DataFrame, topic: str) -> None:
+    """So many files that one trigger takes them all, with ``max_files`` set to that number."""
+    _append(records.repartition(TRIGGER_FILES), topic)
+
+
+def _three_parts(spark, folder) -> list[DataFrame]:
+    """Most events, every fiftieth, and another fiftieth, which comes too late for closed windows."""
+    events = sample.driver_events(spark, folder)
+    turn = F.col("event_id") % 50
+    return [events.where(turn > 1), events.where(turn == 1), events.where(turn == 0)]
 
 
 @query
 def stream_ingest_restart(spark, folder):
-    """Four triggers: the first ten days, nothing, ten more days, and after a restart the rest with copies.
+    """Four triggers, each after a restart: the first ten days, nothing, ten more days, and the rest with copies.
 
     The copies are all purchases sent again, so upserts of the last trigger replace rows of the others.
     """
@@ -718,15 +751,14 @@ def stream_ingest_restart(spark, folder):
     name = f"restart_{uuid.uuid4().hex[:8]}"
 
     def take_all():
-        files = read_event_stream(spark, FileSource(topic, max_files=1))
+        files = read_event_stream(spark, FileSource(topic))
         decoder = sample.version_decoder()
         streams.start_ingest(files, lake, decoder, checkpoints, None, name=name).awaitTermination()
 
-    for part in (records.where(day <= 10), records.where("false"), records.where((day > 10) & (day <= 20))):
-        _append_file(part, topic)
-    take_all()
-    _append_file(records.where(day > 20).unionByName(resent), topic)
-    take_all()
+    first, nothing, more = records.where(day <= 10), records.where("false"), records.where((day > 10) & (day <= 20))
+    for part in (first, nothing, more, records.where(day > 20).unionByName(resent)):
+        _append(part, topic)
+        take_all()
     stored = lake.read(CURATED).groupBy("ingestion_batch_id", "event_type", "event_date")
     raw = lake.read(RAW).groupBy("ingestion_batch_id").agg(F.count(F.lit(1)).alias("records"))
     return stored.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids")).join(
@@ -742,11 +774,9 @@ def stream_metrics_late(spark, folder):
     """
     lake, _ = workspace(spark, METRICS)
     topic, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
-    events = sample.driver_events(spark, folder)
-    turn = F.col("event_id") % 50
-    for part in (events.where(turn > 1), events.where(turn == 1), events.where(turn == 0)):
-        _append_file(sample.topic_records(part), topic)
-    records = read_event_stream(spark, FileSource(topic, max_files=1))
+    for part in _three_parts(spark, folder):
+        _append_trigger(sample.topic_records(part), topic)
+    records = read_event_stream(spark, FileSource(topic, max_files=TRIGGER_FILES))
     live = streams.live_metrics(records, sample.version_decoder())
     with state_per_core(spark):
         started = streams.start_metrics(live, lake, checkpoints, None, f"late_{uuid.uuid4().hex[:8]}")
@@ -754,6 +784,92 @@ def stream_metrics_late(spark, folder):
     return lake.read(METRICS).drop("aggregation_time")
 
 
+@query
+def late_correction(spark, folder):
+    """Live metrics drop the late rows of the last trigger; ingest counts exactly their windows again."""
+    lake, _ = workspace(spark, RAW, CURATED, METRICS)
+    topic, name = scratch_path(spark, "topic"), uuid.uuid4().hex[:8]
+    *on_time, late = _three_parts(spark, folder)
+    for part, delay in ((on_time[0], 0), (on_time[1], 0), (late, 3)):
+        _append_trigger(sample.topic_records(part, arrival=f"ts + INTERVAL {delay} DAYS"), topic)
+    records = read_event_stream(spark, FileSource(topic, max_files=TRIGGER_FILES))
+    decoder, checkpoints = sample.version_decoder(), scratch_path(spark, "checkpoint")
+    with state_per_core(spark):
+        live = streams.live_metrics(records, decoder)
+        streams.start_metrics(live, lake, checkpoints, None, f"live_{name}").awaitTermination()
+    options = streams.IngestOptions(correct_late=WATERMARK_DELAY)
+    streams.start_ingest(records, lake, decoder, checkpoints, None, options, f"ingest_{name}").awaitTermination()
+    return lake.read(METRICS).drop("aggregation_time")
+
+
+@contextmanager
+def without_empty_triggers(spark: SparkSession):
+    """Triggers that only move the watermark come when they come; without them a run has just those with data."""
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _add_part(records: DataFrame, topic: str, number: int) -> None:
+    """A folder of files that enters the stand-in topic in one step, so a running query sees all of it or nothing."""
+    spark, staged = records.sparkSession, scratch_path(records.sparkSession, "staged")
+    records.select(*TOPIC_SCHEMA.fieldNames()).write.parquet(staged)
+    source, fs = hadoop_path(spark, staged)
+    fs.mkdirs(hadoop_path(spark, topic)[0])
+    fs.rename(source, hadoop_path(spark, f"{topic}/{number}")[0])
+
+
+@query
+def stream_progress(spark, folder):
+    """What a listener saw of a query with a processing-time trigger: rows of each trigger and late groups."""
+    lake, _ = workspace(spark, METRICS)
+    topic, name = scratch_path(spark, "topic"), f"progress_{uuid.uuid4().hex[:8]}"
+    seen = TriggerLog()
+    spark.streams.addListener(seen)
+    started = None
+    try:
+        for number, part in enumerate(_three_parts(spark, folder)):
+            _add_part(sample.topic_records(part), topic, number)
+            if started is None:
+                records = read_event_stream(spark, FileSource(f"{topic}/*"))
+                live = streams.live_metrics(records, sample.version_decoder())
+                with state_per_core(spark), without_empty_triggers(spark):
+                    started = streams.start_metrics(live, lake, scratch_path(spark, "checkpoint"), "1 second", name)
+            started.processAllAvailable()
+            seen.wait_for(name, started.lastProgress.batchId)
+    finally:
+        if started is not None:
+            started.stop()
+        spark.streams.removeListener(seen)
+    number = F.row_number().over(Window.orderBy("batch_id"))  # three rows
+    taken = seen.frame(spark, name).where("input_rows > 0")
+    return taken.select(number.alias("trigger"), "input_rows", "late_rows")
+
+
+@query
+def stream_state(spark, folder):
+    """What the metrics query still holds after a restart: the sums of windows that are not closed yet."""
+    lake, _ = workspace(spark, METRICS)
+    topic, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    name = f"state_{uuid.uuid4().hex[:8]}"
+    records = sample.topic_records(sample.driver_events(spark, folder))
+    early = F.dayofmonth("timestamp") <= 20
+    for part in (records.where(early), records.where(~early)):
+        _append(part, topic)
+        live = streams.live_metrics(read_event_stream(spark, FileSource(topic)), sample.version_decoder())
+        with state_per_core(spark):
+            streams.start_metrics(live, lake, checkpoints, None, name).awaitTermination()
+    key = "struct<window: struct<start: timestamp, end: timestamp>, campaign_id: int>"
+    # Both sums have the same name in the state, so they are told apart by place.
+    sums = F.col("value").cast("struct<clicks: bigint, conversions: bigint>").alias("sums")
+    held = read_state(spark, checkpoints, name).select(F.col("key").cast(key).alias("key"), sums)
+    return held.select(F.col("key.window.start").alias("window_start"), "key.campaign_id", "sums.*")
+
+
 @query
 def live_run(spark, folder):
     """Publish all events to files, then run both live queries from that one source."""

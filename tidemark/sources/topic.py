@@ -102,28 +102,28 @@ def frames(
     )
 
 
-def with_offsets(records: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """Number the records of each topic partition from zero, in the given order.
+def numbered(records: DataFrame, by: str, order: tuple[str, ...], name: str) -> DataFrame:
+    """Number the records of each value of ``by`` from zero, in the given order.
 
-    A topic has few partitions, so ranking each one in a window would put it into a single task.
-    Instead all records are range-sorted once, kept in the shared folder (a second sort could cut
-    its ranges elsewhere), and numbered within each range; one row per range then says how many
-    records of the partition came before it.
+    A topic has few partitions, and one user may have a third of all records, so ranking each value in a
+    window would put it into a single task. Instead all records are range-sorted once, kept in the shared
+    folder (a second sort could cut its ranges elsewhere), and numbered within each range; one row per
+    range and value then says how many records of the value came before it.
     """
     shared_dir(records.sparkSession)
-    placed = (
-        records.orderBy("partition", *order).withColumn("_row", F.monotonically_increasing_id()).checkpoint()
-    )
+    placed = records.orderBy(by, *order).withColumn("_row", F.monotonically_increasing_id()).checkpoint()
     ranged = placed.withColumn("_range", F.shiftright("_row", 33))
-    runs = ranged.groupBy("partition", "_range").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first")
-    )
-    # One row per sort range and topic partition, so the window stays small.
-    earlier = Window.partitionBy("partition").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    runs = ranged.groupBy(by, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    # One row per sort range and value, so the window stays small.
+    earlier = Window.partitionBy(by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     bases = runs.withColumn("_base", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    numbered = ranged.join(bases, ["partition", "_range"])
-    offset = (F.col("_base") + F.col("_row") - F.col("_first")).alias("offset")
-    return numbered.select(*records.columns, offset)
+    joined = ranged.join(bases, [by, "_range"])
+    return joined.select(*records.columns, (F.col("_base") + F.col("_row") - F.col("_first")).alias(name))
+
+
+def with_offsets(records: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """Records with their offsets in their topic partitions."""
+    return numbered(records, "partition", order, "offset")
 
 
 def in_user_order(records: DataFrame) -> DataFrame:
