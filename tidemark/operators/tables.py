@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.lease import Lease, overwrite_file, read_file, writer_lease
 from tidemark.schemas import ALL_TABLES, CURATED, Level, TableSpec
-from tidemark.session import folder_exists
+from tidemark.session import folder_exists, hadoop_path
 
 FILE_FORMATS = ("parquet", "orc")
 LISTED_KEYS = 10_000  # a source with no more rows is looked up by a list of its keys
@@ -340,31 +340,40 @@ def _sql_literal(value) -> str:
     return f"'{text}'"
 
 
-def partitions_of(spark: SparkSession, table: str, form: Layout, value) -> list[tuple]:
-    """Every partition below one value of the first partition column, as the catalog lists them."""
+def _folders(spark: SparkSession, table: str, form: Layout, value) -> dict[tuple, str]:
+    """Every partition below one value of the first partition column, and its folder, as the catalog lists them."""
     found = spark.sql(f"SHOW PARTITIONS {table} PARTITION (`{form.partition}` = {_sql_literal(value)})").collect()
-    out = []
+    out = {}
     for row in found:
-        pairs = [p.split("=", 1)[1] for p in row[0].split("/")[1:]]
-        out.append((value, *(None if p == "__HIVE_DEFAULT_PARTITION__" else int(p) for p in pairs)))
+        levels = [p.split("=", 1)[1] for p in row[0].split("/")[1:]]
+        out[value, *(None if p == "__HIVE_DEFAULT_PARTITION__" else int(p) for p in levels)] = row[0]
     return out
 
 
 def _clear(spark: SparkSession, table: str, form: Layout, partitions: list[tuple], lease: Lease) -> None:
-    """Leave partitions without rows."""
-    fields = [f for f in spark.table(table).schema if f.name not in form.partitions]
-    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()})" for f in fields)
+    """Remove partitions with their files."""
+    if not partitions:
+        return
+    folders: dict[tuple, str] = {}
+    for value in {p[0] for p in partitions}:
+        folders |= _folders(spark, table, form, value)
     lease.check()
+    dropped = []
     for values in partitions:
-        given = ", ".join(f"`{p}` = {_sql_literal(v)}" for p, v in zip(form.partitions, values, strict=True))
-        spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({given}) SELECT {nothing} WHERE false")
+        if values in folders:
+            place, fs = hadoop_path(spark, f"{form.location}/{folders[values]}")
+            fs.delete(place, True)
+            given = ", ".join(f"`{p}` = {_sql_literal(v)}" for p, v in zip(form.partitions, values, strict=True))
+            dropped.append(f"PARTITION ({given})")
+    if dropped:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(dropped)}")
 
 
 def delete_partition(spark: SparkSession, table: str, value) -> None:
     """Remove all rows with one value of the first partition column."""
     with writing(spark, table) as (form, lease):
         if lease:
-            _clear(spark, table, form, partitions_of(spark, table, form, value), lease)
+            _clear(spark, table, form, list(_folders(spark, table, form, value)), lease)
         else:
             part = form.partition
             test = f"`{part}` IS NULL" if value is None else f"`{part}` = {_sql_literal(value)}"
@@ -401,7 +410,7 @@ def replace_partition(source: DataFrame, table: str, value) -> int:
             guarded.observe(seen, *counts).writeTo(table).overwrite(mine)
             spark.catalog.refreshTable(table)
             return seen.get["rows"]
-        before = partitions_of(spark, table, form, value)
+        before = list(_folders(spark, table, form, value))
         # Dynamic overwrite swaps the partitions that rows arrive for at commit, and leaves the others alone.
         lease.check()
         _spread(guarded, form).observe(seen, *counts).write.insertInto(table, overwrite=True)
