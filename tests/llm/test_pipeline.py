@@ -7,10 +7,10 @@ import pytest
 import sentencepiece
 from helpers import SMALL, by_id, documents, sha
 from test_line_dedup import brute as brute_lines
-from test_simhash import roots_of
+from test_simhash import plain_fingerprint, roots_of
 
 import corpus_pipeline
-from tidemark.llm import decontaminate, quality, simhash, stages
+from tidemark.llm import decontaminate, quality, stages
 from tidemark.llm.common import table
 
 
@@ -34,11 +34,8 @@ def good(texts, labels):
 def distinct_copies(texts):
     """Ids that are the smallest of their group, over all pairs."""
     ids = sorted(texts)
-    fps = []
-    for i in ids:
-        hashes = simhash.shingle_hashes((texts[i] or "").encode(), 5)
-        fps.append([simhash.majority(simhash.mixed(hashes + np.uint64(k << 32)) if k else hashes) for k in range(4)])
-    return [i for i, root in zip(ids, roots_of(fps, simhash.WIDE.errors), strict=True) if ids[root] == i]
+    roots = roots_of([plain_fingerprint(texts[i]) for i in ids], 3)
+    return [i for i, root in zip(ids, roots, strict=True) if ids[root] == i]
 
 
 def leaks(text, items):

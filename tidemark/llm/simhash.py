@@ -27,11 +27,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_64_intdigest, xxh64_intdigest
+from xxhash import xxh64_intdigest
 
-from tidemark.llm.common import binaries, keyed_texts, longs, octets, slices, split_at, stored, unused
+from tidemark.llm.common import keyed_texts, longs, octets, split_at, stored, unused
 from tidemark.llm.components import connected
-from tidemark.llm.occurrences import FILTER, mixed, shared_places
 
 SHINGLE = 3
 SEED = 42
@@ -172,30 +171,7 @@ def exact_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(places), np.concatenate(found)
 
 
-def wide_keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of two segments each, out of SEGMENTS; words that differ in two bits of 23 always share an index."""
-    golay, places, found = Golay.get(), [], []
-    indices, there = [], []
-    for i in range(SEGMENTS):
-        word, bit = divmod(i * (64 * fps.shape[1] // SEGMENTS), 64)
-        bits = fps[:, word] >> np.uint64(bit)
-        if bit + WORD > 64:
-            bits = bits | (fps[:, word + 1] << np.uint64(64 - bit))
-        own = golay.indices(bits.astype(np.int64) & 0x7FFFFF)
-        indices.append(own[0])
-        there.append(own[1])
-    for case, (i, j) in enumerate(combinations(range(SEGMENTS), 2)):
-        place, a, b = np.nonzero(there[i][:, :, None] & there[j][:, None, :])
-        found.append((case << 24) | (indices[i][place, a] << 12) | indices[j][place, b])
-        places.append(place)
-    return np.concatenate(places), np.concatenate(found)
-
-
-SEGMENTS = 6
 EXACT = Scheme(1, ERRORS, exact_keys)
-#: Two equally long shingle sets of similarity 0.8 have a cosine of 8/9, so 0.152 of the bits differ: 39 of 256.
-#: An estimate only; the pipeline's near copies are decided by exact similarity (``COPIES`` below).
-WIDE = Scheme(4, 39, wide_keys)
 
 
 def _key_rows(scheme: Scheme):
@@ -233,10 +209,6 @@ class Forest:
             i = root[i]
         return i
 
-    def alike(self, i: int, j: int) -> bool:
-        """The last word on two rows whose bits are near."""
-        return True
-
     def link(self, left: np.ndarray, right: np.ndarray) -> None:
         differ = np.bitwise_count(self.fps[left, 0] ^ self.fps[right, 0]).astype(np.int64)
         for i in range(1, self.fps.shape[1]):
@@ -247,8 +219,6 @@ class Forest:
         for i, j in zip(left[apart].tolist(), right[apart].tolist(), strict=True):
             a, b = self._find(i), self._find(j)
             if a != b:
-                if not self.alike(i, j):
-                    continue
                 self.root[max(a, b)] = min(a, b)
                 self.u.append(i)
                 self.v.append(j)
@@ -272,15 +242,12 @@ LAGS = 16
 
 
 def _bucket_forest(bounds: np.ndarray, nodes: np.ndarray, fps: np.ndarray, errors: int) -> tuple[np.ndarray, np.ndarray]:
-    return _grown(bounds, Forest(nodes, fps, errors))
-
-
-def _grown(bounds: np.ndarray, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
     """Rows of each bucket are compared at growing distance, all buckets at once, then large ones singly.
 
     After a few distances the members of a family of copies are one tree, and need no more comparisons
     among themselves.
     """
+    forest = Forest(nodes, fps, errors)
     sizes = np.diff(bounds)
     after = np.repeat(bounds[1:], sizes) - np.arange(bounds[-1]) - 1  # rows of its bucket behind each row
     left = np.flatnonzero(after)
@@ -373,12 +340,6 @@ def links(distinct: DataFrame, scheme: Scheme, limit: int = BUCKET) -> DataFrame
     """u and v: enough links between the fingerprints (node, f0, f1, ...) to join each component."""
     words = "".join(f", {c} long" for c in scheme.columns)
     keyed = distinct.select("node", *scheme.columns).mapInArrow(_key_rows(scheme), f"key long, node long{words}")
-    return links_of_keys(keyed, scheme, limit)
-
-
-def links_of_keys(keyed: DataFrame, scheme: Scheme, limit: int = BUCKET) -> DataFrame:
-    """The same for rows of key, node, f0, f1, ..."""
-    words = "".join(f", {c} long" for c in scheme.columns)
     ordered = keyed.repartition("key").sortWithinPartitions("key", "node")
     found = stored(ordered.mapInArrow(_buckets(scheme, limit), f"u long, v long, key long{words}"), "simhash-links")
     near = found.where("v is not null").select("u", "v")
@@ -408,193 +369,16 @@ def components(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     )
 
 
-# --- near copies at a similarity of shingle sets ----------------------------------------------------
-
-LOWEST = 8
-FUNCTIONS, BAND = 128, 4  # least values of a shingle set, and how many of them are one key
-SETS = 8_000_000  # shingles that one task compares
-_FACTORS = mixed(np.arange(1, FUNCTIONS + 1, dtype=np.uint64))[:, None] | np.uint64(1)
-
-
-def least_values(hashes: np.ndarray) -> np.ndarray:
-    """MinHash of a shingle set: two sets agree in each value with a chance of their similarity."""
-    least = np.full(FUNCTIONS, ~np.uint64(0))
-    for at in range(0, len(hashes), 512):
-        np.minimum(least, (hashes[at : at + 512] * _FACTORS).min(axis=1), out=least)
-    return mixed(least)
-
-
-def band_keys(values: np.ndarray) -> np.ndarray:
-    """Of (n, FUNCTIONS) least values, a key for each BAND of them."""
-    bands = values.reshape(len(values), -1, BAND)
-    keys = np.broadcast_to(np.arange(bands.shape[1], dtype=np.uint64), bands.shape[:2])
-    for i in range(BAND):
-        keys = mixed(keys + bands[:, :, i])
-    return keys
-
-
-def sketch_words(values: np.ndarray) -> np.ndarray:
-    """Two bits of each of (n, FUNCTIONS) least values."""
-    bits = np.stack((values & np.uint64(1), values >> np.uint64(63)), axis=2).astype(np.uint8)
-    return np.packbits(bits.reshape(len(values), -1), axis=1).view(np.uint64)
-
-
-#: At similarity 0.8 a fifth of the values, so 25.6 of 256 bits, differ; more than 58 do with a chance below 1e-6.
-COPIES = Scheme(FUNCTIONS // 32, 58, band_keys)
-_WORDS = "".join(f", {c} long" for c in COPIES.columns)
-
-
-def similar(left: np.ndarray, right: np.ndarray) -> bool:
-    """Whether two sorted shingle sets have a Jaccard similarity of 0.8, in whole numbers."""
-    n, most = len(left) + len(right), min(len(left), len(right))
-    return 9 * most >= 4 * n and 9 * len(np.intersect1d(left, right, assume_unique=True)) >= 4 * n
-
-
-def set_node(hashes: np.ndarray) -> int:
-    """64 bits that name a shingle set."""
-    return xxh3_64_intdigest(hashes.tobytes())
-
-
-def _longs_of(values: np.ndarray) -> list[pa.Array]:
-    values = values.view(np.int64)
-    return [pa.array(values[:, i]) for i in range(values.shape[1])]
-
-
-def _sketch_rows(shingle: int):
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(text, shingle)) for text in octets(batch)]
-            values = np.array([least_values(x) for x in sets], np.uint64).reshape(-1, FUNCTIONS)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *batch.columns[:-1],
-                    pa.array(np.array([set_node(x) for x in sets], np.uint64).view(np.int64)),
-                    pa.array([len(x) for x in sets], pa.int64()),
-                    *_longs_of(sketch_words(values)),
-                    pa.array([x.tobytes() for x in band_keys(values)], pa.binary()),
-                    pa.array([x[:LOWEST].tobytes() or bytes(8) for x in sets], pa.binary()),
-                ],
-                names=[*batch.schema.names[:-1], "node", "size", *COPIES.columns, "bands", "lows"],
-            )
-
-    return rows
-
-
-def _low_names(rows: list[dict]):
-    """The lowest shingle hashes of each text."""
-    lows = [np.frombuffer(row["lows"], np.uint64) for row in rows]
-    sizes = np.array([len(x) for x in lows], np.int64)
-    doc = np.repeat(np.arange(len(rows)), sizes)
-    names = mixed(np.concatenate(lows)) if lows else np.zeros(0, np.uint64)
-    return doc, np.arange(len(doc)) - (np.cumsum(sizes) - sizes)[doc], names, names, np.zeros_like(names)
-
-
-def _band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each key of a set."""
-    for batch in batches:
-        keys = [np.frombuffer(x, np.int64) for x in batch.column("bands").to_pylist()]
-        place = np.repeat(np.arange(len(keys)), [len(x) for x in keys])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate(keys) if keys else np.zeros(0, np.int64)),
-                *(pa.array(longs(batch, c)[place]) for c in ("node", *COPIES.columns)),
-            ],
-            names=["key", "node", *COPIES.columns],
-        )
-
-
-def _set_rows(shingle: int):
-    """Texts become their shingle sets; a text whose set is not that of the node goes."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in slices(whole):
-                sets = [np.unique(shingle_hashes(text, shingle)) for text in octets(batch)]
-                own = np.array([set_node(x) for x in sets], np.uint64).view(np.int64) == longs(batch, "node")
-                names = ["node", "root", *COPIES.columns]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in names), binaries([x.tobytes() for x in sets])], names=[*names, "shingles"]
-                ).filter(pa.array(own))
-
-    return rows
-
-
-class SetForest(Forest):
-    """Links between shingle sets whose exact similarity is high enough."""
+# --- one document of each component ---------------------------------------------------------------
 
-    def __init__(self, nodes: np.ndarray, fps: np.ndarray, sets: list[np.ndarray]):
-        super().__init__(nodes, fps, COPIES.errors)
-        self.sets = sets
 
-    def alike(self, i: int, j: int) -> bool:
-        return similar(self.sets[i], self.sets[j])
+def drop_copies(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """The documents, all columns, of which one (the smallest id) stays of each component of linked fingerprints.
 
-
-def _compare_sets(table: pa.Table) -> pa.Table:
-    nodes, at = np.unique(table.column("node").to_numpy(), return_index=True)
-    fps = np.stack([table.column(c).to_numpy() for c in COPIES.columns], axis=1)[at].view(np.uint64)
-    shingles = table.column("shingles")
-    sets = [np.frombuffer(shingles[i].as_py(), np.uint64) for i in at.tolist()]
-    u, v = _grown(np.array([0, len(nodes)]), SetForest(nodes, fps, sets))
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-
-def _similar_sets(docs: DataFrame, distinct: DataFrame, shingle: int, limit: int) -> DataFrame:
-    """u and v: enough links between nodes of similarity 0.8 to join each component.
-
-    Loose components of sets that share a key and most sketch bits are the candidates. One with more than ``limit``
-    shingles is split into blocks, and each pair of blocks is a task of its own.
-    """
-    keyed = distinct.select("node", *COPIES.columns, "bands").mapInArrow(_band_rows, f"key long, node long{_WORDS}")
-    loose = connected(links_of_keys(keyed, COPIES))
-    members = stored(distinct.drop("bands").join(loose, "node"), "members")
-    blocks = F.when(F.sum("size") > limit, F.ceil(F.sum("size") * 2 / limit)).otherwise(1).cast("long")
-    parts = members.groupBy("root").agg(blocks.alias("blocks"))
-    texts = keyed_texts(docs).join(members.drop("size"), ["doc_id", "text_key"]).select("node", "root", *COPIES.columns, "text")
-    sets = texts.mapInArrow(_set_rows(shingle), f"node long, root long{_WORDS}, shingles binary")
-    own = sets.join(parts, "root").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).select(
-        "root", "node", *COPIES.columns, "shingles", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b")
-    )
-    return dealt.groupBy("root", "a", "b").applyInArrow(_compare_sets, "u long, v long")
-
-
-def later_copies(docs: DataFrame, shingle: int = 5, limit: int = SETS) -> DataFrame:
-    """doc_id and text_key of documents whose group of near copies holds a smaller id.
-
-    Near copies are documents whose sets of shingles have an exact Jaccard similarity of at least 0.8, and what
-    such pairs chain together. Candidates are proposed by chance, and a pair at 0.8 (others less) is missed with
-    0.2^8 as only documents of which one of the ``LOWEST`` lowest shingles occurs elsewhere are keyed, 5e-8 by the
-    32 keys, and below 1e-6 by the sketch bits. Texts without words are copies of each other. Rows with a null
-    ``doc_id`` are in no group.
+    Rows with a null ``doc_id`` stay. Rows that repeat id and text stay or go together.
     """
-    sketches = stored(
-        keyed_texts(docs)
-        .where("doc_id is not null")
-        .mapInArrow(
-            _sketch_rows(shingle), f"doc_id long, text_key int, node long, size long{_WORDS}, bands binary, lows binary"
-        ),
-        "sketches",
-    )
-    own = ["doc_id", "text_key"]
-    alike = shared_places(sketches.select(*own, "lows"), _low_names, smaller=False, width=FILTER)
-    suspects = stored(sketches.drop("lows").join(alike.select(own), own), "suspects")
-    distinct = stored(
-        suspects.groupBy("node", "size", *COPIES.columns, "bands")
-        .agg(F.min(F.struct(*own)).alias("least"))
-        .select("node", "size", *COPIES.columns, "bands", "least.*"),
-        "distinct",
-    )
-    roots = connected(_similar_sets(docs, distinct, shingle, limit))
-    rooted = distinct.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.groupBy("root").agg(F.min("doc_id").alias("keep"))
-    kept = rooted.join(named, "root").select("node", "keep")
-    return suspects.select(*own, "node").join(kept, "node").where("doc_id <> keep").select(own).distinct()
-
-
-def drop_copies(docs: DataFrame, shingle: int = 5, limit: int = SETS) -> DataFrame:
-    """The documents, all columns, of which one (the smallest id) stays of each group of near copies."""
     own, key = unused(docs, "id_"), unused(docs, "key_")
-    lost = later_copies(docs, shingle, limit).select(F.col("doc_id").alias(own), F.col("text_key").alias(key))
+    later = near_duplicates(docs, shingle).where("doc_id <> component_id")
+    lost = later.select(F.col("doc_id").alias(own), F.col("text_key").alias(key)).distinct()
     here = (docs["doc_id"] == lost[own]) & (F.hash(docs["text"]) == lost[key])
     return docs.join(lost, here, "left_anti")

@@ -25,7 +25,7 @@ def lines_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Five-word shingles at a similarity of 0.8; the smallest id of a group stays."""
+    """Fingerprints of three-word shingles that differ in at most three of 64 bits; the smallest id of a component stays."""
     return simhash.drop_copies(docs)
 
 
