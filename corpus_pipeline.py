@@ -2,13 +2,13 @@
 
 1. quality: documents that the classifier rejects go.
 2. lines: lines that a document with a smaller id holds go; every document stays, if only with what is left.
-3. near_copies: of each group of near copies (five-word shingles, similarity 0.8) the smallest id stays.
+3. near_copies: of each component of SimHash fingerprints (three-word shingles, at most three of 64 bits) the
+   smallest id stays.
 4. benchmark: documents that hold a benchmark passage, up to a few edits, go.
 5. pieces: what is left is encoded and decoded; a row for each document.
 
 Every stage but the last returns the columns of ``documents``, and works on all that its predecessor kept.
-Null texts count as empty and stay null where a document stays; texts without words are near copies of each
-other. Rows with a null ``doc_id`` take no part in comparisons between documents and stay. Rows that repeat
+Null texts count as empty and stay null where a document stays; texts without words have one fingerprint. Rows with a null ``doc_id`` take no part in comparisons between documents and stay. Rows that repeat
 both ``doc_id`` and text stay or go together. An empty table passes through all stages.
 """
 
