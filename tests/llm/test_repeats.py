@@ -2,10 +2,11 @@
 
 import random
 
+import numpy as np
 import pytest
 from helpers import SMALL, by_id, covered, documents, sha, window_counts
 
-from tidemark.llm import recompression, suffix_array
+from tidemark.llm import occurrences, recompression, suffix_array
 from tidemark.llm.common import table
 
 
@@ -65,14 +66,57 @@ def texts():
     return out
 
 
-def test_bytes(spark, texts):
+@pytest.fixture(params=[16 << 20, 1500])
+def buckets(request, monkeypatch):
+    """One bucket for all, and many."""
+    monkeypatch.setattr(occurrences, "BUCKET", request.param)
+
+
+def test_bytes(spark, texts, buckets):
     check_bytes(spark, texts)
 
 
-def test_words(spark, texts):
+def test_words(spark, texts, buckets):
     check_words(spark, texts)
 
 
+def test_a_passage_in_many_surroundings(spark, buckets):
+    """Its parts are shared by all, by some, or by two only, and in differing order of ids."""
+    draw = random.Random(6)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(120):
+        a, b = sorted(draw.sample(range(61), 2))
+        body = passage if i % 3 == 0 else passage[a:b] if i % 3 == 1 else passage[i % 7 * 6 :]
+        texts.append(" ".join([f"x{draw.randrange(30)}" for _ in range(i % 4)] + body + [f"y{i}-{j}" for j in range(i % 5)]))
+    draw.shuffle(texts)
+    for parts in (1, 9, 120):
+        check_words(spark, texts, parts)
+        check_bytes(spark, texts, parts)
+
+
+def test_a_hot_family_is_spread(spark):
+    """One core in very many surroundings: each name of the family goes its own way."""
+
+    def names(rows):
+        doc = np.arange(len(rows))
+        hi = occurrences.mixed(np.array([row["doc_id"] for row in rows], np.uint64))
+        return doc, np.zeros(len(rows), np.int64), np.full(len(rows), 77 << 32, np.uint64), hi, occurrences.mixed(hi)
+
+    frame = spark.range(6000).selectExpr("id doc_id", "0 text_key", "repeat('x', 700) text").repartition(3)
+    sent = frame.mapInArrow(occurrences._pack(names, 16, occurrences.EXACT, False, True), occurrences.PACKED)
+    entries = {}
+    for row in sent.select("kind", "bucket", "counts").collect():
+        key = row.kind, row.bucket
+        entries[key] = entries.get(key, 0) + sum(np.frombuffer(row.counts, "<i4").tolist())
+    by_name = [n for (kind, _), n in entries.items() if kind == occurrences.BY_NAME]
+    assert len(by_name) == 16 and max(by_name) < 2 * 6000 / 16
+    assert sum(n for (kind, _), n in entries.items() if kind == occurrences.BY_FAMILY) <= 2 * 2 * 3
+    found = occurrences.shared_places(frame, names, 16, smaller=False, width=occurrences.EXACT, families=True)
+    hits = [h for row in found.collect() for h in occurrences.places(row.hits, occurrences.OPEN).tolist()]
+    assert len(hits) == 6000 and set(hits) == {0}
+
+
 def test_one_slice_and_tiny_slices(spark, texts, monkeypatch):
     check_bytes(spark, texts, 1)
     check_words(spark, texts, 1)

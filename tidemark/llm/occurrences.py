@@ -5,14 +5,18 @@ value, packed: a row holds all names of one slice of documents that fall into on
 its bytes and little more. A bucket is sorted in one task, and only positions whose name is shared travel
 back to their documents, packed likewise by groups of documents.
 
-Names may come in families (names of longer ranges around one core). Then a family is sorted together, and
-if it has several names, one place of each is marked *open*: the next, finer round must look at it, so that
-what is shared in part only finds its counterpart.
-
 Before anything is sent, each slice compares its own names: of those that repeat inside it one travels
 (or those of the smallest document, if order matters) and the others are settled on the spot. A name that a third of
-all documents hold is thus a few bytes for each slice. Buckets are as many as
-``spark.sql.shuffle.partitions``, the setting that sizes every shuffle of a cluster.
+all documents hold is thus a few bytes for each slice.
+
+Names may come in families (names of longer ranges around one core). If a family has several names, one place of
+each is marked *open*: the next, finer round must look at it, so that what is shared in part only finds
+its counterpart. A family never meets in one bucket, however many names it has: names are sent by name, with a
+mark if their slice saw others of the family, and a slice sends just the lowest and the highest name of a
+family by family. A name that no slice marks is alone in each slice that has it, so all these send it by
+family, where it meets another slice's lowest or highest one if there are others.
+
+Buckets are as many as the texts have bytes (``BUCKET`` each), so none grows with the corpus.
 """
 
 from __future__ import annotations
@@ -23,13 +27,16 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tidemark.llm.common import binaries, longs, slices, split_at
 
 FILTER, EXACT = 6, 10  # bytes of a name that travel, besides those that the bucket implies
 SLICE = 4 << 20
+BUCKET = 16 << 20  # bytes of text for each bucket
 
-PACKED = "bucket int, names binary, docs binary, keys binary, counts binary, places binary"
+BY_NAME, BY_FAMILY = 0, 1
+PACKED = "kind int, bucket int, names binary, docs binary, keys binary, counts binary, places binary"
 FOUND = "part int, docs binary, keys binary, counts binary, places binary"
 HITS = "doc_id long, text_key int, hits binary"
 
@@ -117,11 +124,12 @@ def _settled(hi, lo, doc, smaller: bool) -> tuple[np.ndarray, np.ndarray]:
     return travels, known
 
 
-def _rows(bucket, names, doc, place, ids, keys) -> tuple:
+def _rows(kind, bucket, names, doc, place, ids, keys) -> tuple:
     """One packed row; entries are sorted by document and place."""
     bounds = split_at(doc)
     of = doc[bounds[:-1]]
     return (
+        kind,
         bucket,
         None if names is None else names.tobytes(),
         ids[of].astype("<i8").tobytes(),
@@ -135,7 +143,33 @@ def _octets(values: np.ndarray) -> np.ndarray:
     return values.astype("<u8").view(np.uint8).reshape(-1, 8)
 
 
+def _bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
+    return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+
+
+def _kin(family, hi, lo, travels) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries of a slice have a family with other names too, and entries with a family's lowest or highest name.
+
+    Only entries that travel are picked: where order matters these are of the smallest document.
+    """
+    order = np.lexsort((~travels, lo, hi, family))
+    names = split_at(np.stack((family[order], hi[order], lo[order]), axis=1))
+    kinds = split_at(family[order][names[:-1]])  # names of each family
+    several = np.zeros(len(family), bool)
+    several[order] = np.repeat(np.repeat(np.diff(kinds) > 1, np.diff(kinds)), np.diff(names))
+    first = names[:-1]  # of each name, an entry that travels
+    return several, order[np.unique(np.concatenate((first[kinds[:-1]], first[kinds[1:] - 1])))]
+
+
 def _pack(names_of: NamesOf, buckets: int, width: int, smaller: bool, families: bool):
+    def dealt(kind: int, h, names, doc, place, ids, keys) -> Iterator[tuple]:
+        bucket = _bucket_of(h, buckets)
+        order = np.lexsort((place, doc, bucket))
+        bounds = split_at(bucket[order])
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            own = order[a:b]
+            yield _rows(kind, int(bucket[own[0]]), names[own], doc[own], place[own], ids, keys)
+
     def one(batch: pa.RecordBatch) -> Iterator[tuple]:
         ids, keys = longs(batch, "doc_id"), longs(batch, "text_key")
         doc, place, family, hi, lo = names_of(batch.to_pylist())
@@ -143,48 +177,59 @@ def _pack(names_of: NamesOf, buckets: int, width: int, smaller: bool, families:
             return
         travels, known = _settled(hi, lo, ids[doc] if smaller else doc, smaller)
         if known.any():
-            yield _rows(int(ids[0]) % buckets, None, doc[known], place[known], ids, keys)
-        bucket = (((family >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-        order = np.flatnonzero(travels)
-        order = order[np.argsort(bucket[order], kind="stable")]  # documents and places keep their order
-        family, hi, lo, doc, place, bucket = (x[order] for x in (family, hi, lo, doc, place, bucket))
-        names = np.hstack([_octets(family)[:, : FILTER * families], _octets(hi), _octets(lo)])[:, : width + FILTER * families]
-        bounds = split_at(bucket)
-        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            yield _rows(int(bucket[a]), names[a:b], doc[a:b], place[a:b], ids, keys)
+            yield _rows(BY_NAME, int(ids[0]) % buckets, None, doc[known], place[known], ids, keys)
+        marked = np.zeros(len(doc), bool)
+        if families:
+            marked, ends = _kin(family, hi, lo, travels)
+            names = np.hstack([_octets(family)[:, :FILTER], _octets(hi)[:, :FILTER]])[ends]
+            yield from dealt(BY_FAMILY, family[ends], names, doc[ends], place[ends], ids, keys)
+        sent = np.flatnonzero(travels)
+        names = np.hstack([_octets(hi), _octets(lo)])[sent, :width]
+        yield from dealt(BY_NAME, hi[sent], names, doc[sent], place[sent] * 2 + marked[sent], ids, keys)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, SLICE):
                 done = list(one(batch))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in done], pa.int32())] + [binaries([r[i] for r in done]) for i in range(1, 6)],
-                    names=["bucket", "names", "docs", "keys", "counts", "places"],
+                    [pa.array([r[i] for r in done], pa.int32()) for i in (0, 1)] + [binaries([r[i] for r in done]) for i in range(2, 7)],
+                    names=["kind", "bucket", "names", "docs", "keys", "counts", "places"],
                 )
 
     return rows
 
 
-def _judged(family, hi, lo, doc, smaller: bool, families: bool) -> np.ndarray:
-    """SHARED and OPEN of each entry of a bucket."""
-    order = np.lexsort((lo, hi, family)) if families else np.lexsort((lo, hi)) if lo.any() else np.argsort(hi, kind="stable")
-    bounds = split_at(np.stack((family[order], hi[order], lo[order]), axis=1))
-    sizes = np.diff(bounds)
+def _chosen(doc, order, bounds, smaller: bool) -> np.ndarray:
+    """Of sorted entries those that stand for their name: the first, or all of the smallest document."""
     if smaller:
         own = doc[order]
-        later = own > np.repeat(np.minimum.reduceat(own, bounds[:-1]), sizes)
-        shared, chosen = later, ~later
-    else:
-        shared = np.repeat(sizes > 1, sizes)
-        chosen = np.zeros(len(order), bool)
-        chosen[bounds[:-1]] = True
-    state = shared.astype(np.uint8) * SHARED
-    if families:
-        kinds = split_at(family[order][bounds[:-1]])  # names of each family
-        several = np.repeat(np.repeat(np.diff(kinds) > 1, np.diff(kinds)), sizes)
-        state[chosen & several] |= OPEN
+        return own == np.repeat(np.minimum.reduceat(own, bounds[:-1]), np.diff(bounds))
+    chosen = np.zeros(len(order), bool)
+    chosen[bounds[:-1]] = True
+    return chosen
+
+
+def _judged(hi, lo, doc, marked, smaller: bool) -> np.ndarray:
+    """SHARED and OPEN of each entry of a bucket of names."""
+    order = np.lexsort((lo, hi)) if lo.any() else np.argsort(hi, kind="stable")
+    bounds = split_at(np.stack((hi[order], lo[order]), axis=1))
+    sizes = np.diff(bounds)
+    chosen = _chosen(doc, order, bounds, smaller)
+    shared = ~chosen if smaller else np.repeat(sizes > 1, sizes)
+    kin = np.repeat(np.logical_or.reduceat(marked[order], bounds[:-1]), sizes)
     out = np.zeros(len(order), np.uint8)
-    out[order] = state
+    out[order] = shared * np.uint8(SHARED) + (chosen & kin) * np.uint8(OPEN)
+    return out
+
+
+def _opened(family, name, doc, smaller: bool) -> np.ndarray:
+    """OPEN of each entry of a bucket of families: one place of each name, if the family has several."""
+    order = np.lexsort((name, family))
+    bounds = split_at(np.stack((family[order], name[order]), axis=1))
+    kinds = split_at(family[order][bounds[:-1]])
+    several = np.repeat(np.repeat(np.diff(kinds) > 1, np.diff(kinds)), np.diff(bounds))
+    out = np.zeros(len(order), np.uint8)
+    out[order] = (_chosen(doc, order, bounds, smaller) & several) * np.uint8(OPEN)
     return out
 
 
@@ -196,10 +241,20 @@ def _unpacked(table: pa.Table) -> Iterator[tuple]:
         yield name, (np.frombuffer(d, "<i8"), np.frombuffer(k, "<i4"), np.frombuffer(c, "<i4"), place)
 
 
-def _compare(buckets: int, width: int, smaller: bool, families: bool):
+def _wide(raw: np.ndarray, sizes: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers from the bytes of each name."""
+    wide = np.zeros((len(raw), 16), np.uint8)
+    wide[:, : sizes[0]] = raw[:, : sizes[0]]
+    wide[:, 8 : 8 + sizes[1]] = raw[:, sizes[0] :]
+    first, second = np.ascontiguousarray(wide.view("<u8").T)
+    return first, second
+
+
+def _compare(buckets: int, width: int, smaller: bool):
     """Sort one bucket; gives the places whose names others share, packed by groups of documents."""
 
     def compare(table: pa.Table) -> pa.Table:
+        by_family = table.column("kind")[0].as_py() == BY_FAMILY
         out, rows, names = [], [], []
         for name, row in _unpacked(table):
             if name is None:
@@ -211,11 +266,13 @@ def _compare(buckets: int, width: int, smaller: bool, families: bool):
             ids, keys, counts, place = (np.concatenate([r[i] for r in rows]) for i in range(4))
             raw = np.concatenate(names).reshape(len(place), -1)
             del names, rows
-            wide = np.zeros((len(raw), 24), np.uint8)
-            wide[:, : FILTER * families] = raw[:, : FILTER * families]
-            wide[:, 8 : 8 + width] = raw[:, FILTER * families :]
-            family, hi, lo = np.ascontiguousarray(wide.view("<u8").T)
-            state = _judged(family, hi, lo, np.repeat(ids, counts) if smaller else ids, smaller, families)
+            doc = np.repeat(ids, counts)
+            if by_family:
+                state = _opened(*_wide(raw, (FILTER, FILTER)), doc, smaller)
+            else:
+                low = min(width, 8)
+                state = _judged(*_wide(raw, (low, width - low)), doc, (place & 1).astype(bool), smaller)
+                place = place >> 1
             some = state > 0
             segment = np.repeat(np.arange(len(counts)), counts)
             left = np.bincount(segment[some], minlength=len(counts))
@@ -261,17 +318,21 @@ def _gather(table: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(ids[first]), "text_key": pa.array(keys[first]), "hits": binaries(parts)})
 
 
+def buckets_for(texts: DataFrame) -> int:
+    """So many that each has the names of about ``BUCKET`` bytes of text."""
+    return 1 + int(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BUCKET
+
+
 def shared_places(
-    frame: DataFrame, names_of: NamesOf, *, smaller: bool, width: int, families: bool = False
+    frame: DataFrame, names_of: NamesOf, buckets: int, *, smaller: bool, width: int, families: bool = False
 ) -> DataFrame:
     """doc_id, text_key and hits (packed places), for documents that share any name.
 
     ``smaller``: SHARED means under a smaller ``doc_id``, else at any other place. ``frame`` has doc_id
     (no nulls), text_key, text, and whatever else ``names_of`` reads.
     """
-    buckets = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packed = frame.mapInArrow(_pack(names_of, buckets, width, smaller, families), PACKED)
-    found = packed.groupBy("bucket").applyInArrow(_compare(buckets, width, smaller, families), FOUND)
+    found = packed.groupBy("kind", "bucket").applyInArrow(_compare(buckets, width, smaller), FOUND)
     return found.groupBy("part").applyInArrow(_gather, HITS)
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import keyed_texts, split_at, stored
-from tidemark.llm.occurrences import EXACT, FILTER, OPEN, SHARED, Fingerprints, covered, places, shared_places
+from tidemark.llm.occurrences import EXACT, FILTER, OPEN, SHARED, Fingerprints, buckets_for, covered, places, shared_places
 
 
 class Part(NamedTuple):
@@ -168,13 +168,14 @@ def find(docs: DataFrame, parts: Parts, length: int, *, smaller: bool) -> DataFr
     """
     own = ["doc_id", "text_key"]
     texts = keyed_texts(docs).where("doc_id is not null")
-    cores = shared_places(texts, core_names(parts), smaller=False, width=FILTER)
+    buckets = buckets_for(texts)
+    cores = shared_places(texts, core_names(parts), buckets, smaller=False, width=FILTER)
     suspects = stored(texts.join(cores.withColumnRenamed("hits", "cores"), own), "suspects")
     contexts = shared_places(
-        suspects, context_names(parts, length), smaller=smaller, width=EXACT, families=True
+        suspects, context_names(parts, length), buckets, smaller=smaller, width=EXACT, families=True
     )
     contexts = stored(contexts.withColumnRenamed("hits", "contexts"), "contexts")
     halfway = suspects.join(contexts, own, "left")
-    windows = shared_places(halfway, window_names(parts, length), smaller=smaller, width=EXACT)
+    windows = shared_places(halfway, window_names(parts, length), buckets, smaller=smaller, width=EXACT)
     windows = stored(windows.withColumnRenamed("hits", "windows"), "windows")
     return halfway.join(windows, own, "left").where(F.col("contexts").isNotNull() | F.col("windows").isNotNull())
