@@ -87,6 +87,15 @@ def test_null_partition_is_kept(spark, table):
     assert content(table)[-2:] == [("y", 3, 9), ("z", 3, 9)] and len(content(table)) == 5
 
 
+@pytest.mark.parametrize("listed", [500, 0])
+def test_new_rows_without_a_partition_are_kept_beside_replaced_ones(spark, table, monkeypatch, listed):
+    monkeypatch.setattr(tables, "LISTED_PARTITIONS", listed)
+    change = [("a", 2, 1), ("z", 2, None), ("n", 2, 9), ("b", 2, 8)]
+    for _ in range(2):
+        tables.upsert(frame(spark, change), table.name(SPEC), SPEC.key)
+        assert content(table) == sorted([("a", 2, 1), ("b", 2, 8), ("c", 1, 3), ("n", 2, 9), ("z", 2, None)], key=str)
+
+
 def test_repeated_keys_and_empty_source(spark, table):
     with pytest.raises(ValueError, match="several rows"):
         tables.upsert(frame(spark, [("a", 2, 1), ("a", 3, 2)]), table.name(SPEC), SPEC.key)

@@ -29,6 +29,7 @@ from tidemark.schemas import ALL_TABLES, CURATED, Level, TableSpec
 from tidemark.session import folder_exists, hadoop_path
 
 FILE_FORMATS = ("parquet", "orc")
+LISTED_PARTITIONS = 500  # partitions that a condition names one by one
 LISTED_KEYS = 10_000  # a source with no more rows is looked up by a list of its keys
 BLOOM_FALSE = "0.0001"  # share of absent keys that a filter lets pass
 LEVEL_PROPERTY = "tidemark.level."
@@ -331,6 +332,18 @@ def in_partitions(parts: tuple[str, ...], values: list | tuple | set) -> Column:
     return reduce(or_, tests) if tests else F.lit(False)
 
 
+def restricted(frame: DataFrame, parts: tuple[str, ...], values: set[tuple], keep: bool = True) -> DataFrame:
+    """Rows in (or outside) the given partitions: by a list of them, or by a join where the list would be long."""
+    if len(values) <= LISTED_PARTITIONS:
+        test = in_partitions(parts, values)
+        # Unknown means outside: the null partition is none of the listed ones.
+        return frame.where(test) if keep else frame.where(~F.coalesce(test, F.lit(False)))
+    fields = [T.StructField(f"_in_{p}", frame.schema[p].dataType) for p in parts]
+    listed = frame.sparkSession.createDataFrame(sorted(values, key=str), T.StructType(fields))
+    same = reduce(and_, [F.col(p).eqNullSafe(F.col(f"_in_{p}")) for p in parts])
+    return frame.join(listed, same, "left_semi" if keep else "left_anti")
+
+
 def _sql_literal(value) -> str:
     if value is None:
         return "NULL"
@@ -485,9 +498,8 @@ def lookup(
         if partition_follows_key or p in keys or (p in form.levels and set(form.levels[p].of) <= set(keys))
     ]
     if fixed:
-        found = found.where(
-            in_partitions(tuple(form.partitions[i] for i in fixed), {tuple(v[i] for i in fixed) for v in parts})
-        )
+        columns = tuple(form.partitions[i] for i in fixed)
+        found = restricted(found, columns, {tuple(v[i] for i in fixed) for v in parts})
     listed = _listed(profile, source, keys, form)
     return found if listed is None else found.where(listed)
 
@@ -575,21 +587,20 @@ def _replace(
     matches = candidates.select(*dict.fromkeys([*keys, *form.partitions])).join(source_keys, [*keys], "left_semi")
     # One row per partition with a match, however many rows match.
     stale = {tuple(row) for row in matches.select(*form.partitions).distinct().collect()}
-    old_place = in_partitions(form.partitions, stale) if stale else None
 
     if parts - stale:
-        _insert(held.where(~old_place) if stale else held, table, form, lease)
+        _insert(restricted(held, form.partitions, stale, keep=False) if stale else held, table, form, lease)
     cleared: set = set()
     if stale:
-        old = target.where(old_place)
+        old = restricted(target, form.partitions, stale)
         kept = old.where(_keys_present(keys)).join(source_keys, [*keys], "left_anti")
         # Null keys match nothing; joined, they would all meet in one task.
         kept = kept.select(*target.columns).unionByName(old.where(~_keys_present(keys)))
         emptied = stale - parts
         if emptied:
-            left = kept.where(in_partitions(form.partitions, emptied)).select(*form.partitions).distinct().collect()
+            left = restricted(kept, form.partitions, emptied).select(*form.partitions).distinct().collect()
             cleared = emptied - {tuple(row) for row in left}
-        content = kept.unionByName(held.where(old_place))
+        content = kept.unionByName(restricted(held, form.partitions, stale))
         _insert(content, table, form, lease, overwrite=True)
         if cleared:
             _clear(spark, table, form, sorted(cleared, key=str), lease)

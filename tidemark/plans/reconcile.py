@@ -20,8 +20,8 @@ from tidemark.operators.tables import (
     FILE_FORMATS,
     Warehouse,
     create_tables,
-    in_partitions,
     replace_partition,
+    restricted,
     upsert_spec,
 )
 from tidemark.schemas import CURATED, METRIC_WINDOW, METRICS, RAW
@@ -153,7 +153,7 @@ def recompute_windows(
             return 0
         longer = -(-pd.Timedelta(window) // pd.Timedelta(days=1))  # days that a window may reach over
         days = {d + timedelta(days=i) for d in days for i in range(longer + 1)}
-        curated = warehouse.read(CURATED).where(in_partitions((CURATED.partition,), {(d,) for d in days}))
+        curated = restricted(warehouse.read(CURATED), (CURATED.partition,), {(d,) for d in days})
         placed = curated.where(is_click() | is_conversion()).withColumn(
             "window_start", F.window("event_timestamp", window)["start"]
         )
