@@ -72,3 +72,10 @@ def test_reading_stops_early():
     lists.vectors = type("Counting", (), {"__getitem__": lambda _, at: read.append(len(at)) or rows[at]})()
     ids, scores = lists.best(np.array([900.0, 800.0, 700.0]), -1, 1)
     assert ids.tolist() == [17] and sum(read) < 500
+
+
+def test_scores_beyond_64_bits_are_reported_as_the_limit(spark):
+    rows = [(0, [1e15]), (1, [2e15]), (2, [3e15]), (3, [-1e15]), (4, [0.001])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = topk.search(vectors, F.col("vec_id") == 0, 4).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 2**63 - 1), (2, 2**63 - 1), (4, 0), (3, -(2**63))]

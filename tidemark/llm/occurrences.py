@@ -147,24 +147,22 @@ def _bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
     return (((h >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
 
 
-def _kin(family, hi, lo, travels) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries of a slice have a family with other names too, and entries with a family's lowest or highest name.
-
-    Only entries that travel are picked: where order matters these are of the smallest document.
-    """
-    order = np.lexsort((~travels, lo, hi, family))
-    names = split_at(np.stack((family[order], hi[order], lo[order]), axis=1))
-    kinds = split_at(family[order][names[:-1]])  # names of each family
+def _kin(family, hi) -> tuple[np.ndarray, np.ndarray]:
+    """Which entries of a slice have a family with other names too, and entries with a family's lowest or highest name."""
+    order = np.lexsort((hi, family))
+    names = split_at(np.stack((family[order], hi[order]), axis=1))
+    first = names[:-1]
+    kinds = split_at(family[order][first])  # names of each family
     several = np.zeros(len(family), bool)
     several[order] = np.repeat(np.repeat(np.diff(kinds) > 1, np.diff(kinds)), np.diff(names))
-    first = names[:-1]  # of each name, an entry that travels
-    return several, order[np.unique(np.concatenate((first[kinds[:-1]], first[kinds[1:] - 1])))]
+    return several, np.sort(order[np.unique(np.concatenate((first[kinds[:-1]], first[kinds[1:] - 1])))])
 
 
 def _pack(names_of: NamesOf, buckets: int, width: int, smaller: bool, families: bool):
     def dealt(kind: int, h, names, doc, place, ids, keys) -> Iterator[tuple]:
         bucket = _bucket_of(h, buckets)
-        order = np.lexsort((place, doc, bucket))
+        bucket = bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket
+        order = np.argsort(bucket, kind="stable")  # documents and places keep their order
         bounds = split_at(bucket[order])
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
             own = order[a:b]
@@ -178,14 +176,15 @@ def _pack(names_of: NamesOf, buckets: int, width: int, smaller: bool, families:
         travels, known = _settled(hi, lo, ids[doc] if smaller else doc, smaller)
         if known.any():
             yield _rows(BY_NAME, int(ids[0]) % buckets, None, doc[known], place[known], ids, keys)
+        sent = np.flatnonzero(travels)
+        family, hi, lo, doc, place = (x[sent] for x in (family, hi, lo, doc, place))
         marked = np.zeros(len(doc), bool)
         if families:
-            marked, ends = _kin(family, hi, lo, travels)
-            names = np.hstack([_octets(family)[:, :FILTER], _octets(hi)[:, :FILTER]])[ends]
+            marked, ends = _kin(family, hi)
+            names = np.hstack([_octets(family[ends])[:, :FILTER], _octets(hi[ends])[:, :FILTER]])
             yield from dealt(BY_FAMILY, family[ends], names, doc[ends], place[ends], ids, keys)
-        sent = np.flatnonzero(travels)
-        names = np.hstack([_octets(hi), _octets(lo)])[sent, :width]
-        yield from dealt(BY_NAME, hi[sent], names, doc[sent], place[sent] * 2 + marked[sent], ids, keys)
+        names = np.hstack([_octets(hi), _octets(lo)])[:, :width] if width > 8 else _octets(hi)[:, :width]
+        yield from dealt(BY_NAME, hi, names, doc, place * 2 + marked, ids, keys)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

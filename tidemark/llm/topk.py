@@ -8,6 +8,8 @@ row can beat it, nor tie with it and have a smaller id. The best k of all blocks
 
 Queries are dealt into groups as well, so a task holds one block and one group of queries, whatever the
 table's size. Scores are exact integers: floats while all products fit in 53 bits, else unlimited integers.
+Blocks rank by these; a score beyond 64 bits is reported as the nearest of 64, and such scores of different
+blocks then rank by id.
 
 Vectors that are null, or hold null or non-finite components, and rows with a null id take no part.
 Missing components of a shorter vector count as zero. Exactly repeated rows count once; an id that has
