@@ -271,12 +271,26 @@ def noted_columns(spark: SparkSession, location: str) -> tuple[T.StructType, lis
 ROWS_PER_TASK = 1_000_000
 
 
+def _is_small(rows: DataFrame) -> bool:
+    """Whether all rows together are less than what Spark would give one task, by its own estimate."""
+    spark = rows.sparkSession
+    share = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    limit = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(share)
+    return rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() <= limit
+
+
 def _spread(rows: DataFrame, form: Layout) -> DataFrame:
-    """Group rows by partition for few, full files; a hot partition is split again at run time."""
+    """Group rows by partition for few, full files; a hot partition is split again at run time.
+
+    A little data in very many partitions is many files, which several tasks write side by side.
+    """
     spark, parts = rows.sparkSession, form.partitions
     order = [*parts, *form.cluster]
     if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        return rows.hint("rebalance", *parts).sortWithinPartitions(*order)
+        if not _is_small(rows):
+            return rows.hint("rebalance", *parts).sortWithinPartitions(*order)
+        width = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        return rows.repartition(width, *parts).sortWithinPartitions(*order)
     # Stateful streams write without adaptive execution, where the hint does nothing: rows of a partition
     # then meet in one task, or in several for every million of them. Only partitions with more are listed.
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
