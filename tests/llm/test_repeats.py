@@ -123,6 +123,21 @@ def test_one_slice_and_tiny_slices(spark, texts, monkeypatch):
     check_words(spark, texts, 60)
 
 
+def test_a_passage_twice_in_equal_surroundings_of_one_document(spark):
+    """Every place of the passage is looked at, not the first alone, if another slice holds it in other surroundings."""
+    spread = lambda c, n: " ".join(f"{c}{i}" for i in range(n))
+    passage, around = spread("p", 15), (spread("c", 20), spread("d", 20))
+    twice = " ".join([around[0], passage, around[1]] * 2)
+    texts = [f"{spread('a', 20)} {passage} {spread('b', 20)}", twice, f"{twice} {spread('e', 9)} {twice}"]
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 1)  # each document is a slice
+    try:
+        check_words(spark, texts)
+    finally:
+        spark.conf.set(setting, before)
+
+
 def test_long_texts_come_in_pieces(texts, monkeypatch):
     """Windows that are handled apart, or with other texts, get the same anchors."""
 

@@ -13,8 +13,8 @@ Names may come in families (names of longer ranges around one core). If a family
 each is marked *open*: the next, finer round must look at it, so that what is shared in part only finds
 its counterpart. A family never meets in one bucket, however many names it has: names are sent by name, with a
 mark if their slice saw others of the family, and a slice sends just the lowest and the highest name of a
-family by family. A name that no slice marks is alone in each slice that has it, so all these send it by
-family, where it meets another slice's lowest or highest one if there are others.
+family by family, with every place that it sends. A name that no slice marks is alone in each slice that has
+it, so all these send it by family, where it meets another slice's lowest or highest one if there are others.
 
 Buckets are as many as the texts have bytes (``BUCKET`` each), so none grows with the corpus.
 """
@@ -148,14 +148,16 @@ def _bucket_of(h: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def _kin(family, hi) -> tuple[np.ndarray, np.ndarray]:
-    """Which entries of a slice have a family with other names too, and entries with a family's lowest or highest name."""
+    """Which entries of a slice have a family with other names too, and all entries with a family's lowest or highest name."""
     order = np.lexsort((hi, family))
     names = split_at(np.stack((family[order], hi[order]), axis=1))
     first = names[:-1]
     kinds = split_at(family[order][first])  # names of each family
     several = np.zeros(len(family), bool)
     several[order] = np.repeat(np.repeat(np.diff(kinds) > 1, np.diff(kinds)), np.diff(names))
-    return several, np.sort(order[np.unique(np.concatenate((first[kinds[:-1]], first[kinds[1:] - 1])))])
+    outer = np.zeros(len(first), bool)
+    outer[kinds[:-1]] = outer[kinds[1:] - 1] = True
+    return several, np.sort(order[np.repeat(outer, np.diff(names))])
 
 
 def _pack(names_of: NamesOf, buckets: int, width: int, smaller: bool, families: bool):
