@@ -76,6 +76,14 @@ class IngestOptions:
     correct_window: str = METRIC_WINDOW
 
 
+def evenly(records: DataFrame) -> DataFrame:
+    """Records dealt over tasks by size, however few files or topic partitions they came in.
+
+    Decoded records are several times their frames, and all of a task's are held at once.
+    """
+    return records.hint("rebalance")
+
+
 def ingest_batch(
     records: DataFrame,
     batch_id: int,
@@ -89,7 +97,7 @@ def ingest_batch(
     Records are counted in passing, as the raw table takes them.
     """
     moment = ingested_at or datetime.now(timezone.utc)
-    parsed = decode_records(records, decoder).persist()
+    parsed = decode_records(evenly(records), decoder).persist()
     try:
         seen = Observation()
         raw = raw_records(parsed.observe(seen, *quality_counts()), batch_id, moment, hidden=True)
