@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import tables
-from tidemark.plans import reconcile, reports
+from tidemark.plans import reconcile, reports, suite
 from tidemark.functions.frames import encode_frame
 from tidemark.operators.metrics import latest_snapshot
 from tidemark.schemas import CURATED, LATE, METRICS, RAW, STATS, TOPIC_SCHEMA, avro_schema
@@ -16,6 +16,7 @@ from tidemark.sources import sample
 from tidemark.sources.topic import FileSource, TopicSource, read_event_stream
 from tidemark.streaming import queries as streams
 
+SMALL = "/root/testdata/sf0.001"
 DAY = datetime(2026, 5, 1, tzinfo=timezone.utc)
 
 
@@ -288,3 +289,32 @@ def test_all_queries_are_stopped_though_one_cannot_be():
     queries = [Query("a", "first failure", False), Query("b", None, False), Query("c", None, True)]
     assert streams.stop_all(queries) == {"a": "first failure", "b": "cannot stop", "c": None}
     assert all(q.stopped for q in queries)
+
+
+def test_a_batch_from_one_file_is_decoded_by_several_tasks(spark, monkeypatch):
+    lake, _ = suite.workspace(spark, RAW, CURATED)
+    given, plain = [], streams.decode_records
+    monkeypatch.setattr(streams, "decode_records", lambda rows, decoder: given.append(rows) or plain(rows, decoder))
+    settings = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    before = [spark.conf.get(s) for s in settings]
+    for setting in settings:
+        spark.conf.set(setting, "4k")
+    try:
+        rows = sample.topic_records(sample.driver_events(spark, SMALL)).coalesce(1)
+        streams.ingest_batch(rows, 0, lake, sample.version_decoder())
+        assert given[0].rdd.getNumPartitions() > 1
+    finally:
+        for setting, value in zip(settings, before, strict=True):
+            spark.conf.set(setting, value)
+    assert lake.read(RAW).count() == rows.count()
+
+
+def test_more_events_come_in_more_files_of_each_trigger(spark, monkeypatch):
+    """No file grows with the table, and a trigger still takes its part whole."""
+    want = sorted(map(tuple, suite.REGISTRY["stream_metrics_late"](spark, SMALL).collect()))
+    topics, plain = [], suite._append
+    monkeypatch.setattr(suite, "_append", lambda rows, topic: plain(rows, topic) or topics.append(topic))
+    monkeypatch.setattr(suite, "FILE_ROWS", 100, raising=False)
+    assert sorted(map(tuple, suite.REGISTRY["stream_metrics_late"](spark, SMALL).collect())) == want
+    files = spark.read.parquet(topics[0]).groupBy(F.input_file_name()).count().collect()
+    assert len(set(topics)) == 1 and max(n for _, n in files) <= 100

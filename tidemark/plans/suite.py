@@ -721,11 +721,17 @@ def _append(records: DataFrame, topic: str) -> None:
 
 
 TRIGGER_FILES = 4
+FILE_ROWS = 200_000
 
 
-def _append_trigger(records: DataFrame, topic: str) -> None:
+def _trigger_files(spark, folder) -> int:
+    """Files of each trigger: more for more events, so that none grows with the table."""
+    return max(TRIGGER_FILES, -(-sample.driver_events(spark, folder).count() // FILE_ROWS))
+
+
+def _append_trigger(records: DataFrame, topic: str, files: int) -> None:
     """So many files that one trigger takes them all, with ``max_files`` set to that number."""
-    _append(records.repartition(TRIGGER_FILES), topic)
+    _append(records.repartition(files), topic)
 
 
 def _three_parts(spark, folder) -> list[DataFrame]:
@@ -774,9 +780,10 @@ def stream_metrics_late(spark, folder):
     """
     lake, _ = workspace(spark, METRICS)
     topic, checkpoints = scratch_path(spark, "topic"), scratch_path(spark, "checkpoint")
+    files = _trigger_files(spark, folder)
     for part in _three_parts(spark, folder):
-        _append_trigger(sample.topic_records(part), topic)
-    records = read_event_stream(spark, FileSource(topic, max_files=TRIGGER_FILES))
+        _append_trigger(sample.topic_records(part), topic, files)
+    records = read_event_stream(spark, FileSource(topic, max_files=files))
     live = streams.live_metrics(records, sample.version_decoder())
     with state_per_core(spark):
         started = streams.start_metrics(live, lake, checkpoints, None, f"late_{uuid.uuid4().hex[:8]}")
@@ -789,10 +796,11 @@ def late_correction(spark, folder):
     """Live metrics drop the late rows of the last trigger; ingest counts exactly their windows again."""
     lake, _ = workspace(spark, RAW, CURATED, METRICS)
     topic, name = scratch_path(spark, "topic"), uuid.uuid4().hex[:8]
+    files = _trigger_files(spark, folder)
     *on_time, late = _three_parts(spark, folder)
     for part, delay in ((on_time[0], 0), (on_time[1], 0), (late, 3)):
-        _append_trigger(sample.topic_records(part, arrival=f"ts + INTERVAL {delay} DAYS"), topic)
-    records = read_event_stream(spark, FileSource(topic, max_files=TRIGGER_FILES))
+        _append_trigger(sample.topic_records(part, arrival=f"ts + INTERVAL {delay} DAYS"), topic, files)
+    records = read_event_stream(spark, FileSource(topic, max_files=files))
     decoder, checkpoints = sample.version_decoder(), scratch_path(spark, "checkpoint")
     with state_per_core(spark):
         live = streams.live_metrics(records, decoder)
